@@ -56,6 +56,11 @@ def _latitude(t: Column, rounds: int = 5) -> Column:
     return reduce(refine, range(rounds), F.lit(math.pi / 2) - 2 * F.atan(t))
 
 
+def is_point(wkt: Column) -> Column:
+    """Whether both coordinates can be read; cheaper in a filter than reading them."""
+    return wkt.rlike(POINT_PATTERN)
+
+
 def lon_lat(x_feet: Column, y_feet: Column) -> tuple[Column, Column]:
     """(longitude, latitude) in degrees of a point in New York Long Island state-plane feet."""
     east = x_feet * METRES_PER_FOOT - FALSE_EASTING_M

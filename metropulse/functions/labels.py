@@ -39,8 +39,8 @@ def map_segment(hour: Column) -> Column:
 
 
 def stripped(text: Column) -> Column:
-    """Remove white space of any kind from both ends (``trim`` removes spaces only)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Remove white space of any kind from both ends (plain ``trim`` removes spaces only)."""
+    return F.btrim(text, F.lit(" \t\n\r\f\v"))
 
 
 _GAP = "\u0001 "

@@ -11,7 +11,7 @@ def floor_hour(ts: Column) -> Column:
 
 
 def minutes_between(start: Column, end: Column) -> Column:
-    seconds = (end - start).cast("interval day to second").cast("interval second").cast("decimal(20,6)")
+    seconds = (end - start).cast("interval day to second").cast("interval second").cast("decimal(18,6)")
     return seconds.cast("double") / 60
 
 

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 def number(name: str) -> Column:
     """Column as DOUBLE; unreadable text and NaN are null."""
-    value = F.col(name).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(F.col(name).try_cast("double"), F.lit(None).cast("double"))
 
 
 def whole(name: str) -> Column:

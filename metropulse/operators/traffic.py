@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metropulse.functions.geo import lon_lat, point_xy
+from metropulse.functions.geo import is_point, lon_lat, point_xy
 from metropulse.functions.labels import part_of_day, title_case
 from metropulse.functions.values import group_known, round_even
 from metropulse.operators.quantiles import histogram, quantiles
@@ -92,8 +92,8 @@ def traffic_features(
     p: float = 0.9995,
 ) -> DataFrame:
     """Clean counts with place, text, time and model features."""
-    placed = wkt_point(traffic_time(raw, years)).where("timestamp is not null and x is not null and y is not null")
-    kept = traffic_outlier_filter(placed, p)
+    dated = traffic_time(raw, years).where(F.col("timestamp").isNotNull() & is_point(F.col("WktGeom")))
+    kept = wkt_point(traffic_outlier_filter(dated, p))
     longitude, latitude = lon_lat(F.col("x"), F.col("y"))
     hour = F.hour("timestamp")
     angle = F.lit(2 * math.pi) * hour / 24

@@ -2,6 +2,7 @@
 
 Every derived table maps each row of its source (nothing is left out) and plants dirty cells -
 unreadable dates, NaN, text in numeric columns, reversed ranges - so that the cleaning rules have work to do.
+Columns with dirty text are text; the others have the type a typed landing format would give them.
 The registered SQL derives the same tables in its own words.
 """
 
@@ -43,33 +44,33 @@ class Feeds:
         return self.table("events").selectExpr(
             "cast(event_id % 2 + 1 as int) vendorid",
             "case when event_id % 199 = 0 then 'x' else cast(ts as string) end tpep_pickup_datetime",
-            "cast(ts + make_dt_interval(0, 0, cast(event_id % 50 as int) - 5) as string) tpep_dropoff_datetime",
-            "case when event_id % 97 = 0 then 'NaN' when event_id % 89 = 0 then null "
-            "else cast(event_id % 5 as string) end passenger_count",
+            "ts + make_dt_interval(0, 0, cast(event_id % 50 as int) - 5) tpep_dropoff_datetime",
+            "case when event_id % 97 = 0 then double('NaN') when event_id % 89 = 0 then null "
+            "else double(event_id % 5) end passenger_count",
             "case when event_id % 103 = 0 then 'far' else cast(value / 10 - 1 as string) end trip_distance",
             "cast(user_id % 27 as int) pulocationid",
             "cast(user_id * 7 % 27 as int) dolocationid",
             "cast(event_id % 4 as int) payment_type",
-            "cast(value as string) fare_amount",
-            "'0.5' extra",
-            "cast(value * 0.1D as string) tip_amount",
-            "cast(event_id % 7 as string) tolls_amount",
-            "'2.5' congestion_surcharge",
-            "case when event_id % 107 = 0 then 'NaN' else cast(value - 5 as string) end total_amount",
+            "value fare_amount",
+            "0.5D extra",
+            "value * 0.1D tip_amount",
+            "double(event_id % 7) tolls_amount",
+            "2.5D congestion_surcharge",
+            "case when event_id % 107 = 0 then double('NaN') else value - 5 end total_amount",
         )
 
     @cached_property
     def fhv_raw(self) -> DataFrame:
         return self.table("events").selectExpr(
             "case when event_id % 211 = 0 then 'x' else cast(ts - interval 20 minutes as string) end pickup_datetime",
-            "cast(ts + make_dt_interval(0, 0, cast(event_id * 7 % 53 as int) - 24) as string) dropoff_datetime",
+            "ts + make_dt_interval(0, 0, cast(event_id * 7 % 53 as int) - 24) dropoff_datetime",
             "case when event_id % 61 = 0 then null else cast(user_id % 27 as string) end pulocationid",
             "cast(user_id * 7 % 27 as string) dolocationid",
-            "cast(value / 10 - 0.5D as string) trip_miles",
+            "value / 10 - 0.5D trip_miles",
             "case when event_id % 53 = 0 then 'abc' else cast(value - 3 as string) end base_passenger_fare",
-            "case when event_id % 7 = 0 then null else cast(value * 0.05D as string) end tolls",
+            "case when event_id % 7 = 0 then null else value * 0.05D end tolls",
             "case when event_id % 59 = 0 then 'n/a' else cast(value * 0.1D as string) end tips",
-            "cast(value * 0.7D - 2 as string) driver_pay",
+            "case when event_id % 109 = 0 then double('NaN') else value * 0.7D - 2 end driver_pay",
         )
 
     @cached_property

@@ -46,7 +46,7 @@ _CTE: dict[str, str] = {
                CASE WHEN event_id % 53 <> 0 THEN value - 3 END AS base_passenger_fare,
                CASE WHEN event_id % 7 <> 0 THEN value * CAST(0.05 AS DOUBLE) END AS tolls,
                CASE WHEN event_id % 59 <> 0 THEN value * CAST(0.1 AS DOUBLE) END AS tips,
-               value * CAST(0.7 AS DOUBLE) - 2 AS driver_pay
+               CASE WHEN event_id % 109 <> 0 THEN value * CAST(0.7 AS DOUBLE) - 2 END AS driver_pay
         FROM events""",
     "lookup": f"""
         SELECT CAST(n_nationkey AS BIGINT) AS LocationID, n_name AS zone,
@@ -417,10 +417,10 @@ _SELECT: dict[str, str] = {
         SELECT LocationID, zone, pickup_hour, time, FHV, YLC, ratio, {_r('fill_opacity', 'fill_opacity')} FROM slider""",
     "profile_schema": """
         SELECT (SELECT count(*) FROM events) AS n_rows, CAST(14 AS INTEGER) AS n_columns, c[1] AS "column", c[2] AS type
-        FROM (SELECT unnest([['vendorid', 'int'], ['tpep_pickup_datetime', 'string'], ['tpep_dropoff_datetime', 'string'],
-            ['passenger_count', 'string'], ['trip_distance', 'string'], ['pulocationid', 'int'], ['dolocationid', 'int'],
-            ['payment_type', 'int'], ['fare_amount', 'string'], ['extra', 'string'], ['tip_amount', 'string'],
-            ['tolls_amount', 'string'], ['congestion_surcharge', 'string'], ['total_amount', 'string']]) AS c)""",
+        FROM (SELECT unnest([['vendorid', 'int'], ['tpep_pickup_datetime', 'string'], ['tpep_dropoff_datetime', 'timestamp_ntz'],
+            ['passenger_count', 'double'], ['trip_distance', 'string'], ['pulocationid', 'int'], ['dolocationid', 'int'],
+            ['payment_type', 'int'], ['fare_amount', 'double'], ['extra', 'double'], ['tip_amount', 'double'],
+            ['tolls_amount', 'double'], ['congestion_surcharge', 'double'], ['total_amount', 'double']]) AS c)""",
     "profile_numeric": _per_column(
         f"""SELECT '{{c}}' AS "column", count({{c}}) AS count, {_r('avg({c})', 'mean')}, {_r('stddev_samp({c})', 'std')},
             {_r('min({c})', 'min')}, {_r('quantile_cont({c}, 0.25)', 'p25')}, {_r('quantile_cont({c}, 0.5)', 'p50')},
@@ -430,8 +430,9 @@ _SELECT: dict[str, str] = {
     "profile_nulls": """
         SELECT 'pulocationid' AS "column", count(*) FILTER (WHERE pulocationid IS NULL) AS n_null FROM b_fhv
         UNION ALL SELECT 'tolls', count(*) FILTER (WHERE tolls IS NULL) FROM b_fhv
+        UNION ALL SELECT 'driver_pay', count(*) FILTER (WHERE driver_pay IS NULL) FROM b_fhv
         UNION ALL SELECT unnest(['pickup_datetime', 'dropoff_datetime', 'dolocationid', 'trip_miles', 'base_passenger_fare',
-                                 'tips', 'driver_pay']), CAST(0 AS BIGINT)""",
+                                 'tips']), CAST(0 AS BIGINT)""",
     "profile_distinct": _per_column(
         """SELECT '{c}' AS "column", count(DISTINCT {c}) AS n_distinct FROM b_ylc""",
         ["vendorid", "pulocationid", "dolocationid", "payment_type"],

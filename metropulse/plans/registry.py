@@ -456,7 +456,7 @@ def features_json(f: Feeds) -> DataFrame:
 def _landed_fhv(f: Feeds) -> DataFrame:
     landing = shared_folder(f.spark, "landing")
     writers.write_parquet(f.fhv_raw, landing)
-    return streams.stream_fhv(f.spark, landing, schemas.RAW_FHV)
+    return streams.stream_fhv(f.spark, landing, f.fhv_raw.schema)
 
 
 @registered

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from metropulse.functions.values import moment
 from metropulse.operators.trips import clean_fhv
 
 
-def stream_fhv(spark: SparkSession, folder: str, schema: str, kind: str = "parquet") -> DataFrame:
+def stream_fhv(spark: SparkSession, folder: str, schema: str | StructType, kind: str = "parquet") -> DataFrame:
     reader = spark.readStream.schema(schema)
     return (reader.option("header", True) if kind == "csv" else reader).format(kind).load(folder)
 
