@@ -54,11 +54,12 @@ def clean_events(raw: DataFrame) -> DataFrame:
 def expand_events_hourly(events: DataFrame) -> DataFrame:
     """One row per hour of an event, counted from its own start, end included.
 
-    An event that ends before it starts or has an open end yields nothing.
+    An event that ends before it starts or has an open end yields nothing. The condition sits inside
+    the generator: as a filter it would be pushed down and read both time texts a second time.
     """
     hours = F.sequence("start_time", "end_time", F.expr("interval 1 hour"))
-    return events.where("end_time >= start_time").select(
-        F.explode(hours).alias("timestamp"),
+    return events.select(
+        F.explode(F.when(F.col("end_time") >= F.col("start_time"), hours)).alias("timestamp"),
         F.col("event_borough").alias("Boro"),
         *EVENT_FIELDS,
     )

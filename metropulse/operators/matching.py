@@ -13,26 +13,42 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from metropulse.functions.labels import title_case
 from metropulse.functions.times import floor_hour
-from metropulse.operators.events import with_change
-from metropulse.operators.staging import Settled, join_sized, settle
+from metropulse.functions.values import group_known, ratio
+from metropulse.operators.events import BASELINE_KEYS, with_change
+from metropulse.operators.staging import join_sized, settle
+from metropulse.operators.traffic import dated_points, time_labels, volume_quantile
 
 CELL = ["timestamp", "Boro"]
 
 
-def traffic_cells(traffic: DataFrame) -> Settled:
-    """Traffic with its baseline, equal rows counted. Volumes are whole numbers, so cells collapse well."""
-    keys = [*CELL, "hora_entera", "Vol", "baseline_vol"]
-    return settle(traffic.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "cells")
+def traffic_cells(raw: DataFrame, years: Sequence[int] = (2023, 2024), p: float = 0.9995) -> DataFrame:
+    """Equal traffic rows counted in ``n``, with hour, weekday and baseline.
+
+    The raw counts are read once: rows valid for the features collapse to (time, borough, volume),
+    and the outlier limit and the baseline follow from the collapsed table with ``n`` as weight. Volumes are
+    whole numbers, so cells collapse well.
+    """
+    valid = dated_points(raw, years).where("Vol >= 0")
+    counted = settle(valid.groupBy(*CELL, "Vol").agg(F.count(F.lit(1)).alias("n")), "cells").df
+    kept = counted.where(F.col("Vol") < volume_quantile(counted, p, "n"))
+    labelled = kept.withColumns({"Boro": title_case(F.col("Boro")), **time_labels(F.col("timestamp"))})
+    mean = ratio(F.sum(F.col("Vol") * F.col("n")), F.sum("n"))
+    baseline = group_known(labelled, BASELINE_KEYS).agg(mean.alias("baseline_vol"))
+    return join_sized(labelled, baseline, BASELINE_KEYS, "left", "cell-baseline")
 
 
 def weighted_matches(
-    cells: Settled, events_hourly: DataFrame, mlb_hourly: DataFrame, fields: Sequence[str]
+    cells: DataFrame, events_hourly: DataFrame, mlb_hourly: DataFrame, fields: Sequence[str]
 ) -> DataFrame:
     """Cells matched with events, then games filling missing ``fields``; ``n`` counts the pairs."""
     fields = list(fields)
-    per_cell = events_hourly.groupBy(*CELL, *fields).agg(F.count(F.lit(1)).alias("_events"))
-    met = join_sized(cells.df, per_cell, CELL, "left", "events-by-cell")
+    # Events outside the time the counts cover cannot match; they go before the shuffle.
+    first, last = (cells.agg(f("timestamp")).scalar() for f in (F.min, F.max))
+    covered = events_hourly.where(F.col("timestamp").between(first, last))
+    per_cell = covered.groupBy(*CELL, *fields).agg(F.count(F.lit(1)).alias("_events"))
+    met = join_sized(cells, per_cell, CELL, "left", "events-by-cell")
     met = met.withColumn("n", F.col("n") * F.coalesce("_events", F.lit(1))).drop("_events")
 
     # A row that lacks a field needs the games themselves; any other row only their number.

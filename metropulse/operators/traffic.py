@@ -63,11 +63,21 @@ def geo_to_latlon(df: DataFrame) -> DataFrame:
     return wkt_point(df).withColumns({"longitude": longitude, "latitude": latitude}).drop("x", "y")
 
 
+def dated_points(raw: DataFrame, years: Sequence[int] = (2023, 2024)) -> DataFrame:
+    """Counts of the wanted years with a possible date and a readable place."""
+    return traffic_time(raw, years).where(F.col("timestamp").isNotNull() & is_point(F.col("WktGeom")))
+
+
 def traffic_outlier_filter(df: DataFrame, p: float = 0.9995) -> DataFrame:
     """Known, non-negative volumes strictly below their own ``p`` quantile."""
     valid = df.where("Vol >= 0")
-    limit = quantiles(histogram(valid, [], "Vol"), [], "Vol", [p])
-    return valid.where(F.col("Vol") < limit.select(F.get("quantiles", F.lit(0))).scalar())
+    return valid.where(F.col("Vol") < volume_quantile(valid, p))
+
+
+def volume_quantile(df: DataFrame, p: float, weight: str | None = None) -> Column:
+    """Quantile of ``Vol`` as a scalar subquery."""
+    found = quantiles(histogram(df, [], "Vol", weight), [], "Vol", [p])
+    return found.select(F.get("quantiles", F.lit(0))).scalar()
 
 
 def one_hot_values(df: DataFrame, column: str) -> list[str]:
@@ -92,8 +102,7 @@ def traffic_features(
     p: float = 0.9995,
 ) -> DataFrame:
     """Clean counts with place, text, time and model features."""
-    dated = traffic_time(raw, years).where(F.col("timestamp").isNotNull() & is_point(F.col("WktGeom")))
-    kept = wkt_point(traffic_outlier_filter(dated, p))
+    kept = wkt_point(traffic_outlier_filter(dated_points(raw, years), p))
     longitude, latitude = lon_lat(F.col("x"), F.col("y"))
     hour = F.hour("timestamp")
     angle = F.lit(2 * math.pi) * hour / 24
@@ -120,8 +129,7 @@ def traffic_segment_hour(features: DataFrame) -> DataFrame:
 
 def traffic_hotspots(features: DataFrame, p: float = 0.5) -> DataFrame:
     """Mean volume per place over the counts above the ``p`` quantile."""
-    limit = quantiles(histogram(features, [], "Vol"), [], "Vol", [p])
-    busy = features.where(F.col("Vol") > limit.select(F.get("quantiles", F.lit(0))).scalar())
+    busy = features.where(F.col("Vol") > volume_quantile(features, p))
     return group_known(busy, ["latitude", "longitude"]).agg(F.avg("Vol").alias("vol"))
 
 

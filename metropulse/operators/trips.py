@@ -100,14 +100,14 @@ def market_columns(fhv: Column, ylc: Column) -> dict[str, Column]:
     return {"total": total, "market_share": share, "ratio": ratio(fhv, ylc + 1)}
 
 
+def service_counts(names: tuple[str, ...] = SERVICES) -> list[Column]:
+    """Trips per service as columns. Conditional counts pivot in the one shuffle of their group."""
+    return [F.count_if(F.col("tipo_servicio") == s).alias(s) for s in names]
+
+
 def zone_hour(trips: DataFrame) -> DataFrame:
-    """Demand per zone and hour of day, services side by side. One shuffle, of partial counts."""
-    counts = (
-        group_known(trips, ["pulocationid", "pickup_hour"])
-        .pivot("tipo_servicio", list(SERVICES))
-        .agg(F.count(F.lit(1)))
-        .fillna(0, list(SERVICES))
-    )
+    """Demand per zone and hour of day, services side by side; a service without trips counts 0."""
+    counts = group_known(trips, ["pulocationid", "pickup_hour"]).agg(*service_counts())
     market = market_columns(F.col("FHV"), F.col("YLC"))
     return counts.select(
         F.col("pulocationid").alias("LocationID"),
@@ -146,9 +146,7 @@ def prepare_hourly(ylc: DataFrame, fhv: DataFrame) -> DataFrame:
 
 def hourly_mobility(trips: DataFrame) -> DataFrame:
     """Trips per calendar hour and service. Counting both services in one pass replaces an outer join."""
-    counted = group_known(trips, ["datetime_hour"]).agg(
-        *[F.count_if(F.col("tipo_servicio") == s).alias(s) for s in ("YLC", "FHV")]
-    )
+    counted = group_known(trips, ["datetime_hour"]).agg(*service_counts(("YLC", "FHV")))
     return counted.withColumns(market_columns(F.col("FHV"), F.col("YLC")))
 
 

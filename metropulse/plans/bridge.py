@@ -33,9 +33,12 @@ class Feeds:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # Raw tables -----------------------------------------------------------------------------------------------
 
@@ -242,8 +245,8 @@ class Feeds:
         return ev.traffic_events_mlb(self.traffic_event_impact, self.mlb_hourly)
 
     @cached_property
-    def cells(self):
-        return matching.traffic_cells(self.baseline)
+    def cells(self) -> DataFrame:
+        return matching.traffic_cells(self.traffic_raw)
 
     def matches(self, *fields: str) -> DataFrame:
         return matching.weighted_matches(self.cells, self.events_hourly, self.mlb_hourly, fields)
