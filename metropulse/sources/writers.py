@@ -17,8 +17,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    writer = df.write.mode(mode)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """Parquet directory. Rows of a partition value are brought together first, so that not every task adds a
+    file to every value; the adaptive planner splits a value that holds too many rows."""
+    if not partition_by:
+        df.write.mode(mode).parquet(path)
+        return
+    gathered = df.hint("rebalance", *partition_by)
+    gathered.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
