@@ -28,14 +28,15 @@ class Settled:
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder named by ``spark.checkpoint.dir``."""
+    """A fresh path, grouped by application, under the folder named by ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="metropulse-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/metropulse/{label}-{uuid.uuid4().hex}"
+    run = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/metropulse/{run}/{label}-{uuid.uuid4().hex}"
 
 
 def _width(df: DataFrame) -> Column:

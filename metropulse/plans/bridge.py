@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from metropulse.operators import events as ev
 from metropulse.operators import matching, traffic, trips, weather
+from metropulse.operators.staging import settle
 
 YEAR = 2024
 CALENDAR_HOURS = 87600  # ten years
@@ -154,9 +155,8 @@ class Feeds:
     def weather_raw(self) -> DataFrame:
         """An hour per residue of the order keys; the last two hours of the month have no weather."""
         hours = self.table("lineitem").groupBy((F.col("l_orderkey") % 718).cast("int").alias("h")).agg(F.count(F.lit(1)).alias("c"))
-        stamp = f"concat(cast(timestamp_ntz'{YEAR}-01-01' + make_dt_interval(0, h) as string), '+00:00')"
         return hours.selectExpr(
-            f"{stamp} date",
+            f"timestamp_ntz'{YEAR}-01-01' + make_dt_interval(0, h) date",
             "cast(c % 5 as double) temperature_2m",
             "cast(c % 3 as double) precipitation",
             "cast(c % 3 as double) rain",
@@ -167,7 +167,7 @@ class Feeds:
     @cached_property
     def weather_responses(self) -> DataFrame:
         """The weather as one response per day with an array of at most 24 values per variable."""
-        hours = self.weather_raw.withColumn("at", F.expr("try_cast(date as timestamp_ntz)"))
+        hours = self.weather_raw.withColumnRenamed("date", "at")
         rows = F.array_sort(F.collect_list(F.struct("at", *weather.WEATHER)))
         days = hours.groupBy(F.to_date("at").alias("day")).agg(rows.alias("rows"))
         start = F.unix_seconds(F.element_at("rows", 1)["at"].cast("timestamp"))
@@ -212,9 +212,14 @@ class Feeds:
     def features(self) -> DataFrame:
         return traffic.traffic_features(self.traffic_raw, traffic.BOROUGHS)
 
+    @cached_property
+    def saved_features(self) -> DataFrame:
+        """The features as a written table, for jobs that pass over them more than once."""
+        return settle(self.features, "features").df
+
     @cached_property
     def baseline(self) -> DataFrame:
-        return ev.traffic_baseline(self.features)
+        return ev.traffic_baseline(self.saved_features)
 
     @cached_property
     def events(self) -> DataFrame:

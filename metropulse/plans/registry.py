@@ -184,7 +184,7 @@ def traffic_segment_hour(f: Feeds) -> DataFrame:
 
 @registered
 def traffic_hotspots(f: Feeds) -> DataFrame:
-    return traffic.traffic_hotspots(f.features)
+    return traffic.traffic_hotspots(f.saved_features)
 
 
 @registered

@@ -14,7 +14,7 @@ from test_oracle import SF_DIR
 def landed(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("landed"))
     feeds = Feeds(spark, SF_DIR)
-    for name, df in {"fhv": feeds.fhv_raw, "ylc": feeds.ylc_raw, "games": feeds.games, "sky": feeds.weather_raw}.items():
+    for name, df in {"fhv": feeds.fhv_raw, "ylc": feeds.ylc_raw, "games": feeds.games, "sky": feeds.weather_raw.withColumn("date", F.concat(F.col("date").cast("string"), F.lit("+00:00")))}.items():
         write_csv(df, f"{root}/{name}")
     write_csv(feeds.traffic_raw.select(F.lit(1).alias("RequestID"), "*"), f"{root}/traffic")
     names = [f.strip().split("`")[1] for f in schemas.RAW_EVENTS.split(",")]
