@@ -413,7 +413,7 @@ def test_streaming_resumes_and_equals_batch(spark, tmp_path):
     second = spark.createDataFrame([(*line, "2")], schemas.RAW_FHV)
     for landed in (first, second):
         writers.write_csv(landed, landing, "append")
-        stream = streams.stream_fhv(spark, landing, schemas.RAW_FHV, "csv")
+        stream = streams.stream_fhv(spark, landing, schemas.RAW_FHV, "csv", files_per_batch=1)
         streams.stream_clean_fhv(stream, target, progress)
     batch = trips.clean_fhv(first.unionByName(second))
     assert rows(spark.read.parquet(target), "driver_pay") == rows(batch, "driver_pay")
