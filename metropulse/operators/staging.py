@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ONE_TASK_ROWS = 1_000_000
-SALTS = 16
+COPY_BYTES = 64 * 1024**3
+MIN_SALTS = 16
+HOT_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -56,16 +58,45 @@ def settle(df: DataFrame, label: str) -> Settled:
     return Settled(df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"], seen.get["bytes"])
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, salts: int = SALTS) -> DataFrame:
-    """Left or inner join that spreads every key of ``left`` over ``salts`` tasks.
+def salts_for(spark: SparkSession, side_bytes: int) -> int:
+    """How many tasks a key of the big side spreads over: as many as shuffle partitions while all copies of the
+    other side stay within ``COPY_BYTES``, and no fewer than ``MIN_SALTS``."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(MIN_SALTS, min(partitions, COPY_BYTES // max(side_bytes, 1)))
 
-    The salt hashes the row's own content, so a retried task sends the row to the same place.
+
+def salted_join(
+    left: DataFrame, side: Settled, on: Sequence[str], how: str, salts: int | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Left or inner join that spreads hot keys of both sides.
+
+    Rows of ``left`` are salted by a hash of their content and ``side`` is copied per salt. A key with more than
+    ``hot_rows`` rows in ``side`` is also cut into parts by file and row number, and the left rows of that key
+    are copied per part. Both assignments are the same on every attempt of a task.
     """
     if how not in ("left", "inner"):
-        raise ValueError("only the left side may be spread")
-    spread = left.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    return spread.join(copies, [*on, "_salt"], how).drop("_salt")
+        raise ValueError("only left and inner joins can be spread")
+    on = list(on)
+    salts = salts or salts_for(left.sparkSession, side.bytes)
+    # At most side.rows / hot_rows keys.
+    counts = side.df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+    hot = F.broadcast(counts.select(*on, F.ceil(F.col("_rows") / hot_rows).alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
+
+    def upto(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    spread = left.withColumn("_salt", F.pmod(content, F.lit(salts).cast("bigint")))
+    spread = spread.join(hot, on, "left").withColumn("_parts", parts).withColumn("_part", upto(F.col("_parts")))
+
+    place = F.xxhash64("_metadata.file_name", "_metadata.row_index")
+    cut = side.df.withColumn("_place", place).join(hot, on, "left").withColumn("_part", F.pmod("_place", parts))
+    copies = cut.withColumn("_salt", upto(F.lit(salts).cast("bigint"))).withColumn("_met", F.lit(True))
+    joined = spread.join(copies.drop("_parts", "_place"), [*on, "_salt", "_part"], how)
+    # A hot key is in ``side``, so a copy that met nothing met its rows in another part.
+    kept = joined.where((F.col("_parts") == 1) | F.col("_met"))
+    return kept.drop("_salt", "_part", "_parts", "_met")
 
 
 def join_sized(
@@ -75,6 +106,7 @@ def join_sized(
     how: str = "left",
     label: str = "side",
     max_bytes: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join a big ``left`` to a ``right`` of unknown size: broadcast it when its measured size allows, else salt.
 
@@ -84,7 +116,7 @@ def join_sized(
     side = right if isinstance(right, Settled) else settle(right, label)
     if side.bytes <= max_bytes:
         return left.join(F.broadcast(side.df), list(on), how)
-    return salted_join(left, side.df, on, how)
+    return salted_join(left, side, on, how, hot_rows=hot_rows)
 
 
 def range_parts(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:

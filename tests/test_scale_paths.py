@@ -58,16 +58,29 @@ def test_numbers_follow_the_order(spark, max_rows):
     assert [r.v for r in got] == [*range(500), None]
 
 
+@pytest.mark.parametrize("hot_rows", [3, 10**6])
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_join(spark, how):
-    left = spark.createDataFrame([(1, i) for i in range(300)] + [(2, 1), (3, 1), (None, 1)], "k int, a int")
-    right = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (None, "n")], "k int, b string")
+def test_salted_join(spark, how, hot_rows):
+    """Key 1 is hot on both sides, key 5 on the right by equal rows, key 3 is missing there."""
+    left = spark.createDataFrame([(1, i) for i in range(200)] + [(2, 1), (3, 1), (5, 1), (5, 1), (None, 1)], "k int, a int")
+    rows = [(1, f"x{i % 4}") for i in range(20)] + [(5, "same")] * 10 + [(2, "z"), (None, "n"), (9, "w")]
+    right = spark.createDataFrame(rows, "k int, b string")
     want = sorted(map(str, left.join(right, ["k"], how).collect()))
-    assert sorted(map(str, staging.salted_join(left, right, ["k"], how).collect())) == want
-    for limit in (0, 10**9):
-        assert sorted(map(str, staging.join_sized(left, right, ["k"], how, max_bytes=limit).collect())) == want
+    for limit in (-1, 10**9):
+        got = staging.join_sized(left, right, ["k"], how, max_bytes=limit, hot_rows=hot_rows)
+        assert sorted(map(str, got.collect())) == want
     with pytest.raises(ValueError):
-        staging.salted_join(left, right, ["k"], "full")
+        staging.salted_join(left, staging.settle(right, "full"), ["k"], "full")
+
+
+def test_salts_follow_the_copied_size(spark):
+    assert staging.salts_for(spark, 10**15) == staging.MIN_SALTS
+    spark.conf.set("spark.sql.shuffle.partitions", "4000")
+    try:
+        assert staging.salts_for(spark, 64 * 1024**2) == 1024
+        assert staging.salts_for(spark, 0) == 4000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
 def test_settled_sizes(spark):
@@ -118,8 +131,8 @@ def test_reports_beyond_one_task(feeds, matched):
 def test_matches_without_broadcast(feeds, matched, monkeypatch):
     join = staging.join_sized
 
-    def never_broadcast(left, right, on, how="left", label="side", max_bytes=0):
-        return join(left, right, on, how, label, max_bytes=-1)
+    def never_broadcast(left, right, on, how="left", label="side"):
+        return join(left, right, on, how, label, max_bytes=-1, hot_rows=50)
 
     monkeypatch.setattr(matching, "join_sized", never_broadcast)
     monkeypatch.setattr(ev, "join_sized", never_broadcast)
