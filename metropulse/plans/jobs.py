@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from metropulse.functions.values import moment
 from metropulse.operators import events as ev
 from metropulse.operators import impact, spatial, traffic, trips, weather
 from metropulse.session import pin
@@ -42,6 +43,36 @@ def _by_day(df: DataFrame, stamp: str, out: str) -> None:
     write_parquet(df.withColumn("pickup_date", F.to_date(stamp)), out, ["pickup_date"])
 
 
+def _sample(spark: SparkSession, pages: str, schema: str, stamp: str, out: str, year: str) -> None:
+    landed = readers.read_json_pages(spark, pages, schema)
+    write_csv(readers.sample_first_week(landed, stamp, int(year)), out, "append")
+
+
+@job
+def sample_fhv(spark: SparkSession, pages: str, out: str, year: str = "2023") -> None:
+    """First week of every month from landed for-hire pages, appended to a CSV dataset."""
+    _sample(spark, pages, schemas.RAW_FHV, "pickup_datetime", out, year)
+
+
+@job
+def sample_ylc(spark: SparkSession, pages: str, out: str, year: str = "2023") -> None:
+    _sample(spark, pages, schemas.RAW_YLC, "tpep_pickup_datetime", out, year)
+
+
+@job
+def land_events(spark: SparkSession, pages: str, out: str) -> None:
+    """Landed event pages as one CSV dataset; unreadable times become empty."""
+    landed = readers.read_json_pages(spark, pages, schemas.RAW_EVENT_PAGES)
+    write_csv(landed.withColumns({c: moment(c) for c in ("start_date_time", "end_date_time")}), out)
+
+
+@job
+def weather_hours(spark: SparkSession, responses: str, out: str, days: str = "7") -> None:
+    """Hourly weather of the first days of each month from landed responses."""
+    series = weather.weather_series(readers.read_json_pages(spark, responses, schemas.WEATHER_RESPONSE))
+    write_csv(readers.first_days(series, "date", int(days)).orderBy("date"), out)
+
+
 @job
 def clean_fhv(spark: SparkSession, raw: str, out: str) -> None:
     """Landed for-hire CSV to clean trips partitioned by day."""
@@ -85,7 +116,7 @@ def traffic_features(spark: SparkSession, raw: str, out: str) -> None:
 
 @job
 def traffic_events(spark: SparkSession, features: str, events: str, games: str, out: str) -> None:
-    """Traffic with its baseline, the permitted events and the first-week games."""
+    """Traffic with its baseline, the permitted events (export CSV) and the first-week games."""
     permitted = ev.clean_events(readers.read_csv(spark, events, schemas.RAW_EVENTS))
     home = ev.mlb_first_week(readers.read_csv(spark, games, schemas.RAW_GAMES))
     based = ev.traffic_baseline(readers.read_parquet(spark, features))

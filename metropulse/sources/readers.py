@@ -11,6 +11,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from metropulse.functions.values import moment
 from metropulse.sources import schemas
 
 MISSING_TEXT = "N/A"  # fixed value: a lookup cell with this text is missing
@@ -47,15 +48,19 @@ def _between(ts: Column, first: dt.datetime, after: dt.datetime) -> Column:
 
 
 def sample_first_week(df: DataFrame, ts_col: str, year: int = 2023, days: int = 7) -> DataFrame:
-    """The first ``days`` days of every month of ``year``, as half-open ranges that reach the Parquet scan."""
+    """The first ``days`` days of every month of ``year``, as half-open ranges that reach the Parquet scan.
+
+    A text column is read leniently; unreadable times are outside every range.
+    """
+    stamp = moment(ts_col) if dict(df.dtypes)[ts_col] == "string" else F.col(ts_col)
     weeks = []
     for month in range(1, 13):
         first = dt.datetime(year, month, 1)
         last = min(days, calendar.monthrange(year, month)[1])
-        weeks.append(_between(F.col(ts_col), first, first + dt.timedelta(days=last)))
+        weeks.append(_between(stamp, first, first + dt.timedelta(days=last)))
     return df.where(reduce(or_, weeks))
 
 
 def first_days(df: DataFrame, ts_col: str, days: int = 7) -> DataFrame:
     """Rows on the first ``days`` days of any month and year."""
-    return df.where(F.dayofmonth(ts_col).between(1, days))
+    return df.where(F.dayofmonth(F.col(ts_col)).between(1, days))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from metropulse.plans import jobs
 from metropulse.plans.bridge import Feeds
+from metropulse.plans.views import publish
 from metropulse.sources import schemas
 from metropulse.sources.writers import write_csv
 from test_oracle import SF_DIR
@@ -66,6 +67,43 @@ def test_steps_in_order(spark, landed):
     assert spark.read.text(f"{root}/maps/segments").count() == 5
 
 
+def test_landing_steps(spark, tmp_path):
+    pages, out = tmp_path / "pages", str(tmp_path / "out")
+    pages.mkdir()
+    (pages / "1.json").write_text(
+        '[{"pickup_datetime": "2023-02-07T23:59:00.000", "trip_miles": "1.5", "ignored": "x"},'
+        ' {"pickup_datetime": "2023-02-08T00:00:00.000"}, {"pickup_datetime": "x"}]'
+    )
+    for _ in range(2):
+        jobs.run(spark, "sample_fhv", [f"pages={pages}", f"out={out}"])
+    kept = spark.read.option("header", True).csv(out).collect()
+    assert [(r.pickup_datetime, r.trip_miles, r.tips) for r in kept] == [("2023-02-07T23:59:00.000", "1.5", None)] * 2
+    assert len(kept[0]) == 9
+
+    responses = tmp_path / "responses"
+    responses.mkdir()
+    arrays = ", ".join(f'"{v}": [1, 2]' for v in ("temperature_2m", "precipitation", "rain", "snowfall", "snow_depth"))
+    (responses / "1.json").write_text(f'{{"time_start": 604800, "time_end": 612000, "interval_s": 3600, {arrays}}}')
+    (responses / "2.json").write_text(f'{{"time_start": 0, "time_end": 7200, "interval_s": 3600, {arrays}}}')
+    jobs.run(spark, "weather_hours", [f"responses={responses}", f"out={tmp_path}/sky"])
+    assert [r.date[:16] for r in spark.read.option("header", True).csv(f"{tmp_path}/sky").collect()] == [
+        "1970-01-01T00:00",
+        "1970-01-01T01:00",
+    ]
+
+    events = tmp_path / "events"
+    events.mkdir()
+    (events / "1.json").write_text('[{"event_id": "1", "start_date_time": "2023-01-01T10:00:00", "end_date_time": "x"}]')
+    jobs.run(spark, "land_events", [f"pages={events}", f"out={tmp_path}/landed"])
+    (event,) = spark.read.option("header", True).csv(f"{tmp_path}/landed").collect()
+    assert (event.start_date_time[:16], event.end_date_time) == ("2023-01-01T10:00", None)
+
+
+def test_results_by_name(spark):
+    publish({"numbers": spark.range(3)})
+    assert spark.sql("select sum(id) from numbers").first()[0] == 3
+
+
 def test_wrong_arguments_are_named(spark):
     with pytest.raises(SystemExit, match="unknown job"):
         jobs.run(spark, "nothing", [])
