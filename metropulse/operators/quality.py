@@ -36,14 +36,20 @@ def profile_numeric(
     Exact quartiles shuffle every distinct value; ``approx`` keeps to one pass over continuous columns
     at the price of Spark's rank error.
     """
-    long = df.select(*[number(c).alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
-    stats = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    numbers = df.select(*[number(c).alias(c) for c in cols])
+
+    def summary(c: str):
+        return F.struct(
+            F.lit(c).alias("column"),
+            F.count(c).alias("count"),
+            F.avg(c).alias("mean"),
+            F.stddev_samp(c).alias("std"),
+            F.min(c).alias("min"),
+            F.max(c).alias("max"),
+        )
+
+    stats = numbers.agg(F.array(*map(summary, cols)).alias("stats")).select(F.inline("stats"))
+    long = numbers.unpivot([], list(cols), "column", "value")
     if approx:
         found = long.groupBy("column").agg(F.percentile_approx("value", QUARTERS).alias("quantiles"))
     else:
