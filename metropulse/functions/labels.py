@@ -49,8 +49,10 @@ _GAP = "\u0001 "
 def title_case(text: Column) -> Column:
     """Capital after every non-letter, the rest lower: "o'brien 42nd-st" gives "O'Brien 42Nd-St".
 
-    ``initcap`` starts words at spaces only, so a marked space goes before every letter that follows
-    another kind of non-letter and is taken out again afterwards.
+    ``initcap`` starts words at spaces only, so a marked space goes between another non-letter and the letter
+    after it and is taken out again afterwards. Most texts have no such pair and skip the rewriting.
     """
-    parted = F.regexp_replace(stripped(text), r"(?<=[^\p{L} ])(?=\p{L})", _GAP)
-    return F.replace(F.initcap(parted), F.lit(_GAP), F.lit(""))
+    plain = stripped(text)
+    parted = F.regexp_replace(plain, r"([^\p{L} ])(\p{L})", f"$1{_GAP}$2")
+    joined = F.replace(F.initcap(parted), F.lit(_GAP), F.lit(""))
+    return F.when(plain.rlike(r"[^\p{L} ]\p{L}"), joined).otherwise(F.initcap(plain))
