@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from metropulse.llm import language, packing, sanitise
 from metropulse.llm.ngram_join import ngram_jaccard_components
 
 
@@ -13,11 +15,39 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_pack(_table(spark, sf_dir, "documents"), packing.word_tokens(F.col("text")))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op3_ngram_jaccard_join]
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise.find_personal(_table(spark, sf_dir, "documents"))
+    base = F.col("base")
+
+    def times(kind: int) -> Column:
+        return F.size(F.filter(base, lambda x: x["k"] == kind)).cast("long")
+
+    counts = [times(k).alias(f"n_{name}") for k, name in enumerate(sanitise.KINDS)]
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *counts,
+        F.sha2(sanitise.written(base), 256).alias("base_sha256"),
+        sanitise.written(F.col("spans")).alias("spans"),
+    )
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = language.in_fold("doc_id", 5, 0)
+    model = language.learn(docs, "text", "lang", ~held_out)
+    named = language.identify(docs, model, keep=["doc_id"])
+    return named.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages")
+
+
+QUERIES = [op1_best_fit_packing, op3_ngram_jaccard_join, op7_personal_data, op10_language]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
