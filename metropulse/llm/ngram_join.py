@@ -6,11 +6,12 @@ more entries to look up, yet a pair must then share ``min(l, l')`` of them befor
 
 The steps, each a Spark job over packed arrays (a row of a shuffle holds a slice's entries for one bucket):
 
-1. Set size and 128-bit digest of every document; equal sets become one node, named by its smallest id.
+1. Set size and 128-bit digest of every document; equal sets become one node.
 2. Entries are dealt by shingle; a bucket counts each shingle's nodes and returns entries found in two nodes or more.
    A shingle of a single node cannot be shared, so only its number matters.
 3. Returned entries are dealt by node, ordered by (count, shingle), and the prefix is chosen.
-4. Star pairs: each prefix shingle's nodes are compared with the smallest of them, and the links joined to components.
+4. Star pairs: each prefix shingle's nodes are compared with one of them, and the links joined to components; twice, with
+   other pivots, so that few components are left per shingle.
 5. Pairs whose nodes still lie in different components and share enough prefix shingles are compared, and joined in.
    A pair inside a component needs no comparison, for only components are returned.
 
@@ -34,16 +35,18 @@ from metropulse.llm.graph import components
 from metropulse.llm.words import mix, set_digests, shingle_sets, slices
 from metropulse.operators.staging import settle
 
-BUCKET_ENTRIES = 1 << 21
+BUCKET_ENTRIES = 1 << 22
 MIN_BITS = 4
 HOT_COPIES = 1 / 10_000
 HOT_SHINGLE = 1 / 500
 HOT_DF = np.uint32(0xFFFFFFFF)
 MAX_MATCHES = 8
 COMPARE_COST = 32
+PIVOTS = 3
+STAR_ROUNDS = 2
 
-_PACKED = "bucket int, hot boolean, ids binary, d1 binary, d2 binary, sizes binary, counts binary, low binary, high binary"
-_RETURNED = "bucket int, ids binary, sizes binary, counts binary, tokens binary, freqs binary"
+_PACKED = "bucket int, hot boolean, nodes binary, sizes binary, counts binary, low binary, high binary"
+_RETURNED = "bucket int, nodes binary, sizes binary, counts binary, tokens binary, freqs binary"
 _NODES = "node long, n long, matches int, prefix array<long>, tokens array<long>"
 
 
@@ -72,28 +75,26 @@ def _describe(width: int):
     return run
 
 
-def _emit(width: int, bits: int, copies: dict, hot: np.ndarray):
+def _emit(width: int, bits: int, copies: dict, clashes: set, hot: np.ndarray):
     """Entries of every slice by shingle bucket: 48 bits each beside the bucket's, in document order with counts."""
     drop = np.uint64(max(0, 16 - bits))
 
-    def packed(bucket, is_hot, which, row, low, docs):
+    def packed(bucket, is_hot, row, low, nodes, sizes):
         used, first = np.unique(row, return_index=True)
-        counts = np.diff(np.append(first, len(row))).astype(np.int32)
-        ids, d1, d2, sizes = (x[used] for x in docs)
+        counts = np.diff(np.append(first, len(row)))
+        small = counts.max() < 255  # one byte each, or a 255 in front of four
         return (
             int(bucket),
             is_hot,
-            ids.tobytes(),
-            d1.tobytes(),
-            d2.tobytes(),
-            sizes.astype(np.int32).tobytes(),
-            counts.tobytes(),
+            nodes[used].tobytes(),
+            sizes[used].astype(np.int32).tobytes(),
+            counts.astype(np.uint8).tobytes() if small else b"\xff" + counts.astype(np.int32).tobytes(),
             low.astype(np.uint32).tobytes(),
             (low >> np.uint64(32)).astype(np.uint32 if is_hot else np.uint16).tobytes(),
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int32(), pa.bool_()] + [pa.binary()] * 7
+        kinds = [pa.int32(), pa.bool_()] + [pa.binary()] * 5
         names = [f.split()[0] for f in _PACKED.split(", ")]
         for batch in batches:
             for a, b in slices(batch.column(1)):
@@ -104,27 +105,31 @@ def _emit(width: int, bits: int, copies: dict, hot: np.ndarray):
                 ids = part.column(0).cast(pa.int64())
                 keep = (sizes > 0) & ~np.asarray(ids.is_null())
                 ids = np.asarray(ids.fill_null(0))
+                nodes = np.where(np.isin(d1, np.array(list(clashes), dtype=np.int64)), d2, d1) if clashes else d1
                 if copies:
-                    seen = zip(d1.tolist(), d2.tolist(), ids.tolist(), strict=True)
-                    keep &= np.array([copies.get((x, y), i) == i for x, y, i in seen], dtype=bool)
+                    seen = zip(nodes.tolist(), ids.tolist(), strict=True)
+                    keep &= np.array([copies.get(x, i) == i for x, i in seen], dtype=bool)
+                able = np.flatnonzero(keep)
+                _, first = np.unique(nodes[able], return_index=True)  # equal sets of a slice go once
+                keep = np.zeros(len(nodes), dtype=bool)
+                keep[able[first]] = True
                 row = np.repeat(np.arange(len(sizes)), sizes)
                 is_hot = np.isin(sets, hot)
                 out = []
-                docs = (ids, d1, d2, sizes)
                 cold = keep[row] & ~is_hot
                 if cold.any():
                     s, r = sets[cold], row[cold]
                     bucket = (s >> np.uint64(64 - bits)).astype(np.int64)
                     low = (s >> drop) & np.uint64((1 << 48) - 1)
                     order = np.argsort(bucket, kind="stable")
-                    s, r, bucket, low = s[order], r[order], bucket[order], low[order]
+                    r, bucket, low = r[order], bucket[order], low[order]
                     cuts = np.flatnonzero(np.diff(bucket)) + 1
                     for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(bucket)], strict=True):
-                        out.append(packed(bucket[x], False, None, r[x:y], low[x:y], docs))
+                        out.append(packed(bucket[x], False, r[x:y], low[x:y], nodes, sizes))
                 warm = keep[row] & is_hot
                 if warm.any():
-                    spot = int(mix(ids[row[warm]][:1].view(np.uint64))[0] >> np.uint64(64 - bits))
-                    out.append(packed(spot, True, None, row[warm], sets[warm] >> drop, docs))
+                    spot = int(mix(nodes[row[warm]][:1].view(np.uint64))[0] >> np.uint64(64 - bits))
+                    out.append(packed(spot, True, row[warm], sets[warm] >> drop, nodes, sizes))
                 if out:
                     columns = [pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, names)
@@ -136,12 +141,17 @@ def _joined(values, kind) -> np.ndarray:
     return np.frombuffer(b"".join(values), dtype=kind)
 
 
+def _sizes(values) -> np.ndarray:
+    parts = [np.frombuffer(v[1:], np.int32) if v[:1] == b"\xff" else np.frombuffer(v, np.uint8) for v in values]
+    return np.concatenate(parts).astype(np.int64)
+
+
 def _count(bits: int):
     """In a bucket: nodes of every shingle, and entries of shingles with two nodes or more, by node bucket."""
     wide = np.uint64(min(48, 64 - bits))
 
-    def returned(ids, sizes, node, token, freq):
-        to = (mix(ids[node].view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+    def returned(nodes, sizes, node, token, freq):
+        to = (mix(nodes[node].view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
         order = np.lexsort((node, to))
         node, token, freq, to = node[order], token[order], freq[order], to[order]
         cuts = np.flatnonzero(np.diff(to)) + 1
@@ -151,7 +161,7 @@ def _count(bits: int):
                 counts = np.diff(np.append(first, y - x)).astype(np.int32)
                 yield (
                     int(to[x]),
-                    ids[used].tobytes(),
+                    nodes[used].tobytes(),
                     sizes[used].tobytes(),
                     counts.tobytes(),
                     token[x:y].tobytes(),
@@ -164,20 +174,15 @@ def _count(bits: int):
         for r in hot.itertuples(index=False):
             low, high = np.frombuffer(r.low, np.uint32), np.frombuffer(r.high, np.uint32)
             token = (high.astype(np.uint64) << np.uint64(32)) | low
-            counts = np.frombuffer(r.counts, np.int32)
+            counts = _sizes([r.counts])
             node = np.repeat(np.arange(len(counts)), counts)
-            ids, sizes = np.frombuffer(r.ids, np.int64), np.frombuffer(r.sizes, np.int32)
-            out += returned(ids, sizes, node, token, np.full(len(token), HOT_DF))
+            nodes, sizes = np.frombuffer(r.nodes, np.int64), np.frombuffer(r.sizes, np.int32)
+            out += returned(nodes, sizes, node, token, np.full(len(token), HOT_DF))
         cold = group[~group["hot"]]
         if len(cold):
-            ids, d1, d2 = (_joined(cold[c], np.int64) for c in ("ids", "d1", "d2"))
-            sizes, counts = _joined(cold["sizes"], np.int32), _joined(cold["counts"], np.int32)
-            order = np.lexsort((ids, d2, d1))  # equal sets side by side, the smallest id first
-            new = np.ones(len(ids), dtype=bool)
-            new[1:] = (np.diff(d1[order]) != 0) | (np.diff(d2[order]) != 0)
-            place = np.empty(len(ids), dtype=np.int64)
-            place[order] = np.cumsum(new) - 1
-            ids, sizes = ids[order][new], sizes[order][new]
+            nodes, sizes, counts = _joined(cold["nodes"], np.int64), _joined(cold["sizes"], np.int32), _sizes(cold["counts"])
+            nodes, first, place = np.unique(nodes, return_index=True, return_inverse=True)
+            sizes = sizes[first]
             node = np.repeat(place, counts)
             low = _joined(cold["high"], np.uint16).astype(np.uint64) << np.uint64(32)
             low |= _joined(cold["low"], np.uint32)
@@ -194,7 +199,7 @@ def _count(bits: int):
             shared = freq > 1
             low = low & np.uint64((1 << int(wide)) - 1)
             token = (np.uint64(int(key[0])) << wide) | low
-            out += returned(ids, sizes, node[shared], token[shared], freq[shared])
+            out += returned(nodes, sizes, node[shared], token[shared], freq[shared])
         return pd.DataFrame(out, columns=[f.split()[0] for f in _RETURNED.split(", ")])
 
     return run
@@ -204,7 +209,7 @@ def _choose(percent: int):
     """Order each node's shared entries and pick its number of matches and prefix."""
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        ids, sizes = _joined(group["ids"], np.int64), _joined(group["sizes"], np.int32)
+        ids, sizes = _joined(group["nodes"], np.int64), _joined(group["sizes"], np.int32)
         counts = _joined(group["counts"], np.int32)
         token, freq = _joined(group["tokens"], np.uint64), _joined(group["freqs"], np.uint32)
         entry = np.repeat(np.arange(len(ids)), counts)
@@ -254,11 +259,14 @@ def _near_sizes(x: str, y: str, percent: int):
     return (100 * F.col(x) >= percent * F.col(y)) & (100 * F.col(y) >= percent * F.col(x))
 
 
-def _star_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    least = postings.groupBy("token").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("k")).where("k > 1")
-    met = postings.join(least.select("token", F.col("p.node").alias("a"), F.col("p.n").alias("na")), "token")
-    met = met.where((F.col("node") != F.col("a")) & _near_sizes("n", "na", percent))
-    return met.select("a", F.col("node").alias("b")).distinct()
+def _star_pairs(postings: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs of different components with a pivot of the shingle's nodes. A few pivots take turns over the shingles."""
+    mark = F.xxhash64("node", F.pmod("token", F.lit(PIVOTS)), F.lit(turn))
+    pivot = F.min(F.struct(mark.alias("m"), "node", "n", "component")).alias("p")
+    chosen = postings.groupBy("token").agg(pivot, F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    met = postings.join(chosen.select("token", "p"), "token")
+    met = met.where((F.col("component") != F.col("p.component")) & _near_sizes("n", "p.n", percent))
+    return met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
 
 
 def _cross_pairs(postings: DataFrame, percent: int) -> DataFrame:
@@ -283,7 +291,7 @@ def ngram_jaccard_components(
 
     component_id is the smallest id reachable through pairs with ``100 * |A and B| >= percent * |A or B|``. Null or empty
     texts have no shingles and stand alone. A row without id links with nothing and has a null component. Rows that share
-    an id count as one document with several sets. Repeated rows come back as often as they went in. An empty table gives
+    an id are documents of their own with that id. Repeated rows come back as often as they went in. An empty table gives
     an empty result. Other columns are not read.
     """
     spark = docs.sparkSession
@@ -294,34 +302,35 @@ def ngram_jaccard_components(
     sized = seen.where("not heavy").drop("heavy")
     rows, total = sized.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     linkable = sized.where("n > 0 and id is not null")
-    groups = linkable.groupBy("d1", "d2").agg(F.min("id").alias("node"), F.count("*").alias("k"))
+    groups = linkable.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.count("*").alias("k"))
+    # Two sets meet in 64 bits about once in rows squared / 2^65: a handful. Those are known by their other half.
+    clashes = {r.d1 for r in groups.groupBy("d1").count().where("count > 1").collect()}
+    node = F.when(F.col("d1").isin(list(clashes)), F.col("d2")).otherwise(F.col("d1")) if clashes else F.col("d1")
+    groups = settle(groups.select(node.alias("node"), "id", "k"), "shingle-groups").df
     # At most 1 / HOT_COPIES groups hold more than that share of the rows.
     many = groups.where(F.col("k") > max(64, rows * HOT_COPIES)).collect()
-    copies = {(r.d1, r.d2): r.node for r in many}
+    copies = {r.node: r.id for r in many}
     common = seen.where("heavy").groupBy("d1").agg(F.sum("n").alias("k")).where(F.col("k") > max(1000, rows * HOT_SHINGLE))
     hot = np.array([r.d1 for r in common.select("d1").collect()], dtype=np.int64).view(np.uint64)
     bits = max(MIN_BITS, math.ceil(math.log2(max(1, total / BUCKET_ENTRIES))))
 
-    entries = source.mapInArrow(_emit(width, bits, copies, hot), _PACKED)
+    entries = source.mapInArrow(_emit(width, bits, copies, clashes, hot), _PACKED)
     shared = entries.groupBy("bucket").applyInPandas(_count(bits), _RETURNED)
     nodes = settle(shared.groupBy("bucket").applyInPandas(_choose(percent), _NODES), "shingle-prefixes").df
 
     postings = nodes.select("node", "n", "matches", F.explode("prefix").alias("token"))
-    first = components(_linked(_star_pairs(postings, percent), nodes, percent), "shingle-stars")
-    first = first.withColumnRenamed("component", "c1")
-    placed = postings.join(first, "node", "left").withColumn("component", F.coalesce("c1", "node")).drop("c1")
-    late = settle(_linked(_cross_pairs(placed, percent), nodes, percent), "shingle-links").df
-    ends = [late.join(first.toDF(k, f"c{k}"), k, "left").select("a", "b", F.coalesce(f"c{k}", k).alias("c")) for k in "ab"]
-    between = ends[0].withColumnRenamed("c", "x").join(ends[1].withColumnRenamed("c", "y"), ["a", "b"]).select("x", "y")
-    second = components(between, "shingle-cross").toDF("c1", "c2")
-    # Nodes that only the second step reached are their own first component.
-    own = second.select(F.col("c1").alias("node"), "c1")
-    merged = first.union(own).distinct().join(second, "c1", "left").select("node", F.coalesce("c2", "c1").alias("component"))
-    placed = groups.join(merged, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component"))
-    out = sized.join(placed, ["d1", "d2"], "left")
-    # Rows that share an id have one component: the smallest of their sets'.
+    placed = postings.withColumn("component", F.col("node"))
+    links = None
+    for turn in range(STAR_ROUNDS + 1):
+        pairs = _star_pairs(placed, percent, turn) if turn < STAR_ROUNDS else _cross_pairs(placed, percent)
+        found = settle(_linked(pairs, nodes, percent), "shingle-links").df
+        links = found if links is None else links.union(found)
+        joined = settle(components(links, "shingle-components"), "shingle-joined").df
+        placed = postings.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = groups.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = named.groupBy("component").agg(F.min("id").alias("component_id"))
+    named = named.join(least, "component").select("node", "component_id")
+    out = sized.withColumn("node", F.when(F.col("id").isNotNull() & (F.col("n") > 0), node)).join(named, "node", "left")
     return out.select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
     )
