@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metropulse.llm import language, packing, sanitise
+from metropulse.llm import brown, language, nn_descent, packing, pieces, posting_lists, sanitise, token_counts, warc
 from metropulse.llm.ngram_join import ngram_jaccard_components
+from metropulse.operators.staging import settle, shared_folder
+
+
+#: Folder of public vocabulary files, the same on every executor.
+TOKENIZERS = "/opt/tokenizers"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +24,38 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(_table(spark, sf_dir, "documents"), packing.word_tokens(F.col("text")))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = f"{tokenizers}/byte_bpe_50k.tiktoken"
+    docs = _table(spark, sf_dir, "documents").select("text")
+    return token_counts.length_histogram(token_counts.encoded_lengths(docs, vocabulary, public_tokenizers.PATTERN))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op4_class_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = language.in_fold("doc_id", 7, 2)
+    model = brown.fit(docs.where(~held_out).select("text"))
+    return brown.score_texts(docs, model, "doc_id", "text", held_out)
+
+
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    folder = shared_folder(spark, "warc")
+    written = warc.write_archives(warc.plan_records(pages), folder, warc.train_dictionary(pages))
+    manifest = settle(written, "warc-manifest").df
+    read = warc.read_archives(manifest, payloads=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sanitise.find_personal(_table(spark, sf_dir, "documents"))
     base = F.col("base")
@@ -39,6 +72,15 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.nearest_by_product(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pieces.encode(docs, f"{tokenizers}/piece_bpe_32k.model", keep=["doc_id"], verify=True)
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = language.in_fold("doc_id", 5, 0)
@@ -47,7 +89,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages")
 
 
-QUERIES = [op1_best_fit_packing, op3_ngram_jaccard_join, op7_personal_data, op10_language]
+QUERIES = [
+    op1_best_fit_packing,
+    op2_token_counts,
+    op3_ngram_jaccard_join,
+    op4_class_model,
+    op5_nn_descent,
+    op6_warc,
+    op7_personal_data,
+    op8_posting_lists,
+    op9_sentencepiece,
+    op10_language,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
