@@ -10,10 +10,9 @@ The steps, each a Spark job over packed arrays (a row of a shuffle holds a slice
 2. Entries are dealt by shingle; a bucket counts each shingle's nodes and returns entries found in two nodes or more.
    A shingle of a single node cannot be shared, so only its number matters.
 3. Returned entries are dealt by node, ordered by (count, shingle), and the prefix is chosen.
-4. Star pairs: each prefix shingle's nodes are compared with one of them, and the links joined to components; twice, with
-   other pivots, so that few components are left per shingle.
-5. Pairs whose nodes still lie in different components and share enough prefix shingles are compared, and joined in.
-   A pair inside a component needs no comparison, for only components are returned.
+4. Nodes that share enough prefix shingles are compared in full. A list of up to ``LONG_LIST`` nodes gives pairs; longer
+   lists join their nodes to clusters, compared block against block, where a task emits only links that join components.
+5. Links give components.
 
 Hot groups: copies beyond ``HOT_COPIES`` of the rows leave only their first id before step 2 (at most 1 / HOT_COPIES such
 groups exist). Shingles in more than ``HOT_SHINGLE`` of the documents are found per slice in step 1, skip the count, count
@@ -35,19 +34,22 @@ from metropulse.llm.graph import components
 from metropulse.llm.words import mix, set_digests, shingle_sets, slices
 from metropulse.operators.staging import settle
 
-BUCKET_ENTRIES = 1 << 22
+SHUFFLE_ENTRIES = 1 << 22
 MIN_BITS = 4
 HOT_COPIES = 1 / 10_000
 HOT_SHINGLE = 1 / 500
 HOT_DF = np.uint32(0xFFFFFFFF)
 MAX_MATCHES = 8
 COMPARE_COST = 32
-PIVOTS = 3
-STAR_ROUNDS = 2
+#: Shingles of so many nodes or more bring their nodes together in blocks, not as pairs.
+LONG_LIST = 64
+BLOCK_NODES = 256
+BLOCK_ENTRIES = 1 << 20
+COLUMNS = 1 << 14
 
 _PACKED = "bucket int, hot boolean, nodes binary, sizes binary, counts binary, low binary, high binary"
 _RETURNED = "bucket int, nodes binary, sizes binary, counts binary, tokens binary, freqs binary"
-_NODES = "node long, n long, matches int, prefix array<long>, tokens array<long>"
+_NODES = "node long, n long, matches int, short array<long>, long array<long>, tokens array<long>"
 
 
 def _describe(width: int):
@@ -240,8 +242,9 @@ def _choose(percent: int):
             while length < b - a and freq[a + length] == freq[a + length - 1] and token[a + length] == token[a + length - 1]:
                 length += 1
             signed = token[a:b].view(np.int64)
-            out.append((int(owner[a]), n, matches, signed[:length], signed))
-        return pd.DataFrame(out, columns=["node", "n", "matches", "prefix", "tokens"])
+            cut = min(length, int(np.searchsorted(freq[a:b], LONG_LIST)))
+            out.append((int(owner[a]), n, matches, signed[:cut], signed[cut:length], signed))
+        return pd.DataFrame(out, columns=["node", "n", "matches", "short", "long", "tokens"])
 
     return run
 
@@ -259,31 +262,80 @@ def _near_sizes(x: str, y: str, percent: int):
     return (100 * F.col(x) >= percent * F.col(y)) & (100 * F.col(y) >= percent * F.col(x))
 
 
-def _star_pairs(postings: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Pairs of different components with a pivot of the shingle's nodes. A few pivots take turns over the shingles."""
-    mark = F.xxhash64("node", F.pmod("token", F.lit(PIVOTS)), F.lit(turn))
-    pivot = F.min(F.struct(mark.alias("m"), "node", "n", "component")).alias("p")
-    chosen = postings.groupBy("token").agg(pivot, F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    met = postings.join(chosen.select("token", "p"), "token")
-    met = met.where((F.col("component") != F.col("p.component")) & _near_sizes("n", "p.n", percent))
-    return met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
-
-
-def _cross_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components with enough common prefix entries. Components meet first, then their members, so a
-    long list inside one component costs nothing."""
-    kinds = postings.groupBy("token", "component").agg(F.count("*").alias("k"))
-    mixed = kinds.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    kinds = kinds.join(mixed, "token").select("token", "component")
-    meet = kinds.withColumnRenamed("component", "ca").join(kinds.withColumnRenamed("component", "cb"), "token")
-    meet = meet.where("ca < cb")
-    x = postings.toDF("a", "na", "la", "token", "ca")
-    y = postings.toDF("b", "nb", "lb", "token", "cb")
-    met = meet.join(x, ["token", "ca"]).join(y, ["token", "cb"]).where(_near_sizes("na", "nb", percent))
+def _pairs(nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs with enough common entries of short lists. A pair that also meets in a long list is compared there anyway."""
+    postings = nodes.select("node", "n", "matches", F.explode("short").alias("token"))
+    x, y = postings.toDF("a", "na", "la", "token"), postings.toDF("b", "nb", "lb", "token")
+    met = x.join(y, "token").where((F.col("a") < F.col("b")) & _near_sizes("na", "nb", percent))
     counted = met.groupBy("a", "b").agg(F.count("*").alias("k"), F.min(F.least("la", "lb")).alias("need"))
     return counted.where("k >= need").select("a", "b")
 
 
+def _roots(parent: np.ndarray) -> np.ndarray:
+    while (parent[parent] != parent).any():
+        parent = parent[parent]
+    return parent
+
+
+def _compare(percent: int):
+    """Links between two blocks of nodes, as many as join what they join. Shared entries are counted as a matrix product, so
+    many columns at a time."""
+
+    def grid(tokens, columns: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(tokens), len(columns)), dtype=np.float32)
+        for i, t in enumerate(tokens):
+            at = np.minimum(np.searchsorted(columns, t), len(columns) - 1)
+            out[i, at[columns[at] == t]] = 1
+        return out
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for r in part.itertuples(index=False):
+                xs, ys = list(r.x), list(r.y)
+                common = np.intersect1d(np.concatenate([v["tokens"] for v in xs]), np.concatenate([v["tokens"] for v in ys]))
+                both = np.zeros((len(xs), len(ys)))
+                for c in range(0, len(common), COLUMNS):
+                    columns = common[c : c + COLUMNS]
+                    both += grid([v["tokens"] for v in xs], columns) @ grid([v["tokens"] for v in ys], columns).T
+                na, nb = (np.array([v["n"] for v in side], dtype=np.float64) for side in (xs, ys))
+                a, b = (np.array([v["node"] for v in side], dtype=np.int64) for side in (xs, ys))
+                i, j = np.nonzero((100 * both >= percent * (na[:, None] + nb[None] - both)) & (a[:, None] != b[None]))
+                out, ids = [], np.unique(np.concatenate([a, b]))
+                parent = np.arange(len(ids))
+                u, v = np.searchsorted(ids, a[i]), np.searchsorted(ids, b[j])
+                while len(u):  # each turn joins every tree to a smaller neighbour by one of its links
+                    high, low = np.maximum(parent[u], parent[v]), np.minimum(parent[u], parent[v])
+                    keep = high != low
+                    u, v, high, low = u[keep], v[keep], high[keep], low[keep]
+                    trees, first = np.unique(high, return_index=True)
+                    out.append(np.stack([ids[u[first]], ids[v[first]]]))
+                    parent[trees] = low[first]
+                    parent = _roots(parent)
+                links = np.concatenate(out, axis=1) if out else np.zeros((2, 0), dtype=np.int64)
+                yield pd.DataFrame({"a": links[0], "b": links[1]})
+
+    return run
+
+
+def _block_links(nodes: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes that long lists bring together, directly or through others: each such cluster is dealt into
+    blocks, and a task compares two blocks without a row per pair."""
+    postings = nodes.select("node", F.explode("long").alias("token"))
+    least = postings.groupBy("token").agg(F.min("node").alias("to"))
+    edges = postings.join(least, "token").where("node <> to").select("node", "to").distinct()
+    cluster = components(edges, "shingle-clusters").withColumnRenamed("component", "cluster")
+    held = cluster.join(nodes.select("node", "n", "tokens"), "node")
+    sizes = held.groupBy("cluster").agg(F.count("*").alias("k"), F.sum(F.size("tokens")).alias("t"))
+    wanted = F.greatest(F.ceil(F.col("k") / BLOCK_NODES), F.ceil(F.col("t") / BLOCK_ENTRIES)).cast("long")
+    held = held.join(sizes.select("cluster", wanted.alias("blocks")), "cluster")
+    block = F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks"))
+    blocks = held.groupBy("cluster", block.alias("block")).agg(F.collect_list(F.struct("node", "n", "tokens")).alias("x"))
+    blocks = settle(blocks, "shingle-blocks").df
+    other = blocks.withColumnRenamed("block", "other").withColumnRenamed("x", "y")
+    met = blocks.join(other, "cluster").where("block <= other").select("x", "y")
+    return met.mapInPandas(_compare(percent), "a long, b long")
+
+
 def ngram_jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5
 ) -> DataFrame:
@@ -312,21 +364,14 @@ def ngram_jaccard_components(
     copies = {r.node: r.id for r in many}
     common = seen.where("heavy").groupBy("d1").agg(F.sum("n").alias("k")).where(F.col("k") > max(1000, rows * HOT_SHINGLE))
     hot = np.array([r.d1 for r in common.select("d1").collect()], dtype=np.int64).view(np.uint64)
-    bits = max(MIN_BITS, math.ceil(math.log2(max(1, total / BUCKET_ENTRIES))))
+    bits = max(MIN_BITS, math.ceil(math.log2(max(1, total / SHUFFLE_ENTRIES))))
 
     entries = source.mapInArrow(_emit(width, bits, copies, clashes, hot), _PACKED)
     shared = entries.groupBy("bucket").applyInPandas(_count(bits), _RETURNED)
     nodes = settle(shared.groupBy("bucket").applyInPandas(_choose(percent), _NODES), "shingle-prefixes").df
 
-    postings = nodes.select("node", "n", "matches", F.explode("prefix").alias("token"))
-    placed = postings.withColumn("component", F.col("node"))
-    links = None
-    for turn in range(STAR_ROUNDS + 1):
-        pairs = _star_pairs(placed, percent, turn) if turn < STAR_ROUNDS else _cross_pairs(placed, percent)
-        found = settle(_linked(pairs, nodes, percent), "shingle-links").df
-        links = found if links is None else links.union(found)
-        joined = settle(components(links, "shingle-components"), "shingle-joined").df
-        placed = postings.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    links = _linked(_pairs(nodes, percent), nodes, percent).union(_block_links(nodes, percent))
+    joined = components(settle(links, "shingle-links").df, "shingle-components")
     named = groups.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
     named = named.join(least, "component").select("node", "component_id")
