@@ -48,9 +48,3 @@ def round_even(value: Column, digits: int) -> Column:
 def group_known(df: DataFrame, keys: Sequence[str]) -> GroupedData:
     """``groupBy`` that leaves rows with a missing key out."""
     return df.dropna(subset=list(keys)).groupBy(*keys)
-
-
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """Replace NaN by null in every floating-point column."""
-    floats = [c for c, t in df.dtypes if t in ("double", "float")]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df

@@ -51,15 +51,24 @@ def clean_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def expand_events_hourly(events: DataFrame) -> DataFrame:
+def expand_events_hourly(events: DataFrame, first: Column | None = None, last: Column | None = None) -> DataFrame:
     """One row per hour of an event, counted from its own start, end included.
 
+    With ``first`` and ``last`` only hours between them are made, still counted from the event's start: an end typed as
+    year 9999 costs no more than the time the counts cover.
+
     An event that ends before it starts or has an open end yields nothing. The condition sits inside
     the generator: as a filter it would be pushed down and read both time texts a second time.
     """
-    hours = F.sequence("start_time", "end_time", F.expr("interval 1 hour"))
+    start, end = F.col("start_time"), F.col("end_time")
+    if first is not None:
+        late = F.ceil(F.timestamp_diff("SECOND", start, first) / 3600).cast("int")
+        start = F.when(first > start, start + F.make_dt_interval(F.lit(0), late)).otherwise(start)
+    if last is not None:
+        end = F.when(end > last, last).otherwise(end)  # an open end stays open
+    hours = F.sequence(start, end, F.expr("interval 1 hour"))
     return events.select(
-        F.explode(F.when(F.col("end_time") >= F.col("start_time"), hours)).alias("timestamp"),
+        F.explode(F.when(end >= start, hours)).alias("timestamp"),
         F.col("event_borough").alias("Boro"),
         *EVENT_FIELDS,
     )
@@ -95,9 +104,10 @@ def traffic_events_mlb(traffic_events: DataFrame, mlb_hourly: DataFrame) -> Data
     return joined.withColumns(filled).drop(*[f"{f}_mlb" for f in EVENT_FIELDS])
 
 
-def distinct_event_types(traffic_events: DataFrame) -> DataFrame:
-    """Event types present, with their rows."""
-    return group_known(traffic_events, ["event_type"]).agg(F.count(F.lit(1)).alias("n"))
+def distinct_event_types(traffic_events: DataFrame, weight: str | None = None) -> DataFrame:
+    """Event types present, with their rows; of weighted rows the sum of ``weight``."""
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    return group_known(traffic_events, ["event_type"]).agg(n.alias("n"))
 
 
 def flatten_mlb_schedule(schedule: DataFrame, venues: Sequence[str] = tuple(VENUE_BOROUGH)) -> DataFrame:

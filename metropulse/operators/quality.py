@@ -84,14 +84,9 @@ def value_counts(df: DataFrame, col: str, keep_null: bool = False) -> DataFrame:
     return counts.orderBy(F.desc("n"), F.asc_nulls_last("value"))
 
 
-def audit_zone_join(fhv: DataFrame, ylc: DataFrame, lookup: DataFrame, n: int | None = None) -> DataFrame:
-    """Trips per borough and the share of trips whose zone the lookup does not map.
-
-    All trips are audited unless ``n`` asks for a sample of that many from each service.
-    """
+def audit_zone_join(fhv: DataFrame, ylc: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Trips per borough and the share of all trips whose zone the lookup does not map."""
     zones = [df.select(F.col("pulocationid").try_cast("bigint").alias("pulocationid")) for df in (fhv, ylc)]
-    if n is not None:
-        zones = [z.orderBy(F.asc_nulls_last("pulocationid")).limit(n) for z in zones]
     per_zone = zones[0].unionByName(zones[1]).groupBy("pulocationid").agg(F.count(F.lit(1)).alias("n"))
     known = lookup.select(F.col("LocationID").cast("bigint").alias("pulocationid"), "Borough")
     per_borough = per_zone.join(known, "pulocationid", "left").groupBy("Borough").agg(F.sum("n").alias("n"))

@@ -91,15 +91,18 @@ def features_zone_hour(by_zone_hour: DataFrame, zones: DataFrame, metric: str =
     if metric not in measures:
         raise ValueError(f"metric must be one of {measures}")
     places = with_location_id(zones)
+    for name in ("zone", "geometry"):  # in any case, like the id
+        found = next((c for c in places.columns if c.lower() == name), name)
+        places = places.withColumnRenamed(found, name)
     extra = [c for c in ("zone", "geometry") if c in places.columns]
     slots = places.select("LocationID", *extra, F.explode(F.sequence(F.lit(0), F.lit(23))).alias("pickup_hour"))
     filled = slots.join(by_zone_hour.select("LocationID", "pickup_hour", *measures), ["LocationID", "pickup_hour"], "left")
     filled = filled.fillna(0, measures)
-    # One row per hour of day: 24 at most.
-    tops = filled.groupBy("pickup_hour").agg(F.max(metric).alias("_top"))
-    opacity = F.least(F.lit(MAX_OPACITY), ratio(F.col(metric), F.col("_top") + 1))
+    # A window over the zones of an hour, so that the trips behind them are read once for every metric.
+    top = F.max(metric).over(Window.partitionBy("pickup_hour"))
+    opacity = F.least(F.lit(MAX_OPACITY), ratio(F.col(metric), top + 1))
     stamp = F.concat(F.lit(f"{SLIDER_DAY}T"), F.lpad(F.col("pickup_hour").cast("string"), 2, "0"), F.lit(":00:00"))
-    shown = filled.join(F.broadcast(tops), "pickup_hour").withColumns({"time": stamp, "fill_opacity": opacity})
+    shown = filled.withColumns({"time": stamp, "fill_opacity": opacity})
     return shown.select("LocationID", *extra, "pickup_hour", "time", *measures, "fill_opacity")
 
 
@@ -109,7 +112,7 @@ def feature_json(features: DataFrame) -> DataFrame:
     shown = [c for c in ("zone", "pickup_hour", "FHV", "YLC") if c in features.columns]
     popup = F.struct(*shown, F.round("ratio", 2).alias("ratio"))
     geometry = F.col("geometry") if "geometry" in features.columns else F.lit(None).cast("string")
-    shape = F.from_json(geometry, "type string, coordinates array<array<array<double>>>")
+    shape = F.try_parse_json(geometry)  # any kind of geometry, as it came
     properties = F.struct("LocationID", "time", style.alias("style"), popup.alias("popup"))
     feature = F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), properties.alias("properties"))
     return features.select(F.to_json(feature).alias("value"))

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ONE_TASK_ROWS = 1_000_000
@@ -41,11 +42,28 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/metropulse/{run}/{label}-{uuid.uuid4().hex}"
 
 
+def _bytes(value: Column, kind: DataType) -> Column:
+    none = F.lit(0).cast("bigint")
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(value).cast("bigint"), none)
+    if isinstance(kind, MapType):
+        return _bytes(F.map_keys(value), ArrayType(kind.keyType)) + _bytes(F.map_values(value), ArrayType(kind.valueType))
+    if isinstance(kind, StructType):
+        return sum((_bytes(value[f.name], f.dataType) for f in kind), none)
+    if isinstance(kind, ArrayType):
+        words = F.coalesce(8 * F.array_size(value).cast("bigint"), none)
+        if not isinstance(kind.elementType, (StringType, BinaryType, MapType, StructType, ArrayType)):
+            return words
+        inner = F.aggregate(value, none, lambda acc, x: acc + _bytes(x, kind.elementType))
+        return words + F.coalesce(inner, none)
+    return none
+
+
 def _width(df: DataFrame) -> Column:
-    """Rough bytes of a row: text by its length, everything else as one word."""
-    texts = [c for c, t in df.dtypes if t == "string"]
-    words = F.lit(8 * len(df.columns)).cast("bigint")
-    return sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), words)
+    """Rough bytes of a row: a word per column, plus text, binary and nested values by what they hold."""
+    fields = df.schema.fields
+    words = F.lit(8 * len(fields)).cast("bigint")
+    return sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in fields), words)
 
 
 def settle(df: DataFrame, label: str) -> Settled:

@@ -13,8 +13,8 @@ from metropulse.functions.labels import part_of_day, title_case
 from metropulse.functions.values import group_known, round_even
 from metropulse.operators.quantiles import histogram, quantiles
 
+# Columns title-cased, boroughs in the spelling title-casing gives them, and feature columns.
 TEXT_COLUMNS = ["Boro", "street", "fromSt", "toSt", "Direction"]
-# The boroughs, in the spelling title-casing gives them.
 BOROUGHS = ["Bronx", "Brooklyn", "Manhattan", "Queens", "Staten Island"]
 FEATURES = [
     "timestamp",
@@ -34,13 +34,12 @@ FEATURES = [
     "hour_sin",
     "hour_cos",
 ]
-MAX_ONE_HOT = 200
 
 
 def traffic_time(raw: DataFrame, years: Sequence[int] = (2023, 2024)) -> DataFrame:
     """Counts of the wanted years with a timestamp built from their parts (null for an impossible date)."""
-    kept = raw.where(F.col("Yr").isin(*years)) if "Yr" in raw.columns else raw
-    parts = [F.col(c).cast("int") for c in ("Yr", "M", "D", "HH", "MM")]
+    parts = [F.col(c).try_cast("int") for c in ("Yr", "M", "D", "HH", "MM")]
+    kept = raw.where(parts[0].isin(*years)) if "Yr" in raw.columns else raw
     return kept.withColumn("timestamp", F.try_make_timestamp_ntz(*parts, F.lit(0).cast("decimal(8,6)")))
 
 
@@ -81,11 +80,8 @@ def volume_quantile(df: DataFrame, p: float, weight: str | None = None) -> Colum
 
 
 def one_hot_values(df: DataFrame, column: str) -> list[str]:
-    """The distinct values of a category column; fails rather than widen a table without bound."""
-    rows = df.select(column).dropna().distinct().orderBy(column).limit(MAX_ONE_HOT + 1).collect()
-    if len(rows) > MAX_ONE_HOT:
-        raise ValueError(f"'{column}' has more than {MAX_ONE_HOT} values; pass the wanted ones")
-    return [r[0] for r in rows]
+    """The distinct values of a category column: one new column each, so they come to the driver."""
+    return [r[0] for r in df.select(column).dropna().distinct().orderBy(column).collect()]
 
 
 def onehot_borough(df: DataFrame, values: Sequence[str] | None = None, column: str = "Boro") -> DataFrame:

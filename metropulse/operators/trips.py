@@ -33,6 +33,8 @@ YLC_NUMBERS = [
     "total_amount",
 ]
 
+YLC_CODES = ["vendorid", "pulocationid", "dolocationid", "payment_type"]
+
 
 def clean_fhv(raw: DataFrame) -> DataFrame:
     """Typed trips of positive duration whose miles, fare and pay are known and not negative."""
@@ -49,6 +51,7 @@ def clean_ylc(raw: DataFrame) -> DataFrame:
     pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
     times = {c: moment(c) for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")}
     numbers = {c: number(c) for c in YLC_NUMBERS if c in raw.columns}
+    numbers |= {c: whole(c).try_cast("int") for c in YLC_CODES if c in raw.columns}
     paid = raw.withColumns({**times, **numbers}).where("trip_distance > 0 and total_amount > 0 and passenger_count > 0")
     return (
         paid.withColumn("trip_duration_min", round_even(minutes_between(pickup, dropoff), 2))

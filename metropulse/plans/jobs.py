@@ -120,7 +120,9 @@ def traffic_events(spark: SparkSession, features: str, events: str, games: str,
     permitted = ev.clean_events(readers.read_csv(spark, events, schemas.RAW_EVENTS))
     home = ev.mlb_first_week(readers.read_csv(spark, games, schemas.RAW_GAMES))
     based = ev.traffic_baseline(readers.read_parquet(spark, features))
-    met = ev.traffic_event_impact(based, ev.expand_events_hourly(permitted))
+    counts = readers.read_parquet(spark, features)
+    first, last = (counts.agg(f("timestamp")).scalar() for f in (F.min, F.max))
+    met = ev.traffic_event_impact(based, ev.expand_events_hourly(permitted, first, last))
     numbered = ev.mlb_as_events(home, ev.largest_event_id(permitted))
     write_parquet(ev.traffic_events_mlb(met, ev.expand_events_hourly(numbered)), out)
 

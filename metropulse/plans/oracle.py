@@ -464,8 +464,7 @@ _SELECT: dict[str, str] = {
     "stream_clean_fhv": _CLEAN_FHV,
     "stream_hourly_demand": """
         SELECT date_trunc('hour', pickup) AS datetime_hour, count(*) AS FHV FROM b_fhv
-        WHERE pickup IS NOT NULL GROUP BY 1
-        HAVING date_trunc('hour', pickup) + INTERVAL 1 HOUR <= (SELECT max(pickup) FROM b_fhv) - INTERVAL 10 MINUTE""",
+        WHERE pickup IS NOT NULL GROUP BY 1""",
 }
 
 

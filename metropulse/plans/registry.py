@@ -243,8 +243,7 @@ def traffic_events_mlb(f: Feeds) -> DataFrame:
 
 @registered
 def distinct_event_types(f: Feeds) -> DataFrame:
-    types = f.matches("event_type")
-    return types.dropna(subset=["event_type"]).groupBy("event_type").agg(F.sum("n").alias("n"))
+    return ev.distinct_event_types(f.matches("event_type"), "n")
 
 
 # Impact reports: same figures as over the matched rows, from weighted cells ---------------------------------
@@ -375,7 +374,8 @@ def scan_csv(f: Feeds) -> DataFrame:
     raw = readers.read_csv(f.spark, landing, schemas.RAW_YLC)
     numbers = [number(c).alias(c) for c in trips.YLC_NUMBERS]
     stamps = [moment(c).alias(c) for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")]
-    return raw.select("vendorid", *stamps, "pulocationid", "dolocationid", "payment_type", *numbers)
+    codes = {c: F.col(c).try_cast("int").alias(c) for c in trips.YLC_CODES}
+    return raw.select(codes["vendorid"], *stamps, codes["pulocationid"], codes["dolocationid"], codes["payment_type"], *numbers)
 
 
 @registered

@@ -10,20 +10,46 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from metropulse.functions.values import moment
 from metropulse.sources import schemas
 
-MISSING_TEXT = "N/A"  # fixed value: a lookup cell with this text is missing
+# Lookup cells with one of these texts are missing.
+MISSING_TEXTS = ["", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null", "#N/A", "#NA", "<NA>"]
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: str, null_value: str = "") -> DataFrame:
-    """CSV with a header. Malformed cells become null; splits of large files are read in parallel."""
-    return spark.read.schema(schema).option("header", True).option("nullValue", null_value).csv(path)
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: str, null_value: str = "", optional: Sequence[str] = ()
+) -> DataFrame:
+    """CSV with a header, read by column name in any case and order; columns the schema does not name are left out.
+
+    Malformed cells become null. A missing column is an error unless it is ``optional`` (then null), and so are parts whose
+    headers differ. Splits of large files are read in parallel.
+    """
+    reader = spark.read.option("header", True).option("nullValue", null_value)
+    names = reader.csv(path).columns
+    texts = StructType([StructField(n, StringType()) for n in names])
+    wanted = StructType.fromDDL(schema)
+    held = {n.strip().lstrip("\ufeff").lower(): n for n in names}
+    missing = [f.name for f in wanted if f.name.lower() not in held and f.name not in optional]
+    if missing:
+        raise ValueError(f"no column {missing} in {path}; found {names}")
+    # Without enforcement the header of every part is checked against these names.
+    raw = reader.schema(texts).option("enforceSchema", False).csv(path)
+
+    def cell(field: StructField) -> Column:
+        found = held.get(field.name.lower())
+        value = F.col(f"`{found}`") if found else F.lit(None).cast("string")
+        return value.try_cast(field.dataType).alias(field.name)
+
+    return raw.select(*map(cell, wanted))
 
 
 def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.ZONE_LOOKUP, MISSING_TEXT)
+    lookup = read_csv(spark, path, schemas.ZONE_LOOKUP)
+    texts = [c for c, t in lookup.dtypes if t == "string"]
+    return lookup.withColumns({c: F.when(~F.col(c).isin(MISSING_TEXTS), F.col(c)) for c in texts})
 
 
 def read_parquet(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None) -> DataFrame:

@@ -1,7 +1,7 @@
 """Schemas of the landed sources, as DDL text.
 
-Fixed values: column names and order are those of the publishers. CSV columns that may hold dirty text
-are read as STRING and coerced by the cleaning jobs. A scan keeps the columns its schema names: of the 19 taxi
+Fixed values: column names and order are those of the publishers. Columns that may hold dirty text, or numbers written as
+text, are read as STRING and coerced by the cleaning jobs. A scan keeps the columns its schema names: of the 19 taxi
 columns offered, 14 are kept.
 """
 
@@ -10,8 +10,8 @@ RAW_FHV = """
     trip_miles STRING, base_passenger_fare STRING, tolls STRING, tips STRING, driver_pay STRING
 """
 RAW_YLC = """
-    vendorid INT, tpep_pickup_datetime STRING, tpep_dropoff_datetime STRING, passenger_count STRING,
-    trip_distance STRING, pulocationid INT, dolocationid INT, payment_type INT, fare_amount STRING,
+    vendorid STRING, tpep_pickup_datetime STRING, tpep_dropoff_datetime STRING, passenger_count STRING,
+    trip_distance STRING, pulocationid STRING, dolocationid STRING, payment_type STRING, fare_amount STRING,
     extra STRING, tip_amount STRING, tolls_amount STRING, congestion_surcharge STRING, total_amount STRING
 """
 RAW_TRAFFIC = """

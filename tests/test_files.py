@@ -3,11 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from metropulse.operators import events as ev
 from metropulse.plans import jobs
 from metropulse.plans.bridge import Feeds
 from metropulse.plans.views import publish
-from metropulse.sources import schemas
+from metropulse.sources import readers, schemas
 from metropulse.sources.writers import write_csv
+from metropulse.streaming import trips as streams
 from test_oracle import SF_DIR
 
 
@@ -109,3 +111,31 @@ def test_wrong_arguments_are_named(spark):
         jobs.run(spark, "nothing", [])
     with pytest.raises(SystemExit, match="missing"):
         jobs.run(spark, "zone_hour", ["fhv=a"])
+
+
+def test_csv_is_read_by_name(spark, tmp_path):
+    folder = tmp_path / "named"
+    folder.mkdir()
+    (folder / "a.csv").write_text("extra,B,a\nx,2,1\ny,bad,3\n")
+    got = sorted(tuple(r) for r in readers.read_csv(spark, str(folder), "a STRING, b INT").collect())
+    assert got == [("1", 2), ("3", None)]
+    with pytest.raises(ValueError, match="no column"):
+        readers.read_csv(spark, str(folder), "a STRING, c INT")
+    assert readers.read_csv(spark, str(folder), "a STRING, c INT", optional=["c"]).where("c is null").count() == 2
+
+
+def test_hours_of_late_files_are_complete(spark, tmp_path):
+    landing, target, progress = (str(tmp_path / d) for d in ("landing", "hours", "progress"))
+    for day in ("2023-01-03", "2023-01-01", "2023-01-02"):
+        trip = spark.createDataFrame([(f"{day}T05:59:00",), (f"{day}T06:00:00",)], "pickup_datetime string")
+        trip.coalesce(1).write.mode("append").parquet(landing)
+    stream = streams.stream_fhv(spark, landing, "pickup_datetime string", files_per_batch=1)
+    assert streams.stream_hourly_demand(stream, target, progress).where("FHV = 1").count() == 6
+
+
+def test_hours_outside_the_counts_are_not_made(spark):
+    made = spark.createDataFrame([(1, "2023-01-01T00:30:00", "9999-01-01T00:00:00"), (2, "2023-01-01T00:30:00", None)], "event_id int, s string, e string")
+    made = made.selectExpr("event_id", "cast(s as timestamp_ntz) start_time", "cast(e as timestamp_ntz) end_time", "'x' event_type", "'n' event_name", "'Bronx' event_borough")
+    first, last = (F.lit(t).cast("timestamp_ntz") for t in ("2023-01-02T00:00:00", "2023-01-02T03:00:00"))
+    got = sorted(r.timestamp.isoformat() for r in ev.expand_events_hourly(made, first, last).collect())
+    assert got == ["2023-01-02T00:30:00", "2023-01-02T01:30:00", "2023-01-02T02:30:00"]

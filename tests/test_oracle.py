@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import connect, differences
+from metropulse.plans import oracle, registry
 
 SF_DIR = os.environ.get("METROPULSE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,10 +19,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(registry.queries()) == set(oracle.statements())
 
 
-@pytest.mark.parametrize("key", sorted(entry_points.queries()))
+@pytest.mark.parametrize("key", sorted(registry.queries()))
 def test_matches_sql(spark, con, key):
     df = entry_points.queries()[key](spark, SF_DIR)
     assert differences(df, con, entry_points.oracle_sql()[key]) == []
