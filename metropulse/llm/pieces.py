@@ -261,12 +261,13 @@ def cut_words(text: str, pieces: Pieces) -> list[str]:
 
 
 def encode_batch(texts: list[str | None], pieces: Pieces) -> list[list[int]]:
-    """Piece ids of each text; none for null and empty texts. Words met before are kept, ``KEPT_WORDS`` at most."""
+    """Piece ids of each text; none for null and empty texts. Words met before are kept, about ``KEPT_WORDS``."""
     cut = [cut_words(t, pieces) if t else [] for t in texts]
+    words_here = set(chain.from_iterable(cut))
+    if len(pieces.cache) > KEPT_WORDS:  # words of the batch at hand stay, so common words are coded once
+        pieces.cache = {w: pieces.cache[w] for w in words_here.intersection(pieces.cache)}
     cache = pieces.cache
-    if len(cache) > KEPT_WORDS:
-        cache.clear()
-    new = list(set(chain.from_iterable(cut)).difference(cache))
+    new = list(words_here.difference(cache))
     if new:
         for word, ids in zip(new, encode_words([SPACE + w for w in new], pieces), strict=True):
             cache[word] = tuple(ids.tolist())
