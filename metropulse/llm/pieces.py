@@ -67,7 +67,8 @@ class Pieces:
         written = {i: b"" if i in self.hidden else names[i].replace(SPACE, " ").encode() for i in range(size)}
         written.update({i: bytes([v]) for i, v in self.of_byte.items()})
         self.written = [written[i] for i in range(size)]
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, int] = {}  # a word's number among the coded ones
+        self.coded, self.coded_at = np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
         self.known = np.zeros(0, dtype=np.int64)
         self.fits = np.zeros(0, dtype=bool)
 
@@ -100,9 +101,7 @@ class Pieces:
                 a, b = divmod(key, self.size)
                 want = [self.names[b]] if a == 0 else [self.names[a - 1], self.names[b]]
                 fits.append(self.merge("".join(want)) == want)
-            known = np.concatenate([self.known, new])
-            order = np.argsort(known)
-            self.known, self.fits = known[order], np.concatenate([self.fits, np.array(fits, dtype=bool)])[order]
+            self.known, self.fits = np.insert(self.known, at[~hit], new), np.insert(self.fits, at[~hit], fits)
             at = np.searchsorted(self.known, asked)
         return self.fits[at][back]
 
@@ -171,8 +170,8 @@ def _bound(text, want, lo, hi, after: bool) -> np.ndarray:
         hi = np.where(open_ & ~right, mid, hi)
 
 
-def encode_words(words: list[str], pieces: Pieces) -> list[np.ndarray]:
-    """Piece ids of each word, by the lattice of its batch."""
+def encode_words(words: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of the words end to end and each word's bounds in them, by the lattice of the batch."""
     joined = "".join(words)
     codes = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
     sizes = np.array([len(w) for w in words], dtype=np.int64)
@@ -212,7 +211,7 @@ def _runs(depth: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip([0, *cuts.tolist()] if len(depth) else [], [*cuts.tolist(), len(depth)] if len(depth) else [], strict=True)
 
 
-def _walk_back(joined, codes, odd, begins, last, pieces, stop, sizes) -> list[np.ndarray]:
+def _walk_back(joined, codes, odd, begins, last, pieces, stop, sizes) -> tuple[np.ndarray, np.ndarray]:
     """Read the kept pieces from every segment's end to its begin, all segments side by side."""
     at = np.append(begins[1:], len(codes))
     length = np.zeros(pieces.size, dtype=np.int64)
@@ -232,12 +231,11 @@ def _walk_back(joined, codes, odd, begins, last, pieces, stop, sizes) -> list[np
         places.append(np.full(len(raw), place))
         found.append(pieces.bytes[raw])
     if not places:
-        return [np.zeros(0, dtype=np.int64) for _ in sizes]
+        return np.zeros(0, dtype=np.int64), np.zeros(len(sizes) + 1, dtype=np.int64)
     place, ids = np.concatenate(places), np.concatenate(found)
     order = np.argsort(place, kind="stable")
     place, ids = place[order], ids[order]
-    bounds = np.searchsorted(place, np.append(0, stop))
-    return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+    return ids, np.searchsorted(place, np.append(0, stop))
 
 
 def cut_words(text: str, pieces: Pieces) -> list[str]:
@@ -260,18 +258,34 @@ def cut_words(text: str, pieces: Pieces) -> list[str]:
     return [*words, run[1:]] if run else words
 
 
-def encode_batch(texts: list[str | None], pieces: Pieces) -> list[list[int]]:
-    """Piece ids of each text; none for null and empty texts. Words met before are kept, about ``KEPT_WORDS``."""
+def _stretches(values: np.ndarray, at: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``which`` of ``values``, cut at ``at``, end to end, and their bounds."""
+    size = at[which + 1] - at[which]
+    bounds = np.append(0, np.cumsum(size))
+    return values[np.arange(bounds[-1]) + np.repeat(at[which] - bounds[:-1], size)], bounds
+
+
+def encode_batch(texts: list[str | None], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of the texts end to end and each text's bounds in them; none for null and empty texts. Words met before are
+    kept, about ``KEPT_WORDS``."""
     cut = [cut_words(t, pieces) if t else [] for t in texts]
     words_here = set(chain.from_iterable(cut))
     if len(pieces.cache) > KEPT_WORDS:  # words of the batch at hand stay, so common words are coded once
-        pieces.cache = {w: pieces.cache[w] for w in words_here.intersection(pieces.cache)}
+        kept = list(words_here.intersection(pieces.cache))
+        which = np.fromiter(map(pieces.cache.__getitem__, kept), np.int64, len(kept))
+        pieces.coded, pieces.coded_at = _stretches(pieces.coded, pieces.coded_at, which)
+        pieces.cache = dict(zip(kept, range(len(kept)), strict=True))
     cache = pieces.cache
     new = list(words_here.difference(cache))
     if new:
-        for word, ids in zip(new, encode_words([SPACE + w for w in new], pieces), strict=True):
-            cache[word] = tuple(ids.tolist())
-    return [list(chain.from_iterable(map(cache.__getitem__, words))) for words in cut]
+        ids, at = encode_words([SPACE + w for w in new], pieces)
+        pieces.coded_at = np.append(pieces.coded_at, pieces.coded_at[-1] + at[1:])
+        pieces.coded = np.append(pieces.coded, ids)
+        cache.update(zip(new, range(len(cache), len(cache) + len(new)), strict=True))
+    words = np.append(0, np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut))))
+    which = np.fromiter(map(cache.__getitem__, chain.from_iterable(cut)), np.int64, words[-1])
+    ids, bounds = _stretches(pieces.coded, pieces.coded_at, which)
+    return ids, bounds[words]
 
 
 def decode_ids(ids, pieces: Pieces) -> str:
@@ -296,10 +310,11 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", keep: list[str]
             for a, b in slices(batch.column(n), BATCH_BYTES):
                 part = batch.slice(a, b - a)
                 texts = part.column(n).to_pylist()
-                coded = encode_batch(texts, pieces)
-                ids = pa.array([None if t is None else x for t, x in zip(texts, coded, strict=True)], pa.list_(pa.int64()))
-                columns = [*part.columns[:n], ids]
+                ids, bounds = encode_batch(texts, pieces)
+                null = pa.array([t is None for t in texts], pa.bool_())
+                columns = [*part.columns[:n], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids), mask=null)]
                 if verify:
+                    coded = map(np.ndarray.tolist, np.split(ids, bounds[1:-1]))
                     back = [t is None or decode_ids(x, pieces) == t.replace(SPACE, " ") for t, x in zip(texts, coded, strict=True)]
                     columns.append(pa.array(back, pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
