@@ -197,10 +197,20 @@ def test_posting_lists_recall_and_scores(spark):
         hit += len({j for _, j in want} & {j for _, j, _ in mine})
     assert hit >= 0.9 * 20 * len(asked)
     assert posting_lists.nearest_by_product(table.limit(0), F.lit(True), 20).count() == 0
+    again = posting_lists.nearest_by_product(table.union(table).union(table), F.col("vec_id") % 20 == 0, 20).collect()
+    assert {i: sorted((r.rank, r.vec_id, r.score) for r in again if r.query_id == i) for i in got} == {i: sorted(v) for i, v in got.items()}
     few = table.where("vec_id < 3")
     assert posting_lists.nearest_by_product(few, F.col("vec_id") == 0, 20).count() == 2
 
 
+def test_posting_lists_keep_the_best_of_a_small_buffer(spark, monkeypatch):
+    _, table = vectors_of(spark)
+    find = lambda: sorted(map(tuple, posting_lists.nearest_by_product(table, F.col("vec_id") % 20 == 0, 20).collect()))
+    whole = find()
+    monkeypatch.setattr(posting_lists, "HELD", 50)
+    assert find() == whole
+
+
 def test_archives_round_trip(spark):
     big, other = "é<p>" * 500, "b" * 1000
     rows = [(1, "http://a", big), (5, None, big), (3, "u", big), (7, "v", None), (8, "w", "tiny"), (9, "x", "tiny"), (None, "y", other), (4, "z", other)]
