@@ -3,8 +3,10 @@
 Only vectors with the same label are compared. Equal vectors (bit for bit) are one node with a count. Lists begin with the
 best neighbours in leaves: vectors sorted along random codes and cut into runs. A round joins each node's list and reverse
 list and compares their members with one another; rounds go on while lists change. Then links at the threshold give
-components, and a component's members are compared in full, block against block: this enlarges the lists of saturated
-nodes, whose neighbours all reach the threshold, to everything near them. An audit compares nodes chosen by hash with all
+components. A saturated node, whose whole list reaches the threshold, may have links that its list had no place for, so
+saturated nodes of different components are compared too: their blocks by bounding balls, which lose no pair, and blocks
+whose balls come near enough in full. Links found so join components. A component's members are then compared in full,
+block against block. An audit compares nodes chosen by hash with all
 vectors of their label, in blocks; while its recall is under the target, descent goes on from new leaves.
 """
 
@@ -177,6 +179,85 @@ def _blocks(members: DataFrame, vectors: DataFrame, group: str) -> DataFrame:
     ).select(group, "block", F.col("rows.node").alias("nodes"), F.col("rows.x").alias("xs"))
 
 
+def _saturated(lists: DataFrame, k: int, threshold: float) -> DataFrame:
+    """Nodes whose list is full and reaches the threshold to its end; any other node's list holds all its links."""
+    ends = lists.groupBy("u").agg(F.count("*").alias("have"), F.min("sim").alias("worst"))
+    return ends.where((F.col("have") >= k) & (F.col("worst") >= threshold)).select(F.col("u").alias("node"))
+
+
+def _dealt(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` of a label in parts of about ``size``, as (label, part, parts) beside their columns."""
+    parts = rows.groupBy("label").agg(F.ceil(F.count("*") / size).cast("long").alias("parts"))
+    place = F.pmod(F.xxhash64(*[c for c in rows.columns if c != "label" and c not in ("x", "radius")]), F.col("parts"))
+    return rows.join(parts, "label").withColumn("part", place)
+
+
+def _met(parts: DataFrame) -> DataFrame:
+    """Every pair i <= j of a label's parts (label, part, parts, rows), as rows and others: a key of its own each."""
+    upto = parts.select("label", F.col("part").alias("i"), "rows", F.explode(F.expr("sequence(part, parts - 1)")).alias("j"))
+    down = parts.select("label", F.col("part").alias("j"), F.col("rows").alias("others"), F.explode(F.expr("sequence(0L, part)")).alias("i"))
+    return upto.join(down, ["label", "i", "j"])
+
+
+def _bridges(blocks: DataFrame, threshold: float) -> DataFrame:
+    """(u, v): a link between any two blocks (label, c, block, nodes, xs) of different components that have one."""
+    reach = float(np.arccos(threshold)) + 1e-5
+
+    def ball(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for r in part.itertuples(index=False):
+                x = unpack(r.xs)
+                centre = x.sum(axis=0)
+                norm = np.linalg.norm(centre)
+                centre = centre / norm if norm > 0 else x[0]
+                radius = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+                yield pd.DataFrame({"label": [r.label], "c": [r.c], "block": [r.block], "x": [centre.astype("<f8").tobytes()], "radius": [radius]})
+
+    def touch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for r in part.itertuples(index=False):
+                a, b = (pd.DataFrame([(q["c"], q["block"], bytes(q["x"]), q["radius"]) for q in t], columns=["c", "block", "x", "radius"]) for t in (r.rows, r.others))
+                x, y = (np.stack([np.frombuffer(v, dtype="<f8") for v in t["x"]]) for t in (a, b))
+                apart = np.arccos(np.clip(x @ y.T, -1, 1)) - a["radius"].to_numpy()[:, None] - b["radius"].to_numpy()[None]
+                near = (apart <= reach) & (a["c"].to_numpy()[:, None] != b["c"].to_numpy()[None])
+                i, j = np.nonzero(near)
+                yield pd.DataFrame(
+                    {"c": a["c"].to_numpy()[i], "block": a["block"].to_numpy()[i], "c2": b["c"].to_numpy()[j], "block2": b["block"].to_numpy()[j]}
+                )
+
+    def link(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for r in part.itertuples(index=False):
+                hit = unpack(r.xs) @ unpack(r.ys).T >= threshold
+                if hit.any():
+                    i, j = np.unravel_index(hit.argmax(), hit.shape)
+                    yield pd.DataFrame({"u": [r.nodes[i]], "v": [r.others[j]]})
+
+    balls = blocks.mapInPandas(ball, "label long, c long, block long, x binary, radius double")
+    parts = _dealt(settle(balls, "nn-balls").df, 2 * BLOCK).groupBy("label", "part", "parts").agg(
+        F.collect_list(F.struct("c", "block", "x", "radius")).alias("rows")
+    )
+    near = settle(_met(parts).mapInPandas(touch, "c long, block long, c2 long, block2 long").distinct(), "nn-touching").df
+    other = blocks.select(F.col("c").alias("c2"), F.col("block").alias("block2"), F.col("nodes").alias("others"), F.col("xs").alias("ys"))
+    met = near.join(blocks.select("c", "block", "nodes", "xs"), ["c", "block"]).join(other, ["c2", "block2"])
+    return met.select("nodes", "xs", "others", "ys").mapInPandas(link, "u long, v long")
+
+
+def _joined(lists: DataFrame, vectors: DataFrame, threshold: float, k: int) -> DataFrame:
+    """(node, component) by the links of the lists and those between saturated nodes of different components."""
+    links = lists.where(F.col("sim") >= threshold).select("u", "v")
+    joined = settle(components(links, "nn-components"), "nn-joined").df
+    full = settle(joined.join(_saturated(lists, k, threshold), "node").select("node", F.col("component").alias("c")), "nn-saturated")
+    if not full.rows:
+        return joined
+    labels = full.df.join(vectors.select("node", "label"), "node").groupBy("c").agg(F.first("label").alias("label"))
+    blocks = settle(_blocks(full.df, vectors, "c").join(labels, "c"), "nn-saturated-blocks").df
+    bridges = settle(_bridges(blocks, threshold), "nn-bridges")
+    if not bridges.rows:
+        return joined
+    return settle(components(links.union(bridges.df), "nn-components"), "nn-joined").df
+
+
 def _block_links(pairs: DataFrame, threshold: float) -> DataFrame:
     """Counts of links and the smallest partner per node for block pairs (nodes, xs, w: weights, other...)."""
 
@@ -240,8 +321,7 @@ def near_duplicates(
     lists, counts, joined = None, None, None
     for audit in range(AUDITS):
         lists = _descend(vectors, lists, 17 + 31 * audit, NEIGHBOURS, ROUNDS)
-        links = lists.where(F.col("sim") >= threshold).select("u", "v")
-        joined = settle(components(links, "nn-components"), "nn-joined").df
+        joined = _joined(lists, vectors, threshold, NEIGHBOURS)
         blocks = settle(_blocks(joined.withColumnRenamed("component", "c"), vectors, "c"), "nn-blocks").df
         weights = nodes.select("node", "k")
         weighed = blocks.select("c", "block", F.posexplode("nodes").alias("i", "node")).join(weights, "node")

@@ -181,6 +181,15 @@ def test_nn_descent_equals_brute_force(spark):
     assert nn_descent.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_near_vectors_link_two_saturated_clumps(spark):
+    rng = np.random.default_rng(4)
+    centres = [[1.0, 0.0], [0.985, math.sqrt(1 - 0.985**2)], [-1.0, 0.0]]
+    rows = [(20 * c + i, 1, [*centre, *(0.004 * rng.standard_normal(14)).tolist()]) for c, centre in enumerate(centres) for i in range(20)]
+    table = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.near_duplicates(table).collect()}
+    assert got == {i: (39, 0) if i < 40 else (19, 40) for i in range(60)}
+
+
 def test_posting_lists_recall_and_scores(spark):
     rows, table = vectors_of(spark)
     fit = [(i, np.float32(x).astype(float)) for i, x, _ in rows if i < 400 or i == 403]
