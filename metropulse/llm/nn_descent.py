@@ -6,12 +6,15 @@ list and compares their members with one another; rounds go on while lists chang
 components. A saturated node, whose whole list reaches the threshold, may have links that its list had no place for, so
 saturated nodes of different components are compared too: their blocks by bounding balls, which lose no pair, and blocks
 whose balls come near enough in full. Links found so join components. A component's members are then compared in full,
-block against block. An audit compares nodes chosen by hash with all
-vectors of their label, in blocks; while its recall is under the target, descent goes on from new leaves.
+block against block. An audit compares nodes chosen by hash, more of them in larger tables, with all vectors of their
+label; every node counts alike, in classes by its number of links. While the least class is under the target and rising,
+descent goes on from twice as many new leaves; when it no longer rises, all blocks of a label are compared with one another.
 """
 
 from __future__ import annotations
 
+import math
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +35,9 @@ STILL = 0.02
 BLOCK = 512
 AUDIT = 256
 RECALL = 0.98
-AUDITS = 3
+#: Audited nodes with links that are looked for, in at most so many rounds of four times the nodes each.
+LINKED = 64
+WIDER = 3
 
 _EDGES = "u long, v long, sim double"
 
@@ -154,9 +159,9 @@ def _round(vectors: DataFrame, lists: DataFrame, k: int) -> DataFrame:
     return rows.repartition("u").sortWithinPartitions("u").mapInPandas(run, _EDGES)
 
 
-def _descend(vectors: DataFrame, lists: DataFrame | None, seed: int, k: int, rounds: int) -> DataFrame:
+def _descend(vectors: DataFrame, lists: DataFrame | None, seed: int, k: int, rounds: int, trees: int = TREES) -> DataFrame:
     found = lists
-    for t in range(TREES):
+    for t in range(trees):
         leaf = _leaf_edges(vectors, seed + t, k)
         found = leaf if found is None else found.union(leaf)
     now = settle(_best(found, k), "nn-lists")
@@ -275,28 +280,83 @@ def _block_links(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.mapInPandas(run, "node long, n long, partner long")
 
 
-def _audit(vectors: DataFrame, nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Share of the links of ``AUDIT`` nodes, the first by hash, that are in ``counts``: brute force in blocks."""
-    asked = vectors.orderBy(F.xxhash64("node"), "node").limit(AUDIT).collect()
-    if not asked:
-        return 1.0
-    ids, labels = np.array([r.node for r in asked]), np.array([r.label for r in asked])
-    x = unpack([bytes(r.x) for r in asked])
+def _truth(vectors: DataFrame, nodes: DataFrame, asked: DataFrame, threshold: float) -> pd.DataFrame:
+    """(node, truth) of the nodes ``asked`` that have links, by brute force in blocks."""
+    rows = asked.collect()
+    ids, labels = np.array([r.node for r in rows]), np.array([r.label for r in rows])
+    xs = [bytes(r.x) for r in rows]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(len(ids), dtype=np.int64)
         for part in parts:
-            if len(part):
-                hit = x @ unpack(part["x"]).T >= threshold
-                hit &= labels[:, None] == part["label"].to_numpy()[None, :]
-                hit &= ids[:, None] != part["node"].to_numpy()[None, :]
-                total += hit @ part["k"].to_numpy()
+            size = part["x"].map(len).to_numpy()
+            for a in range(0, len(ids), BLOCK):
+                # A label has one vector length; a batch and the nodes asked may hold several.
+                for length in set(map(len, xs[a : a + BLOCK])) & set(size.tolist()):
+                    mine = a + np.flatnonzero([len(v) == length for v in xs[a : a + BLOCK]])
+                    theirs = part[size == length]
+                    hit = unpack([xs[i] for i in mine]) @ unpack(theirs["x"]).T >= threshold
+                    hit &= labels[mine][:, None] == theirs["label"].to_numpy()[None, :]
+                    hit &= ids[mine][:, None] != theirs["node"].to_numpy()[None, :]
+                    total[mine] += hit @ theirs["k"].to_numpy()
         yield pd.DataFrame({"node": ids, "n": total})
 
     all_ = vectors.join(nodes.select("node", "k"), "node").mapInPandas(run, "node long, n long")
-    truth = all_.groupBy("node").agg(F.sum("n").alias("truth")).where("truth > 0")
-    met = truth.join(counts.select("node", "n"), "node", "left").agg(F.sum("truth"), F.sum(F.least(F.coalesce("n", F.lit(0)), "truth"))).first()
-    return 1.0 if not met[0] else met[1] / met[0]
+    return all_.groupBy("node").agg(F.sum("n").alias("truth")).where("truth > 0").toPandas()
+
+
+def _sample(vectors: DataFrame, nodes: DataFrame, threshold: float) -> tuple[pd.DataFrame, int, int]:
+    """Links of audited nodes, the first by hash: as many as the root of the rows, and four times as many again while fewer
+    than ``LINKED`` of them have links; how many were asked, and of how many."""
+    rows = vectors.count()
+    size = max(AUDIT, math.isqrt(rows))
+    for wider in range(WIDER + 1):
+        truth = _truth(vectors, nodes, vectors.orderBy(F.xxhash64("node"), "node").limit(size), threshold)
+        if len(truth) >= LINKED or size >= rows or wider == WIDER:
+            return truth, min(size, rows), rows
+        size *= 4
+
+
+def _audit(truth: pd.DataFrame, counts: DataFrame) -> float:
+    """Mean share of a node's links that are in ``counts``, in the class of link counts (by powers of two) where it is least."""
+    if not len(truth):
+        return 1.0
+    asked = counts.sparkSession.createDataFrame(truth[["node", "truth"]])
+    met = counts.select("node", "n").join(F.broadcast(asked), "node").toPandas().set_index("node")["n"]
+    share = np.minimum(truth["node"].map(met).fillna(0) / truth["truth"], 1.0)
+    return float(share.groupby(np.log2(truth["truth"]).astype(int)).mean().min())
+
+
+def _exact(vectors: DataFrame, nodes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Components and link counts from all pairs of a label, block against block."""
+
+    def link(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for r in part.itertuples(index=False):
+                a, b = (np.array([q["node"] for q in t]) for t in (r.rows, r.others))
+                x, y = (unpack([bytes(q["x"]) for q in t]) for t in (r.rows, r.others))
+                k, m = (np.array([q["k"] for q in t]) for t in (r.rows, r.others))
+                hit = (x @ y.T >= threshold) & (a[:, None] != b[None])
+                sides = [(a, hit, m)] if r.i == r.j else [(a, hit, m), (b, hit.T, k)]
+                # A star to the least node of each component inside the two blocks keeps what hangs together.
+                least = [a.copy(), b.copy()]
+                while True:
+                    big = np.iinfo(np.int64).max
+                    left = np.minimum(least[0], np.where(hit, least[1][None], big).min(axis=1))
+                    right = np.minimum(least[1], np.where(hit, left[:, None], big).min(axis=0))
+                    same = (left == least[0]).all() and (right == least[1]).all()
+                    least = [left, right]
+                    if same:
+                        break
+                for (own, met, weight), star in zip(sides, least, strict=False):
+                    some = met.any(axis=1)
+                    yield pd.DataFrame({"node": own[some], "n": (met @ weight)[some], "partner": star[some]})
+
+    rows = vectors.join(nodes.select("node", "k"), "node").select("label", "node", "k", F.col("x"))
+    parts = _dealt(rows, 2 * BLOCK).groupBy("label", "part", "parts").agg(F.collect_list(F.struct("node", "k", "x")).alias("rows"))
+    found = settle(_met(settle(parts, "nn-exact-blocks").df).mapInPandas(link, "node long, n long, partner long"), "nn-exact").df
+    joined = settle(components(found.select("node", "partner"), "nn-components"), "nn-joined").df
+    return joined, settle(found.groupBy("node").agg(F.sum("n").alias("n")), "nn-counts").df
 
 
 def near_duplicates(
@@ -318,9 +378,12 @@ def near_duplicates(
     # Lengths are kept apart by giving each its own label.
     apart = F.xxhash64("label", F.size("x"))
     vectors = settle(_vectors(nodes.select("node", apart.alias("label"), "x")), "nn-vectors").df
-    lists, counts, joined = None, None, None
-    for audit in range(AUDITS):
-        lists = _descend(vectors, lists, 17 + 31 * audit, NEIGHBOURS, ROUNDS)
+    truth, asked, all_ = _sample(vectors, nodes, threshold)
+    if not len(truth) and asked < all_:
+        warnings.warn(f"links not audited: none of {asked} of {all_} nodes has one", stacklevel=2)
+    lists, trees, reached, seed = None, TREES, -1.0, 17
+    while True:
+        lists = _descend(vectors, lists, seed, NEIGHBOURS, ROUNDS, trees)
         joined = _joined(lists, vectors, threshold, NEIGHBOURS)
         blocks = settle(_blocks(joined.withColumnRenamed("component", "c"), vectors, "c"), "nn-blocks").df
         weights = nodes.select("node", "k")
@@ -332,8 +395,13 @@ def near_duplicates(
         met = blocks.drop("block").join(other, "c")
         counts = _block_links(met, threshold).groupBy("node").agg(F.sum("n").alias("n"))
         counts = settle(counts, "nn-counts").df
-        if _audit(vectors, nodes, counts, threshold) >= RECALL:
+        recall = _audit(truth, counts)
+        if recall >= RECALL:
+            break
+        if recall <= reached:
+            joined, counts = _exact(vectors, nodes, threshold)
             break
+        reached, seed, trees = recall, seed + trees, 2 * trees
     placed = nodes.select("h", "h2", "node", "k", "id").join(joined, "node", "left").join(counts, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("id").alias("component_id"))

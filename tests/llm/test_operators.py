@@ -190,6 +190,22 @@ def test_near_vectors_link_two_saturated_clumps(spark):
     assert got == {i: (39, 0) if i < 40 else (19, 40) for i in range(60)}
 
 
+def test_near_vectors_lost_pairs_are_noticed(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, 1, [5.0, *(0.01 * rng.standard_normal(23)).tolist()]) for i in range(150)]
+    for i in range(60):
+        x = rng.standard_normal(24)
+        rows += [(1000 + 2 * i + j, 1, (x + 0.005 * j).tolist()) for j in range(2)]
+    table = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    descend = nn_descent._descend
+    # Descent that loses the isolated pairs: only lists of the hot group, whose links reach the threshold in full.
+    lose = lambda *a: (lambda d: d.join(d.where("sim >= 0.98").groupBy("u").count().where("count > 5").select("u"), "u"))(descend(*a))
+    monkeypatch.setattr(nn_descent, "_descend", lose)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.near_duplicates(table).collect()}
+    want = {i: (149, 0) for i in range(150)} | {1000 + i: (1, 1000 + i - i % 2) for i in range(120)}
+    assert got == want
+
+
 def test_posting_lists_recall_and_scores(spark):
     rows, table = vectors_of(spark)
     fit = [(i, np.float32(x).astype(float)) for i, x, _ in rows if i < 400 or i == 403]
