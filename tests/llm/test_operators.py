@@ -228,6 +228,25 @@ def test_posting_lists_recall_and_scores(spark):
     assert posting_lists.nearest_by_product(few, F.col("vec_id") == 0, 20).count() == 2
 
 
+def test_posting_lists_reach_beyond_a_tight_group(spark):
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal((48, 16))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    # The nearest list is so near that no other is within the ratio: more probes alone read a dozen lists for ever.
+    x = np.repeat(base, 100, axis=0) + 0.001 * rng.standard_normal((4800, 16))
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {}
+    for r in posting_lists.nearest_by_product(table, F.col("vec_id") % 400 == 0, 2400).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    shares = []
+    for i in range(0, 4800, 400):
+        score = x @ x[i]
+        score[i] = -9
+        shares.append(len(got[i] & set(np.argsort(-score)[:2400].tolist())) / 2400)
+    print("recall", np.mean(shares), min(shares))
+    assert np.mean(shares) >= 0.96 and min(shares) >= 0.75
+
+
 def test_posting_lists_keep_the_best_of_a_small_buffer(spark, monkeypatch):
     _, table = vectors_of(spark)
     find = lambda: sorted(map(tuple, posting_lists.nearest_by_product(table, F.col("vec_id") % 20 == 0, 20).collect()))
