@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metropulse.llm import brown, language, nn_descent, packing, pieces, posting_lists, sanitise, token_counts, warc
+from metropulse.llm import (
+    brown,
+    language,
+    nn_descent,
+    packing,
+    periodic,
+    pieces,
+    posting_lists,
+    sanitise,
+    token_counts,
+    token_files,
+    turns,
+    warc,
+)
 from metropulse.llm.ngram_join import ngram_jaccard_components
 from metropulse.operators.staging import settle, shared_folder
 
@@ -89,6 +102,63 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages")
 
 
+def planted_repeats(text: Column, doc_id: Column) -> Column:
+    """The text, of every tenth document by a hash of its id from some word on the same few words again and again."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text, "[ \\t-\\r]+"), lambda w: w != "")
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        numbers = F.sequence(F.lit(0).cast("long"), n - 1)
+        named = F.transform(numbers, lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+        return F.when(n == 0, F.lit("")).otherwise(F.array_join(named, " "))
+
+    # A one-element array names the words, so that they are cut once.
+    return F.when(h % 10 == 0, F.transform(F.array(words), repeated)[0]).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    read = docs.select("doc_id", planted_repeats(F.coalesce("text", F.lit("")), F.col("doc_id")).alias("text"))
+    found = periodic.periodic_runs(read, keep=["doc_id"])
+    # Greatest exact length / period first: fractions are compared by their products, which fit 64 bits.
+    def order(a: Column, b: Column) -> Column:
+        left, right = a["length"] * b["period"], b["length"] * a["period"]
+        earlier = (a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["period"] < b["period"]))
+        return F.when(left > right, F.lit(-1)).when(left < right, F.lit(1)).when(earlier, F.lit(-1)).otherwise(F.lit(1))
+
+    best = F.get(F.array_sort("runs", order), F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select("doc_id", "runs", "collapsed", best.alias("best"), listed.alias("listed")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000L * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "conversations")
+    repaired = turns.repair(turns.damaged(table))
+    return turns.with_all(table, repaired)
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    written = token_files.write_token_files(docs, shared_folder(spark, "tokens"), f"{tokenizers}/byte_bpe_50k.json")
+    manifest = settle(written, "tokens-manifest")
+    read = token_files.read_token_files(manifest.df, manifest.rows)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = [
     op1_best_fit_packing,
     op2_token_counts,
@@ -100,6 +170,9 @@ QUERIES = [
     op8_posting_lists,
     op9_sentencepiece,
     op10_language,
+    op11_periodic_runs,
+    op12_conversation_repair,
+    op13_token_files,
 ]
 
 
