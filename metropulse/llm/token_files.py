@@ -36,16 +36,19 @@ from metropulse.llm.words import slices
 MAGIC, VERSION = b"DACS", 1
 HEAD, LEVEL = struct.Struct("<4sHHQQ"), struct.Struct("<BQ")
 SUPER, BLOCK = 1 << 16, 512
-ID_BITS = 32
+ID_BITS, WIDEST = 32, 8
+#: Bits of bitmap and directory a chunk; the time for another level's rank counts as one more.
+PLACES = 2 + 16 / BLOCK + 64 / SUPER
 #: Ids after which a file is closed. A document is never split, so a longer one is a file of its own.
 FILE_IDS = 8 << 20
 #: Numbers packed or unpacked at once.
 STEP = 1 << 20
 #: Signs of a text that are encoded at once.
 STRETCH = 4 << 20
-CACHED_WORDS = 400_000
-#: Signs of the longest word that is kept.
-CACHED_SIGNS = 32
+#: Words and ids that a worker keeps.
+CACHED_WORDS = 600_000
+CACHED_IDS = 8_000_000
+JOINED = 64
 END_ID = 0
 
 _MANIFEST = pa.schema(
@@ -59,18 +62,18 @@ class BadFile(ValueError):
 # --- codes -------------------------------------------------------------------------------------------------------------
 
 
-def best_widths(lengths: np.ndarray, places: float = 1 + 16 / BLOCK + 64 / SUPER) -> list[int]:
-    """Chunk widths, lowest first, with the fewest bits for a histogram of bit lengths (index 1 and up): each chunk but the
-    last level's costs its width and ``places`` bits of bitmap and directory."""
+def best_widths(lengths: np.ndarray) -> list[int]:
+    """Chunk widths, lowest first, of at most a byte with the fewest bits for a histogram of bit lengths (index 1 and up): each
+    chunk but the last level's costs its width and ``PLACES`` bits of bitmap, directory and time."""
     top = int(np.flatnonzero(lengths)[-1]) if lengths.any() else 1
     above = np.append(np.cumsum(lengths[::-1])[::-1], 0)  # above[b]: ids of at least b bits
     cost, choice = [0.0] * (top + 1), [0] * (top + 1)
     for low in range(top - 1, -1, -1):  # bits from low on are still to be held
         holders = float(above[low + 1] if low else above[0])
         best = []
-        for width in range(1, top - low + 1):
+        for width in range(1, min(WIDEST, top - low) + 1):
             last = low + width == top
-            best.append((holders * (width + (0 if last else places)) + cost[low + width], -width))
+            best.append((holders * (width + (0 if last else PLACES)) + cost[low + width], -width))
         cost[low], least = min(best)
         choice[low] = -least
     widths, low = [], 0
@@ -81,26 +84,32 @@ def best_widths(lengths: np.ndarray, places: float = 1 + 16 / BLOCK + 64 / SUPER
 
 
 def pack_bits(values: np.ndarray, width: int) -> bytes:
-    out, step = [], STEP // 8 * 8
-    for i in range(0, len(values), step):
-        bits = (values[i : i + step, None] >> np.arange(width - 1, -1, -1, dtype=np.uint32)) & np.uint32(1)
-        out.append(np.packbits(bits.astype(np.uint8)).tobytes())
-    return b"".join(out)
-
-
-def unpack_bits(data: np.ndarray, width: int, first_bit: int, n: int) -> np.ndarray:
-    """``n`` values of ``width`` bits from bit ``first_bit`` on of the packed bytes."""
-    out = np.empty(n, dtype=np.uint32)
-    weights = np.uint32(1) << np.arange(width - 1, -1, -1, dtype=np.uint32)
-    for i in range(0, n, STEP):
-        k = min(STEP, n - i)
-        start = first_bit + i * width
-        bits = np.unpackbits(data[start // 8 : (start + k * width + 7) // 8])[start % 8 : start % 8 + k * width]
-        value = np.zeros(k, dtype=np.uint32)
-        for column, weight in zip(bits.reshape(k, width).T, weights, strict=True):
-            value += column * weight
-        out[i : i + k] = value
-    return out
+    """Eight values of at most a byte become ``width`` bytes."""
+    out = []
+    for i in range(0, len(values), STEP):
+        part = values[i : i + STEP]
+        eights = np.zeros(-(-len(part) // 8) * 8, dtype=np.uint64)
+        eights[: len(part)] = part
+        word = np.zeros(len(eights) // 8, dtype=">u8")
+        for k, column in enumerate(eights.reshape(-1, 8).T):
+            word |= column << np.uint64((7 - k) * width)
+        out.append(word.view(np.uint8).reshape(-1, 8)[:, 8 - width :].tobytes())
+    return b"".join(out)[: (len(values) * width + 7) // 8]
+
+
+def unpack_bits(data: np.ndarray, width: int, skip: int, n: int) -> np.ndarray:
+    """``n`` values after the first ``skip`` of the packed bytes."""
+    out = np.empty(-(-(skip + n) // 8) * 8, dtype=np.uint32)
+    ones = np.uint64((1 << width) - 1)
+    for i in range(0, len(out), STEP):
+        part = data[i // 8 * width : (i + STEP) // 8 * width]
+        eights = min(STEP, len(out) - i) // 8
+        word = np.zeros((eights, 8), dtype=np.uint8)
+        word[:, 8 - width :] = np.append(part, np.zeros(eights * width - len(part), dtype=np.uint8)).reshape(eights, width)
+        word = word.view(">u8").astype(np.uint64)[:, 0]
+        for k in range(8):
+            out[i + k : i + 8 * eights : 8] = (word >> np.uint64((7 - k) * width)) & ones
+    return out[skip : skip + n]
 
 
 def _sizes(width: int, n: int, last: bool) -> list[int]:
@@ -210,23 +219,40 @@ class TokenFile:
             if not n:
                 break
             chunks, bitmap = self.places[k][:2]
-            out[at] |= unpack_bits(self._bits(chunks, a * width, n * width), width, a * width % 8, n) << np.uint32(shift)
+            first = a // 8 * 8  # eight chunks begin at a whole byte
+            data = self._array(chunks + first // 8 * width, ((a + n - first) * width + 7) // 8, "u1")
+            out[at] |= unpack_bits(data, width, a - first, n) << np.uint32(shift)
             if k + 1 < len(self.levels):
-                more = np.unpackbits(self._bits(bitmap, a, n))[a % 8 : a % 8 + n]
+                more = np.unpackbits(self._array(bitmap + first // 8, (a + n - first + 7) // 8, "u1"))[a - first : a - first + n]
                 at, a = at[more == 1], self.rank(k, a)
             shift += width
         return out
 
-    def _bits(self, offset: int, first: int, n: int) -> np.ndarray:
-        """The bytes that hold bits ``first`` to ``first + n - 1`` of a part."""
-        return self._array(offset + first // 8, (first + n + 7) // 8 - first // 8, "u1")
-
 
 # --- tokens ------------------------------------------------------------------------------------------------------------
 
-#: Before white space that follows something else. Byte-level pre-tokenisation always cuts there: of its patterns only those of
-#: nothing but white space hold any after their first sign.
-_CUT = re.compile(r"(?<=[^\s\u180e])(?=[ \t\n\r\x0b\x0c])")
+# Byte-level pre-tokenisation always cuts before white space that follows something else (of its patterns only those of nothing but
+# white space hold any after their first sign) and between a letter and a sign that is neither letter nor white space. A part is
+# white space and a word, or what follows a word. What counts as white space differs between libraries beyond ASCII, so a part
+# that ends in such a sign goes on.
+_GAP, _ODD = r" \t\n\r\x0b\x0c", r"\s\u180e"
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_WORD = rf"[{_LETTERS}]+(?=[\x00-@\[-`{{-\x7f]|\Z)"
+_PART = re.compile(rf"[{_GAP}]*(?:{_WORD}|[^{_GAP}]+(?:(?<=[{_ODD}])[{_GAP}]+[^{_GAP}]*)*)|[{_GAP}]+")
+_PLAIN = re.compile(rf" [{_LETTERS}]+")
+_CUT = re.compile(rf"(?<=[^{_ODD}])(?=[{_GAP}])")
+
+
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
 
 
 class Encoder:
@@ -238,42 +264,47 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.number: dict[str, int] = {}
-        self.coded, self.coded_at = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number = _Numbers()
+        self.coded = np.zeros(0, dtype=np.uint32)
+        self.start, self.size = (np.zeros(0, dtype=np.int64) for _ in range(2))
 
     def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts end to end and their bounds; none for null and empty texts."""
-        cut = [_CUT.split(t) if t else [] for t in texts]
-        here = set(chain.from_iterable(cut))
-        if len(self.number) > CACHED_WORDS:  # words of the texts at hand stay, so common ones are encoded once
-            kept = list(here.intersection(self.number))
-            self.coded, self.coded_at = self._gathered(np.fromiter(map(self.number.__getitem__, kept), np.int64, len(kept)))
-            self.number = dict(zip(kept, range(len(kept)), strict=True))
-        number, new, long = self.number, [], []
-        for word in here.difference(number):
-            (new if len(word) <= CACHED_SIGNS else long).append(word)
-        kept, new = len(number) + len(new), new + long
-        if new:
-            made = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, made), np.int64, len(made))
-            flat = np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum()))
-            number.update(zip(new, range(len(number), len(number) + len(new)), strict=True))
-            self.coded_at = np.append(self.coded_at, len(self.coded) + np.cumsum(sizes))
-            self.coded = np.append(self.coded, flat)
+        if len(self.number) > CACHED_WORDS or len(self.coded) > CACHED_IDS:
+            self._forget()
+        cut = [_PART.findall(t) if t else [] for t in texts]
         words = np.append(0, np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut))))
-        which = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64, words[-1])
-        out, bounds = self._gathered(which)
-        for word in long:
-            del number[word]
-        self.coded_at = self.coded_at[: kept + 1]
-        self.coded = self.coded[: self.coded_at[-1]]
-        return out, bounds[words]
-
-    def _gathered(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the words ``which`` end to end, and their bounds."""
-        size = self.coded_at[which + 1] - self.coded_at[which]
+        which = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), np.int64, words[-1])
+        if self.number.new:
+            self._learn(self.number.new)
+            self.number.new = []
+        size = self.size[which]
         bounds = np.append(0, np.cumsum(size))
-        return self.coded[np.arange(bounds[-1]) + np.repeat(self.coded_at[which] - bounds[:-1], size)], bounds
+        ids = self.coded[np.arange(bounds[-1]) + np.repeat(self.start[which] - bounds[:-1], size)]
+        return ids, bounds[words]
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode the words. Those of a space and letters go as one text each ``JOINED``, for the library counts them apart."""
+        plain = [i for i, w in enumerate(new) if _PLAIN.fullmatch(w)]
+        rest = sorted(set(range(len(new))).difference(plain))
+        groups = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
+        made = self.tokenizer.encode_batch(["".join([new[i] for i in g]) for g in groups], add_special_tokens=False)
+        counts = [np.bincount(e.word_ids, minlength=len(g)) for e, g in zip(made, groups, strict=True)]
+        if any(len(n) != len(g) or not n.all() for n, g in zip(counts, groups, strict=True)):
+            raise ValueError("the tokenizer does not cut words at spaces")
+        alone = [e.ids for e in self.tokenizer.encode_batch_fast([new[i] for i in rest], add_special_tokens=False)]
+        flat = [np.fromiter(chain.from_iterable(x), np.uint32) for x in ((e.ids for e in made), alone)]
+        size = np.zeros(len(new), dtype=np.int64)
+        size[plain] = np.concatenate([size[:0], *counts])
+        size[rest] = list(map(len, alone))
+        order = np.array(plain + rest)
+        start = np.zeros(len(new), dtype=np.int64)
+        start[order] = len(self.coded) + np.cumsum(size[order]) - size[order]
+        self.start, self.size = np.append(self.start, start), np.append(self.size, size)
+        self.coded = np.concatenate([self.coded, *flat])
 
     def documents(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """As ``ids``, with ``end_id`` after each text. Long texts go through in stretches."""

@@ -282,7 +282,7 @@ def test_one_token_reads_little():
     ids = (np.random.default_rng(1).random(500_000) ** 12 * 50_000).astype(np.uint32)
     data, read = token_files.encode_file([1], ids, np.array([0, len(ids)])), []
     file = token_files.TokenFile(lambda offset, n: read.append(n) or data[offset : offset + n], len(data))
-    assert len(file.levels) > 2
+    assert len(file.levels) > 1
     read.clear()
     assert file.token(int(ids.argmax())) == ids.max() and sum(read) < 400
 
@@ -301,19 +301,19 @@ def test_chunk_widths_are_the_cheapest():
     rng = np.random.default_rng(5)
 
     def cuts(n):
-        return [[]] if n == 0 else [[i, *rest] for i in range(1, n + 1) for rest in cuts(n - i)]
+        return [[]] if n == 0 else [[i, *rest] for i in range(1, min(n, 8) + 1) for rest in cuts(n - i)]
 
     def cost(lengths, widths):
         low, bits = 0, 0.0
         for k, w in enumerate(widths):
             holders = lengths[low + 1 if low else 0 :].sum()
-            bits += holders * (w + (0 if k == len(widths) - 1 else 1 + 16 / 512 + 64 / 65536))
+            bits += holders * (w + (0 if k == len(widths) - 1 else 2 + 16 / 512 + 64 / 65536))
             low += w
         return bits
 
     for _ in range(20):
         lengths = np.zeros(33, dtype=np.int64)
-        top = int(rng.integers(1, 9))
+        top = int(rng.integers(1, 12))
         lengths[1 : top + 1] = rng.integers(0, 1000, top)
         lengths[top] += 1
         assert abs(cost(lengths, token_files.best_widths(lengths)) - min(cost(lengths, c) for c in cuts(top))) < 1e-6
