@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from metropulse.llm.words import mix, slices, text_bytes
 
 FEATURES = 1 << 15
-#: About so many labelled documents, chosen by a hash of their id, are learned from.
-MAX_TRAIN = 20_000
+#: About so many different labelled texts of each language, chosen by a hash of the text, are learned from.
+MAX_TRAIN = 10_000
 SMOOTHING = 0.5
 PENALTY = 1.0
 LEAST_SHARE = 0.02
@@ -125,14 +125,20 @@ class Mixture:
 
 
 def learn(docs: DataFrame, text_col: str, lang_col: str, training: Column, max_train: int = MAX_TRAIN) -> Mixture:
-    """Trigram counts of the labelled documents that ``training`` holds for, about ``max_train`` of them by a hash of the
-    text. The model is langs x FEATURES numbers."""
+    """Trigram counts of the labelled documents that ``training`` holds for. Of a language with more than ``max_train`` different
+    texts about that many are taken, by a hash of the text; every language is learned, and copies of a text count once.
+    The model is langs x FEATURES numbers, so the languages are few enough to be collected."""
     text, lang = F.col(f"`{text_col}`").cast("string"), F.col(f"`{lang_col}`").cast("string")
-    labelled = docs.where(training & lang.isNotNull() & text.isNotNull())
-    rows = labelled.count()
-    if rows > max_train:
-        labelled = labelled.where(F.pmod(F.xxhash64(text), F.lit(1 << 30)) < int((1 << 30) * max_train / rows))
-    counted = labelled.select(text, lang).mapInArrow(_gather, "lang string, f long, n long")
+    labelled = docs.where(training & lang.isNotNull() & text.isNotNull()).select(lang.alias("lang"), text.alias("text"))
+    labelled = labelled.withColumn("h", F.xxhash64("text"))
+    texts = labelled.select("lang", "h").distinct().groupBy("lang").count().where(F.col("count") > max_train)
+    share = {r["lang"]: max_train / r["count"] for r in texts.collect()}
+    if share:
+        bound = F.create_map(*[F.lit(x) for k, v in share.items() for x in (k, int((1 << 30) * v))])
+        within = F.pmod(F.xxhash64("h", F.lit(1)), F.lit(1 << 30)) < F.coalesce(F.try_element_at(bound, F.col("lang")), F.lit(1 << 30))
+        labelled = labelled.where(within)
+    labelled = labelled.groupBy("lang", "h").agg(F.min("text").alias("text"))
+    counted = labelled.select("text", "lang").mapInArrow(_gather, "lang string, f long, n long")
     found = counted.groupBy("lang", "f").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(found["lang"].unique())
     counts = np.zeros((FEATURES, len(langs)))

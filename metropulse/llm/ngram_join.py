@@ -70,8 +70,9 @@ def _describe(width: int):
                         pa.array(np.concatenate([d1, distinct[heavy].view(np.int64)])),
                         pa.array(np.concatenate([d2, np.zeros(k, dtype=np.int64)])),
                         pa.array(np.arange(rows + k) >= rows),
+                        pa.concat_arrays([part.column(2), pa.nulls(k, pa.int64())]),
                     ],
-                    ["id", "n", "d1", "d2", "heavy"],
+                    ["id", "n", "d1", "d2", "heavy", "text_hash"],
                 )
 
     return run
@@ -346,10 +347,19 @@ def ngram_jaccard_components(
     an id are documents of their own with that id. Repeated rows come back as often as they went in. An empty table gives
     an empty result. Other columns are not read.
     """
-    spark = docs.sparkSession
-    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return row_components(docs, id_col, text_col, percent, width).select(id_col, "n_shingles", "component_id")
+
+
+def row_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5
+) -> DataFrame:
+    """As ``ngram_jaccard_components``, with text_hash (xxhash64 of the text), which tells rows that share an id apart, and
+    component, which tells components apart whose smallest ids are equal (null where a row links with nothing by rule)."""
+    text = F.col(f"`{text_col}`").cast("string")
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"))
+    hashed = source.withColumn("text_hash", F.xxhash64("text"))
     seen = settle(
-        source.mapInArrow(_describe(width), "id long, n long, d1 long, d2 long, heavy boolean"), "shingle-sets"
+        hashed.mapInArrow(_describe(width), "id long, n long, d1 long, d2 long, heavy boolean, text_hash long"), "shingle-sets"
     ).df
     sized = seen.where("not heavy").drop("heavy")
     rows, total = sized.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -374,8 +384,12 @@ def ngram_jaccard_components(
     joined = components(settle(links, "shingle-links").df, "shingle-components")
     named = groups.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = named.join(least, "component").select("node", "component_id")
+    named = named.join(least, "component").select("node", "component", "component_id")
     out = sized.withColumn("node", F.when(F.col("id").isNotNull() & (F.col("n") > 0), node)).join(named, "node", "left")
     return out.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "id").alias("component_id"),
+        "text_hash",
+        "component",
     )

@@ -3,18 +3,18 @@
 Only vectors with the same label are compared. Equal vectors (bit for bit) are one node with a count. Lists begin with the
 best neighbours in leaves: vectors sorted along random codes and cut into runs. A round joins each node's list and reverse
 list and compares their members with one another; rounds go on while lists change. Then links at the threshold give
-components. A saturated node, whose whole list reaches the threshold, may have links that its list had no place for, so
-saturated nodes of different components are compared too: their blocks by bounding balls, which lose no pair, and blocks
+components. A saturated node, whose whole list reaches the threshold, may have links that its list had no place for, so its list
+is doubled and filled by further rounds, up to ``LONGEST``; nodes saturated even then are compared between components: their blocks by bounding balls, which lose no pair, and blocks
 whose balls come near enough in full. Links found so join components. A component's members are then compared in full,
 block against block. An audit compares nodes chosen by hash, more of them in larger tables, with all vectors of their
 label; every node counts alike, in classes by its number of links. While the least class is under the target and rising,
-descent goes on from twice as many new leaves; when it no longer rises, all blocks of a label are compared with one another.
+descent goes on from twice as many new leaves; when it no longer rises, or no audited node has a link to measure by, all blocks of a
+label are compared with one another.
 """
 
 from __future__ import annotations
 
 import math
-import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,10 +23,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metropulse.llm.graph import components
-from metropulse.llm.vectors import matrix, pack_column, packed, unpack, usable
+from metropulse.llm.vectors import Rows, by_length, packed, unpack, usable
 from metropulse.operators.staging import settle
 
 NEIGHBOURS = 12
+#: Saturated lists are doubled up to this; nodes saturated even then are compared in blocks.
+LONGEST = 96
 LEAF = 64
 TREES = 2
 BITS = 24
@@ -34,10 +36,11 @@ ROUNDS = 4
 STILL = 0.02
 BLOCK = 512
 AUDIT = 256
+#: Audited vectors travel to every task, so their bytes are bounded.
+AUDIT_BYTES = 32 << 20
 RECALL = 0.98
-#: Audited nodes with links that are looked for, in at most so many rounds of four times the nodes each.
+#: Audited nodes with links that are looked for.
 LINKED = 64
-WIDER = 3
 
 _EDGES = "u long, v long, sim double"
 
@@ -55,16 +58,16 @@ def _code(vectors: DataFrame, seed: int) -> DataFrame:
         for part in parts:
             if not len(part):
                 continue
-            x = unpack(part["x"])
-            planes = np.random.default_rng(seed).standard_normal((x.shape[1], BITS + 1))
-            y = x @ planes
-            signs = (y[:, :BITS] > 0).astype(np.int64)
-            code = np.zeros(len(x), dtype=np.int64)
-            bit = np.zeros(len(x), dtype=np.int64)
-            for j in range(BITS):
-                bit ^= signs[:, j]
-                code = code * 2 + bit
-            yield part.assign(code=code, along=y[:, BITS])
+            for at, x in by_length(part["x"]):
+                planes = np.random.default_rng(seed).standard_normal((x.shape[1], BITS + 1))
+                y = x @ planes
+                signs = (y[:, :BITS] > 0).astype(np.int64)
+                code = np.zeros(len(x), dtype=np.int64)
+                bit = np.zeros(len(x), dtype=np.int64)
+                for j in range(BITS):
+                    bit ^= signs[:, j]
+                    code = code * 2 + bit
+                yield part.iloc[at].assign(code=code, along=y[:, BITS])
 
     return vectors.mapInPandas(run, "node long, label long, x binary, code long, along double")
 
@@ -98,13 +101,13 @@ def _leaf_edges(vectors: DataFrame, seed: int, k: int) -> DataFrame:
         for part in parts:
             labels = part["label"].to_numpy()
             nodes, out = part["node"].to_numpy(), []
-            x = unpack(part["x"]) if len(part) else None
+            x = Rows(part["x"])  # a label has one length
             edges = [0, *(np.flatnonzero(labels[1:] != labels[:-1]) + 1).tolist(), len(part)]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 runs = max(1, round((b - a) / LEAF))
                 for run_ in np.array_split(np.arange(a, b), runs):
                     if len(run_) > 1:
-                        out.append(_pairs_of(nodes[run_], x[run_], k))
+                        out.append(_pairs_of(nodes[run_], x[run_[0] : run_[-1] + 1], k))
             if out:
                 yield pd.concat(out)
 
@@ -118,9 +121,9 @@ def _best(edges: DataFrame, k: int) -> DataFrame:
     return once.withColumn("r", rank).where(F.col("r") <= k).drop("r")
 
 
-def _round(vectors: DataFrame, lists: DataFrame, k: int) -> DataFrame:
+def _round(vectors: DataFrame, lists: DataFrame, k: int, only: DataFrame | None = None) -> DataFrame:
     """Compare the members of each node's list and reverse list (of a hub, ``k`` chosen by hash: its others reach it by
-    their own lists) and keep what beats a member's worst neighbour."""
+    their own lists) and keep what beats a member's worst neighbour. With ``only`` (node) nothing is kept for other members."""
     reverse = lists.select(F.col("v").alias("u"), F.col("u").alias("v"))
     some = F.row_number().over(Window.partitionBy("u").orderBy(F.xxhash64("u", "v"), "v"))
     reverse = reverse.withColumn("r", some).where(F.col("r") <= k).drop("r")
@@ -129,7 +132,11 @@ def _round(vectors: DataFrame, lists: DataFrame, k: int) -> DataFrame:
     bars = lists.groupBy("u").agg(F.min("sim").alias("bar"), F.count("*").alias("have"))
     bars = bars.select(F.col("u").alias("v"), F.when(F.col("have") < k, -2.0).otherwise(F.col("bar")).alias("bar"))
     known = vectors.select(F.col("node").alias("v"), "x").join(bars, "v", "left")
-    rows = member.join(known, "v").select("u", "v", "x", F.coalesce("bar", F.lit(-2.0)).alias("bar"))
+    bar = F.coalesce("bar", F.lit(-2.0))
+    if only is not None:
+        known = known.join(only.select(F.col("node").alias("v"), F.lit(True).alias("wanted")), "v", "left")
+        bar = F.when(F.col("wanted"), bar).otherwise(2.0)
+    rows = member.join(known.withColumn("bar", bar), "v").select("u", "v", "x", "bar")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -144,11 +151,12 @@ def _round(vectors: DataFrame, lists: DataFrame, k: int) -> DataFrame:
             yield compare(held)
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
-        u, v, bar, x = part["u"].to_numpy(), part["v"].to_numpy(), part["bar"].to_numpy(), unpack(part["x"])
+        u, v, bar, x = part["u"].to_numpy(), part["v"].to_numpy(), part["bar"].to_numpy(), Rows(part["x"])
         cuts = np.flatnonzero(u[1:] != u[:-1]) + 1
         us, vs, sims = [], [], []
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(u)], strict=True):
-            sim = x[a:b] @ x[a:b].T
+            y = x[a:b]
+            sim = y @ y.T
             np.fill_diagonal(sim, -3)
             i, j = np.nonzero(sim > bar[a:b, None])
             us.append(v[a:b][i])
@@ -174,6 +182,27 @@ def _descend(vectors: DataFrame, lists: DataFrame | None, seed: int, k: int, rou
     return now.df
 
 
+def _widened(vectors: DataFrame, lists: DataFrame, threshold: float) -> tuple[DataFrame, int]:
+    """Lists twice as long for saturated nodes, whose lists reach the threshold to their ends, as long as there are such nodes
+    and up to ``LONGEST``; and the length reached."""
+    k = NEIGHBOURS
+    while k < LONGEST:
+        full = settle(_saturated(lists, k, threshold), "nn-saturated")
+        if not full.rows:
+            break
+        k *= 2
+        for _ in range(ROUNDS):
+            more = settle(_round(vectors, lists, k, full.df), "nn-found")
+            known = lists.withColumnRenamed("sim", "held")
+            fresh = more.df.join(known, ["u", "v"], "left_anti")
+            now = settle(_best(lists.union(fresh), k), "nn-lists")
+            grown = now.rows - lists.count()
+            lists = now.df
+            if grown <= STILL * full.rows:
+                break
+    return lists, k
+
+
 def _blocks(members: DataFrame, vectors: DataFrame, group: str) -> DataFrame:
     """(group, block, nodes, xs): vectors of a group in blocks of about ``BLOCK`` by hash."""
     sizes = members.groupBy(group).agg(F.count("*").alias("n"))
@@ -305,16 +334,17 @@ def _truth(vectors: DataFrame, nodes: DataFrame, asked: DataFrame, threshold: fl
     return all_.groupBy("node").agg(F.sum("n").alias("truth")).where("truth > 0").toPandas()
 
 
-def _sample(vectors: DataFrame, nodes: DataFrame, threshold: float) -> tuple[pd.DataFrame, int, int]:
+def _sample(vectors: DataFrame, nodes: DataFrame, threshold: float) -> pd.DataFrame:
     """Links of audited nodes, the first by hash: as many as the root of the rows, and four times as many again while fewer
-    than ``LINKED`` of them have links; how many were asked, and of how many."""
-    rows = vectors.count()
-    size = max(AUDIT, math.isqrt(rows))
-    for wider in range(WIDER + 1):
+    than ``LINKED`` of them have links, within ``AUDIT_BYTES``."""
+    rows, longest = vectors.agg(F.count("*"), F.max(F.octet_length("x"))).first()
+    most = max(AUDIT, AUDIT_BYTES // (longest or 1))
+    size = min(max(AUDIT, math.isqrt(rows)), most)
+    while True:
         truth = _truth(vectors, nodes, vectors.orderBy(F.xxhash64("node"), "node").limit(size), threshold)
-        if len(truth) >= LINKED or size >= rows or wider == WIDER:
-            return truth, min(size, rows), rows
-        size *= 4
+        if len(truth) >= LINKED or size >= min(rows, most):
+            return truth
+        size = min(4 * size, most)
 
 
 def _audit(truth: pd.DataFrame, counts: DataFrame) -> float:
@@ -366,7 +396,7 @@ def near_duplicates(
 
     Vectors that are null, zero or hold null or non-finite components, and those without label or id, link with nothing and
     are kept as their own component. Repeated rows with one id are copies of one another and count as links. Vectors of
-    other lengths than the label's are compared with nothing but their own length. An empty table gives an empty result.
+    different lengths are never compared, whatever their label. An empty table gives an empty result.
     """
     label, vector = F.col(f"`{label_col}`").cast("long"), F.col(f"`{vector_col}`")
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), label.alias("label"), vector.alias("x"))
@@ -378,21 +408,27 @@ def near_duplicates(
     # Lengths are kept apart by giving each its own label.
     apart = F.xxhash64("label", F.size("x"))
     vectors = settle(_vectors(nodes.select("node", apart.alias("label"), "x")), "nn-vectors").df
-    truth, asked, all_ = _sample(vectors, nodes, threshold)
-    if not len(truth) and asked < all_:
-        warnings.warn(f"links not audited: none of {asked} of {all_} nodes has one", stacklevel=2)
+    truth = _sample(vectors, nodes, threshold)
     lists, trees, reached, seed = None, TREES, -1.0, 17
     while True:
+        if not len(truth):  # no audited node has a link, so descent could not be measured
+            joined, counts = _exact(vectors, nodes, threshold)
+            break
         lists = _descend(vectors, lists, seed, NEIGHBOURS, ROUNDS, trees)
-        joined = _joined(lists, vectors, threshold, NEIGHBOURS)
+        lists, longest = _widened(vectors, lists, threshold)
+        joined = _joined(lists, vectors, threshold, longest)
         blocks = settle(_blocks(joined.withColumnRenamed("component", "c"), vectors, "c"), "nn-blocks").df
         weights = nodes.select("node", "k")
         weighed = blocks.select("c", "block", F.posexplode("nodes").alias("i", "node")).join(weights, "node")
         weighed = weighed.groupBy("c", "block").agg(F.sort_array(F.collect_list(F.struct("i", "k"))).alias("w"))
-        other = blocks.join(weighed, ["c", "block"]).select(
-            "c", F.col("nodes").alias("others"), F.col("xs").alias("ys"), F.col("w.k").alias("weights")
+        # Every pair of a component's blocks is a key of its own, so a large component is many small tasks.
+        parts = blocks.groupBy("c").agg((F.max("block") + 1).alias("parts"))
+        every = F.explode(F.expr("sequence(0L, parts - 1)"))
+        one = blocks.join(parts, "c").select("c", F.col("block").alias("i"), "nodes", "xs", every.alias("j"))
+        other = blocks.join(weighed, ["c", "block"]).join(parts, "c").select(
+            "c", F.col("block").alias("j"), F.col("nodes").alias("others"), F.col("xs").alias("ys"), F.col("w.k").alias("weights"), every.alias("i")
         )
-        met = blocks.drop("block").join(other, "c")
+        met = one.join(other, ["c", "i", "j"])
         counts = _block_links(met, threshold).groupBy("node").agg(F.sum("n").alias("n"))
         counts = settle(counts, "nn-counts").df
         recall = _audit(truth, counts)

@@ -6,10 +6,12 @@ import base64
 from collections.abc import Iterator
 from functools import cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from metropulse.operators.staging import settle
+
 #: Lengths of one block of the histogram's prefix sums; a longest length of millions is a few thousand blocks.
 BLOCK = 1024
 
@@ -25,17 +27,22 @@ def _encoding(path: str, pattern: str):
 
 def encoded_lengths(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text") -> DataFrame:
     """``docs`` with n_tokens in place of the text, counted with the byte-level ranks in the file ``vocabulary``, which every
-    executor has at that path. Null and empty texts have 0 tokens; strings of special tokens are ordinary text."""
+    executor has at that path. Null and empty texts have 0 tokens; strings of special tokens are ordinary text; a text is encoded
+    whole and once, however long. A column n_tokens that was there gives way. Every row comes back, repeated rows too."""
+    kept = [c for c in docs.columns if c not in (text_col, "n_tokens")]
+    n = len(kept)
 
-    def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(vocabulary, pattern).encode_ordinary
-        for part in texts:
-            yield pd.Series([len(encode(t)) if t else 0 for t in part], dtype="int64")
+        for batch in batches:
+            lengths = [len(encode(t)) if t else 0 for t in batch.column(n).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(lengths, pa.int64())], [f"c{i}" for i in range(n + 1)])
 
-    counted = F.pandas_udf(count, "long")
-    text = F.col(f"`{text_col}`").cast("string")
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    return docs.select(*kept, counted(text).alias("n_tokens"))
+    # A map over batches is evaluated once, where a function in an expression would be again in filters and groupings.
+    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string"))
+    source = source.toDF(*[f"c{i}" for i in range(n)], "text")
+    kinds = [f"c{i} {t}" for i, (_, t) in enumerate(source.dtypes[:-1])]
+    return source.mapInArrow(count, ", ".join([*kinds, f"c{n} long"])).toDF(*kept, "n_tokens")
 
 
 def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFrame:
@@ -46,7 +53,9 @@ def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFr
     lengths are left out; an empty table gives no rows.
     """
     n = F.col(f"`{length_col}`").cast("long")
-    counted = lengths.where(n.isNotNull()).groupBy(n.alias("n_tokens")).agg(F.count("*").alias("n_docs"))
+    counted = lengths.groupBy(n.alias("n_tokens")).agg(F.count("*").alias("n_docs"))
+    # The counts are read twice below; written once, nothing before them runs again.
+    counted = settle(counted, "token-lengths").df.where(F.col("n_tokens").isNotNull())
     tokens = F.col("n_tokens") * F.col("n_docs")
     counted = counted.withColumn("block", F.floor(F.col("n_tokens") / BLOCK)).withColumn("tokens", tokens)
     inside = Window.partitionBy("block").orderBy(F.desc("n_tokens"))
