@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metropulse.llm import language, packing, sanitise
-from metropulse.llm.ngram_join import ngram_jaccard_components
+from metropulse.llm.ngram_join import row_components
 from metropulse.operators.staging import join_sized, settle, shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,16 +26,21 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked on word shingles the document with the smallest id stays; of rows sharing an id, the one with
-    the least columns in order. Rows without id stay, for they link with nothing."""
-    groups = settle(ngram_jaccard_components(docs), "pipeline-groups").df.where(F.col("doc_id").isNotNull())
-    by_id = groups.groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("component_id").alias("component_id"))
-    gone = by_id.where("component_id <> doc_id").select("doc_id", F.lit("gone").alias("fate"))
-    again = by_id.where("component_id = doc_id and rows > 1").select("doc_id", F.lit("again").alias("fate"))
-    fated = join_sized(docs, gone.union(again), ["doc_id"], label="pipeline-fates")
+    """Of each group linked on word shingles the row with the smallest id stays, of one id the text with the smallest hash, and of
+    rows equal in both the one with the least columns in order. Rows without id or without words stay, for they link with
+    nothing. Rows are known by id and text, so two texts that share an id are judged apart."""
+    groups = settle(row_components(docs).where(F.col("component").isNotNull()), "pipeline-groups").df
+    row = F.struct("doc_id", "text_hash")
+    stays = groups.groupBy("component").agg(F.min(row).alias("first"))
+    rows = groups.groupBy("doc_id", "text_hash", "component").agg(F.count("*").alias("rows"))
+    told = rows.join(stays, "component")
+    fate = F.when(row != F.col("first"), "gone").when(F.col("rows") > 1, "again")
+    fates = told.select("doc_id", "text_hash", fate.alias("fate")).where(F.col("fate").isNotNull())
+    named = docs.select(*COLUMNS).withColumn("text_hash", F.xxhash64("text"))
+    fated = join_sized(named, fates, ["doc_id", "text_hash"], label="pipeline-fates")
     once = fated.where(F.col("fate").isNull()).select(*COLUMNS)
-    least = fated.where("fate = 'again'").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("r"))
-    return once.union(least.select("doc_id", *[F.col(f"r.{c}").alias(c) for c in COLUMNS[1:]]))
+    again = fated.where("fate = 'again'").groupBy("doc_id", "text_hash").agg(F.min(F.struct(*COLUMNS[1:])).alias("r"))
+    return once.union(again.select("doc_id", *[F.col(f"r.{c}").alias(c) for c in COLUMNS[1:]]))
 
 
 def take_out_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
