@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from metropulse.functions.times import floor_hour, plus_minutes
 from metropulse.functions.values import group_known, moment, percent_over
 from metropulse.operators.numbering import numbered
-from metropulse.operators.staging import join_sized
+from metropulse.operators.staging import join_sized, settle
 
 # Source headers (export and API spelling), columns and types left out, venues.
 EVENT_HEADERS = {
@@ -74,6 +74,57 @@ def expand_events_hourly(events: DataFrame, first: Column | None = None, last: C
     )
 
 
+HOUR = 3_600_000_000
+DAY = 24 * HOUR
+
+
+def _micros(ts: Column) -> Column:
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), ts)
+
+
+def event_spans(events: DataFrame, first: Column, last: Column, whole_hours: bool = False) -> DataFrame:
+    """Events as (Boro, phase, level, bucket, begin, finish, fields) for a join by interval, two rows each however long.
+
+    An event takes place at its start, an hour later and so on up to its end, so at times of its ``phase`` (start within the
+    hour) between begin and finish, in microseconds. It is cut to ``first`` .. ``last`` and entered in the buckets it
+    touches on the ``level`` whose buckets, days times a power of four, are as long as itself. With ``whole_hours`` its times
+    are cut to the hour they lie in.
+    """
+    begin, finish = _micros(F.col("start_time")), _micros(F.col("end_time"))
+    phase = F.pmod(begin, F.lit(HOUR))
+    if whole_hours:
+        begin, finish, phase = begin - phase, finish - phase, F.lit(0).cast("bigint")
+    cut = events.select(
+        F.col("event_borough").alias("Boro"),
+        *EVENT_FIELDS,
+        phase.alias("phase"),
+        F.greatest(begin, first).alias("begin"),
+        F.when(finish > last, last).otherwise(finish).alias("finish"),  # an open end stays open
+    ).where("finish >= begin")
+    level = F.greatest(F.lit(0), F.ceil(F.log2((F.col("finish") - F.col("begin") + 1) / DAY) / 2)).cast("int")
+    sized = cut.withColumn("level", level).withColumn("wide", (DAY * F.pow(F.lit(4), "level")).cast("bigint"))
+    buckets = F.expr("explode(sequence(begin div wide, finish div wide))")
+    return sized.withColumn("bucket", buckets).drop("wide")
+
+
+def event_hours_at(times: DataFrame, events: DataFrame, whole_hours: bool = False) -> DataFrame:
+    """The rows of ``expand_events_hourly`` that meet a row of ``times`` (timestamp, Boro), without making the others.
+
+    Times and event spans meet by borough, phase, level and bucket, and are then compared as a range. Every level in use copies
+    the distinct times once (about six levels for ten years), and an event's length adds no rows. ``whole_hours`` wants times on
+    the hour.
+    """
+    cells = settle(times.select("timestamp", "Boro").dropna().distinct().withColumn("t", _micros(F.col("timestamp"))), "times")
+    first, last = (cells.df.agg(f("t")).scalar() for f in (F.min, F.max))
+    spans = settle(event_spans(events, first, last, whole_hours), "event-spans")
+    levels = [r.level for r in spans.df.select("level").distinct().collect()]  # a dozen at most
+    level = F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>"))
+    placed = cells.df.withColumn("phase", F.pmod("t", F.lit(HOUR))).withColumn("level", level)
+    placed = placed.withColumn("bucket", F.expr(f"t div cast({DAY}L * pow(4, level) as bigint)"))
+    met = join_sized(placed, spans, ["Boro", "phase", "level", "bucket"], "inner")
+    return met.where("t between begin and finish").select("timestamp", "Boro", *EVENT_FIELDS)
+
+
 def traffic_baseline(traffic: DataFrame) -> DataFrame:
     """Traffic with the mean volume of its borough, weekday and hour.
 
@@ -113,14 +164,36 @@ def distinct_event_types(traffic_events: DataFrame, weight: str | None = None) -
 def flatten_mlb_schedule(schedule: DataFrame, venues: Sequence[str] = tuple(VENUE_BOROUGH)) -> DataFrame:
     """Games at the wanted venues from a nested schedule, in local time; end unknown without a duration."""
     games = schedule.select(F.inline("dates")).select(F.inline("games"))
-    instant = F.col("gameDate").try_cast("timestamp").cast("timestamp_ntz")
-    start = F.convert_timezone(F.current_timezone(), F.lit(LOCAL_ZONE), instant)
-    lasted = F.col("gameInfo.gameDurationMinutes")
-    timed = games.where(F.col("venue.name").isin(*venues)).select(
-        F.col("venue.name").alias("venue"),
-        start.alias("start_time_ny"),
-        lasted.alias("_minutes"),
+    return _timed_games(
+        games.select(
+            F.col("gameDate").alias("date"),
+            F.col("venue.name").alias("venue"),
+            F.col("gameInfo.gameDurationMinutes").alias("_minutes"),
+        ),
+        venues,
     )
+
+
+def flatten_mlb_documents(documents: DataFrame, venues: Sequence[str] = tuple(VENUE_BOROUGH), column: str = "value") -> DataFrame:
+    """As ``flatten_mlb_schedule``, from schedules as text. Documents are read as variants, so a cell of another type than expected
+    (a duration in words, a venue that is text, no games at all) costs that cell and neither its row nor its document; a number
+    written as text is read. Text that is no JSON gives no games."""
+
+    def each(df: DataFrame, path: str) -> DataFrame:
+        return df.select(F.explode(F.try_variant_get("v", path, "array<variant>")).alias("v"))
+
+    games = each(each(documents.select(F.try_parse_json(column).alias("v")), "$.dates"), "$.games")
+    cells = {"date": ("$.gameDate", "string"), "venue": ("$.venue.name", "string"), "_minutes": ("$.gameInfo.gameDurationMinutes", "int")}
+    return _timed_games(games.select(*[F.try_variant_get("v", p, t).alias(c) for c, (p, t) in cells.items()]), venues)
+
+
+def _timed_games(games: DataFrame, venues: Sequence[str]) -> DataFrame:
+    """(venue, start_time_ny, end_time_ny) of games with date, venue and _minutes."""
+    # An offset in the text is applied and the instant counted from the epoch, so the session's zone has no part in it.
+    seconds = (F.unix_micros(F.col("date").try_cast("timestamp")).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    instant = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    start = F.convert_timezone(F.lit("UTC"), F.lit(LOCAL_ZONE), instant)
+    timed = games.where(F.col("venue").isin(*venues)).select("venue", start.alias("start_time_ny"), "_minutes")
     end = F.when(F.col("_minutes") != 0, plus_minutes(F.col("start_time_ny"), F.col("_minutes")))
     return timed.withColumn("end_time_ny", end).drop("_minutes")
 

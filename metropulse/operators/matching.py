@@ -42,12 +42,10 @@ def traffic_cells(raw: DataFrame, years: Sequence[int] = (2023, 2024), p: float
 def weighted_matches(
     cells: DataFrame, events_hourly: DataFrame, mlb_hourly: DataFrame, fields: Sequence[str]
 ) -> DataFrame:
-    """Cells matched with events, then games filling missing ``fields``; ``n`` counts the pairs."""
+    """Cells matched with events, then games filling missing ``fields``; ``n`` counts the pairs. The hours of events and games
+    come from ``event_hours_at``, which makes those that meet a cell, or are all hours."""
     fields = list(fields)
-    # Events outside the time the counts cover cannot match; they go before the shuffle.
-    first, last = (cells.agg(f("timestamp")).scalar() for f in (F.min, F.max))
-    covered = events_hourly.where(F.col("timestamp").between(first, last))
-    per_cell = covered.groupBy(*CELL, *fields).agg(F.count(F.lit(1)).alias("_events"))
+    per_cell = events_hourly.groupBy(*CELL, *fields).agg(F.count(F.lit(1)).alias("_events"))
     met = join_sized(cells, per_cell, CELL, "left", "events-by-cell")
     met = met.withColumn("n", F.col("n") * F.coalesce("_events", F.lit(1))).drop("_events")
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from metropulse.functions.values import number
+from metropulse.functions.values import number, ratio
 from metropulse.operators.quantiles import histogram, quantiles
 from metropulse.operators.staging import ONE_TASK_ROWS
 
@@ -37,25 +38,27 @@ def profile_numeric(
     at the price of Spark's rank error.
     """
     numbers = df.select(*[number(c).alias(c) for c in cols])
-
-    def summary(c: str):
-        return F.struct(
-            F.lit(c).alias("column"),
-            F.count(c).alias("count"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.min(c).alias("min"),
-            F.max(c).alias("max"),
-        )
-
-    stats = numbers.agg(F.array(*map(summary, cols)).alias("stats")).select(F.inline("stats"))
     long = numbers.unpivot([], list(cols), "column", "value")
+    value = F.col("value")
     if approx:
-        found = long.groupBy("column").agg(F.percentile_approx("value", QUARTERS).alias("quantiles"))
+        figures = [F.count("value"), F.avg("value"), F.stddev_samp("value"), F.min("value"), F.max("value")]
+        named = [f.alias(c) for f, c in zip(figures, ("count", "mean", "std", "min", "max"), strict=True)]
+        found = long.groupBy("column").agg(*named, F.percentile_approx("value", QUARTERS).alias("quantiles"))
     else:
-        found = quantiles(histogram(long, ["column"], "value"), ["column"], "value", QUARTERS, max_rows=max_rows)
+        # The source is read once: everything follows from its distinct values and their counts.
+        hist = histogram(long, ["column"], "value")
+        known = F.when(value.isNotNull(), F.col("n"))
+        mean = ratio(F.sum(value * F.col("n")), F.sum(known))
+        means = hist.df.groupBy("column").agg(mean.alias("mean"))  # a row per column
+        centred = hist.df.join(F.broadcast(means), "column")
+        squares = F.sum(F.col("n") * F.pow(value - F.col("mean"), F.lit(2)))
+        spread = centred.groupBy("column").agg(F.sqrt(ratio(squares, F.sum(known) - 1)).alias("std"))
+        aggs = [F.coalesce(F.sum(known), F.lit(0)).alias("count"), mean.alias("mean"), F.min(value).alias("min"), F.max(value).alias("max")]
+        found = quantiles(hist, ["column"], "value", QUARTERS, aggs, max_rows).join(F.broadcast(spread), "column", "left")
     quarters = [F.get("quantiles", F.lit(i)).alias(c) for i, c in enumerate(("p25", "p50", "p75"))]
-    return stats.join(found, "column", "left").select("column", "count", "mean", "std", "min", *quarters, "max")
+    every = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")  # an empty table has its columns too
+    joined = F.broadcast(every).join(found, "column", "left").fillna(0, ["count"])
+    return joined.select("column", "count", "mean", "std", "min", *quarters, "max")
 
 
 def profile_nulls(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -77,6 +80,32 @@ def profile_distinct(df: DataFrame, cols: Sequence[str], approx: bool = False) -
     return df.agg(*[count(F.col(c)).alias(c) for c in cols]).unpivot([], list(cols), "column", "n_distinct")
 
 
+def key_types(sources: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """How a key looks in each of several sources: its column (found in any case), type, rows, missing values, values that are no
+    whole number, and differs: at most half of the sources have its type, so joins on it convert or miss.
+
+    ``sources`` gives each source's table and key column. Each table is read once, for its key only.
+    """
+    rows = []
+    for source, (df, wanted) in sources.items():
+        column = next((c for c in df.columns if c.lower() == wanted.lower()), None)
+        if column is None:
+            raise ValueError(f"{source} has no column {wanted}; found {df.columns}")
+        key = F.col(f"`{column}`")
+        whole = number(f"`{column}`")
+        readable = whole.isNotNull() & (whole == F.floor(whole))
+        counts = df.select(key.alias("key"), readable.alias("readable")).agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(F.col("key").isNull()).alias("n_null"),
+            F.count_if(F.col("key").isNotNull() & ~F.col("readable")).alias("n_unreadable"),
+        )
+        kind = F.lit(dict(df.dtypes)[column]).alias("type")
+        rows.append(counts.select(F.lit(source).alias("source"), F.lit(column).alias("column"), kind, "*"))
+    together = reduce(DataFrame.unionByName, rows)
+    same = F.count(F.lit(1)).over(Window.partitionBy("type"))  # a row per source
+    return together.withColumn("differs", 2 * same <= len(rows))
+
+
 def value_counts(df: DataFrame, col: str, keep_null: bool = False) -> DataFrame:
     """Rows per value, most frequent first."""
     rows = df if keep_null else df.dropna(subset=[col])

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +19,6 @@ from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringTy
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ONE_TASK_ROWS = 1_000_000
-COPY_BYTES = 64 * 1024**3
-MIN_SALTS = 16
 HOT_ROWS = 1_000_000
 
 
@@ -30,15 +29,20 @@ class Settled:
     bytes: int
 
 
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="metropulse-")
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path, grouped by application, under the folder named by ``spark.checkpoint.dir``."""
+    """A fresh path, grouped by application, under the folder named by ``spark.checkpoint.dir``. A local session, whose tasks
+    all run on this machine, may leave it unset; on a cluster that is an error."""
+    run = spark.sparkContext.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="metropulse-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    run = spark.sparkContext.applicationId
+        base = _own_folder(run)
     return f"{base.rstrip('/')}/metropulse/{run}/{label}-{uuid.uuid4().hex}"
 
 
@@ -76,45 +80,66 @@ def settle(df: DataFrame, label: str) -> Settled:
     return Settled(df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"], seen.get["bytes"])
 
 
-def salts_for(spark: SparkSession, side_bytes: int) -> int:
-    """How many tasks a key of the big side spreads over: as many as shuffle partitions while all copies of the
-    other side stay within ``COPY_BYTES``, and no fewer than ``MIN_SALTS``."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(MIN_SALTS, min(partitions, COPY_BYTES // max(side_bytes, 1)))
+def hot_keys(left: Settled, side: Settled, on: Sequence[str], hot_rows: int = HOT_ROWS) -> Settled:
+    """Keys with more than ``hot_rows`` rows on either side, and into how many salts (``_salts``, of the left rows) and parts
+    (``_parts``, of the side's rows) each is cut. No more keys than rows / ``hot_rows`` of both sides together."""
+
+    def pieces(df: DataFrame, name: str) -> DataFrame:
+        counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+        return counts.dropna(subset=list(on)).select(*on, F.ceil(F.col("_rows") / hot_rows).cast("bigint").alias(name))
+
+    both = pieces(left.df, "_salts").join(pieces(side.df, "_parts"), list(on), "full").fillna(1, ["_salts", "_parts"])
+    return settle(both, "hot-keys")
+
+
+def spread(left: Settled, side: Settled, on: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of hot keys on both sides, ready to join on (``on``, ``_salt``, ``_part``).
+
+    A left row takes a salt by its place (file and row number, the same on every attempt of a task, different for equal rows)
+    and is copied per part; a side row takes a part by its place and is copied per salt.
+    """
+    place = F.xxhash64("_metadata.file_name", "_metadata.row_index")
+    wanted = F.broadcast(hot)
+
+    def upto(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+
+    ours = left.df.withColumn("_place", place).join(wanted, list(on))
+    ours = ours.withColumn("_salt", F.pmod("_place", "_salts")).withColumn("_part", upto("_parts"))
+    theirs = side.df.withColumn("_place", place).join(wanted, list(on))
+    theirs = theirs.withColumn("_part", F.pmod("_place", "_parts")).withColumn("_salt", upto("_salts"))
+    return ours.drop("_place", "_salts"), theirs.drop("_place", "_salts", "_parts")
 
 
 def salted_join(
-    left: DataFrame, side: Settled, on: Sequence[str], how: str, salts: int | None = None, hot_rows: int = HOT_ROWS
+    left: DataFrame | Settled, side: Settled, on: Sequence[str], how: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Left or inner join that spreads hot keys of both sides.
+    """Left or inner join in three parts: hot keys spread over salts and parts, the others shuffled as they are, left rows with a
+    missing key not joined at all. Only rows of hot keys are copied.
 
-    Rows of ``left`` are salted by a hash of their content and ``side`` is copied per salt. A key with more than
-    ``hot_rows`` rows in ``side`` is also cut into parts by file and row number, and the left rows of that key
-    are copied per part. Both assignments are the same on every attempt of a task.
+    ``left`` is settled first, for its keys are counted, and rows are told apart by their places in the files.
     """
     if how not in ("left", "inner"):
         raise ValueError("only left and inner joins can be spread")
     on = list(on)
-    salts = salts or salts_for(left.sparkSession, side.bytes)
-    # At most side.rows / hot_rows keys.
-    counts = side.df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    hot = F.broadcast(counts.select(*on, F.ceil(F.col("_rows") / hot_rows).alias("_parts")))
-    parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
-
-    def upto(n: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
-
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    spread = left.withColumn("_salt", F.pmod(content, F.lit(salts).cast("bigint")))
-    spread = spread.join(hot, on, "left").withColumn("_parts", parts).withColumn("_part", upto(F.col("_parts")))
-
-    place = F.xxhash64("_metadata.file_name", "_metadata.row_index")
-    cut = side.df.withColumn("_place", place).join(hot, on, "left").withColumn("_part", F.pmod("_place", parts))
-    copies = cut.withColumn("_salt", upto(F.lit(salts).cast("bigint"))).withColumn("_met", F.lit(True))
-    joined = spread.join(copies.drop("_parts", "_place"), [*on, "_salt", "_part"], how)
-    # A hot key is in ``side``, so a copy that met nothing met its rows in another part.
-    kept = joined.where((F.col("_parts") == 1) | F.col("_met"))
-    return kept.drop("_salt", "_part", "_parts", "_met")
+    whole = left if isinstance(left, Settled) else settle(left, "spread-left")
+    hot = hot_keys(whole, side, on, hot_rows)
+    known = whole.df.dropna(subset=on)
+    others = side.df
+    if hot.rows:
+        wanted = F.broadcast(hot.df.select(*on))
+        known, others = known.join(wanted, on, "left_anti"), others.join(wanted, on, "left_anti")
+    joined = known.join(others, on, how)
+    if hot.rows:
+        ours, theirs = spread(whole, side, on, hot.df)
+        met = ours.join(theirs.withColumn("_met", F.lit(True)), [*on, "_salt", "_part"], how)
+        # A key with several parts is in ``side``, so a copy that met nothing met its rows in another part.
+        met = met.where((F.col("_parts") == 1) | F.col("_met"))
+        joined = joined.unionByName(met.drop("_salt", "_part", "_parts", "_met"))
+    if how == "left":
+        lost = whole.df.where(~F.expr(" and ".join(f"`{c}` is not null" for c in on)))
+        joined = joined.unionByName(lost, allowMissingColumns=True)
+    return joined
 
 
 def join_sized(
@@ -126,7 +151,7 @@ def join_sized(
     max_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join a big ``left`` to a ``right`` of unknown size: broadcast it when its measured size allows, else salt.
+    """Join a big ``left`` to a ``right`` of unknown size: broadcast it when its measured size allows, else spread hot keys.
 
     Without the measurement the planner would see an aggregate or exploded side only as big as its
     input and shuffle ``left`` for nothing.
@@ -134,7 +159,7 @@ def join_sized(
     side = right if isinstance(right, Settled) else settle(right, label)
     if side.bytes <= max_bytes:
         return left.join(F.broadcast(side.df), list(on), how)
-    return salted_join(left, side, on, how, hot_rows=hot_rows)
+    return salted_join(left, side, on, how, hot_rows)
 
 
 def range_parts(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:

@@ -79,14 +79,24 @@ def volume_quantile(df: DataFrame, p: float, weight: str | None = None) -> Colum
     return found.select(F.get("quantiles", F.lit(0))).scalar()
 
 
-def one_hot_values(df: DataFrame, column: str) -> list[str]:
-    """The distinct values of a category column: one new column each, so they come to the driver."""
-    return [r[0] for r in df.select(column).dropna().distinct().orderBy(column).collect()]
+#: A table with more columns than this is better kept long.
+MOST_FLAGS = 1000
 
 
-def onehot_borough(df: DataFrame, values: Sequence[str] | None = None, column: str = "Boro") -> DataFrame:
-    """A 0/1 column ``<column>_<value>`` per value; without ``values`` one per value found."""
-    values = one_hot_values(df, column) if values is None else values
+def one_hot_values(df: DataFrame, column: str, most: int = MOST_FLAGS) -> list[str]:
+    """The distinct values of a category column, one new column each; more than ``most`` are an error, found without
+    bringing them to the driver."""
+    found = [r[0] for r in df.select(column).dropna().distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values; give those wanted, or raise the limit")
+    return sorted(found)
+
+
+def onehot_borough(
+    df: DataFrame, values: Sequence[str] | None = None, column: str = "Boro", most: int = MOST_FLAGS
+) -> DataFrame:
+    """A 0/1 column ``<column>_<value>`` per value; without ``values`` one per value found, ``most`` of them."""
+    values = one_hot_values(df, column, most) if values is None else values
     flags = {f"{column}_{v}": F.coalesce(F.col(column) == v, F.lit(False)).cast("tinyint") for v in values}
     return df.withColumns(flags) if flags else df
 

@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from metropulse.functions.times import floor_hour
 from metropulse.operators import events as ev
 from metropulse.operators import matching, traffic, trips, weather
 from metropulse.operators.staging import settle
@@ -149,7 +150,7 @@ class Feeds:
             f"named_struct('gameDate', {start}, 'venue', named_struct('name', {v}), 'gameInfo', {info})"
             for v in (venue, "'Fenway Park'")
         )
-        return self.table("supplier").selectExpr(f"array(named_struct('games', array({games}))) dates")
+        return self.table("supplier").selectExpr(f"array(named_struct('games', array({games}))) dates", "s_suppkey")
 
     @cached_property
     def weather_raw(self) -> DataFrame:
@@ -241,17 +242,23 @@ class Feeds:
     def mlb_hourly(self) -> DataFrame:
         return ev.expand_events_hourly(self.mlb_events)
 
+    def event_hours(self, times: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Hours of events and of games that meet ``times``."""
+        hours = times.withColumn("timestamp", floor_hour(F.col("timestamp")))
+        return ev.event_hours_at(times, self.events), ev.event_hours_at(hours, self.mlb_events, whole_hours=True)
+
     @cached_property
     def traffic_event_impact(self) -> DataFrame:
-        return ev.traffic_event_impact(self.baseline, self.events_hourly)
+        return ev.traffic_event_impact(self.baseline, ev.event_hours_at(self.saved_features, self.events))
 
     @cached_property
     def traffic_events_mlb(self) -> DataFrame:
-        return ev.traffic_events_mlb(self.traffic_event_impact, self.mlb_hourly)
+        hours = self.saved_features.withColumn("timestamp", floor_hour(F.col("timestamp")))
+        return ev.traffic_events_mlb(self.traffic_event_impact, ev.event_hours_at(hours, self.mlb_events, whole_hours=True))
 
     @cached_property
     def cells(self) -> DataFrame:
         return matching.traffic_cells(self.traffic_raw)
 
     def matches(self, *fields: str) -> DataFrame:
-        return matching.weighted_matches(self.cells, self.events_hourly, self.mlb_hourly, fields)
+        return matching.weighted_matches(self.cells, *self.event_hours(self.cells), fields)

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import re
 
-from metropulse.functions import geo
-
 
 def _r(expr: str, name: str, digits: int = 6) -> str:
     scale = f"1e{digits}"
@@ -21,8 +19,23 @@ def _boro(index: str) -> str:
     return f"(['{names[0]}', '{names[1]}', '{names[2]}', '{names[3]}', '{names[4]}'])[({index}) + 1]"
 
 
+# Fixed values, written out independently of the code: the parameters of EPSG:2263 on the GRS80 ellipsoid.
+_GRID = {
+    "SEMI_MAJOR_M": "CAST(6378137.0 AS DOUBLE)",
+    "FLATTENING": "(1 / CAST(298.257222101 AS DOUBLE))",
+    "LATITUDE_ORIGIN": "(40 + 10 / CAST(60 AS DOUBLE))",
+    "LONGITUDE_ORIGIN": "CAST(-74.0 AS DOUBLE)",
+    "PARALLEL_SOUTH": "(40 + 40 / CAST(60 AS DOUBLE))",
+    "PARALLEL_NORTH": "(41 + 2 / CAST(60 AS DOUBLE))",
+    "FALSE_EASTING_M": "CAST(300000.0 AS DOUBLE)",
+}
+
 _MINUTES = "date_diff('microsecond', {a}, {b}) / 1e6 / 60"
 
+_SEGMENT = """CASE WHEN {h} BETWEEN 5 AND 7 THEN 'Primera mañana' WHEN {h} BETWEEN 8 AND 10 THEN 'Hora pico mañana'
+                    WHEN {h} BETWEEN 11 AND 15 THEN 'Mediodía' WHEN {h} BETWEEN 16 AND 20 THEN 'Regreso a casa'
+                    ELSE 'Noche / Madrugada' END"""
+
 # Named subqueries. A statement pulls in the ones it mentions.
 _CTE: dict[str, str] = {
     "b_ylc": """
@@ -114,10 +127,8 @@ _CTE: dict[str, str] = {
     "rain_means": """
         SELECT precipitation > 0 AS wet, avg(YLC) AS YLC, avg(FHV) AS FHV, avg(total) AS total, avg(market_share) AS market_share
         FROM hourly GROUP BY 1""",
-    "seg": """
-        SELECT CASE WHEN pickup_hour BETWEEN 5 AND 7 THEN 'Primera mañana' WHEN pickup_hour BETWEEN 8 AND 10 THEN 'Hora pico mañana'
-                    WHEN pickup_hour BETWEEN 11 AND 15 THEN 'Mediodía' WHEN pickup_hour BETWEEN 16 AND 20 THEN 'Regreso a casa'
-                    ELSE 'Noche / Madrugada' END AS segmento,
+    "seg": f"""
+        SELECT {_SEGMENT.format(h='pickup_hour')} AS segmento,
                LocationID, CAST(sum(FHV) AS BIGINT) AS FHV, CAST(sum(YLC) AS BIGINT) AS YLC
         FROM zh GROUP BY 1, 2""",
     "seg_share": f"SELECT *, {_r('CAST(FHV AS DOUBLE) / (FHV + YLC)', 'market_share', 4)} FROM seg",
@@ -140,8 +151,8 @@ _CTE: dict[str, str] = {
         SELECT *, CASE WHEN M <= 12 THEN make_timestamp(Yr, M, D, HH, MM, 0) END AS timestamp
         FROM b_traffic WHERE Yr IN (2023, 2024)""",
     "ellipsoid": f"""
-        SELECT {geo.SEMI_MAJOR_M} AS a, sqrt({geo.FLATTENING} * (2 - {geo.FLATTENING})) AS e,
-               radians({geo.PARALLEL_SOUTH}) AS p1, radians({geo.PARALLEL_NORTH}) AS p2, radians({geo.LATITUDE_ORIGIN}) AS p0""",
+        SELECT {_GRID['SEMI_MAJOR_M']} AS a, sqrt({_GRID['FLATTENING']} * (2 - {_GRID['FLATTENING']})) AS e,
+               radians({_GRID['PARALLEL_SOUTH']}) AS p1, radians({_GRID['PARALLEL_NORTH']}) AS p2, radians({_GRID['LATITUDE_ORIGIN']}) AS p0""",
     "cone_parts": """
         SELECT a, e,
                cos(p1) / sqrt(1 - pow(e * sin(p1), 2)) AS m1, cos(p2) / sqrt(1 - pow(e * sin(p2), 2)) AS m2,
@@ -153,12 +164,12 @@ _CTE: dict[str, str] = {
         SELECT *, m1 / (n * pow(t1, n)) * a AS af, m1 / (n * pow(t1, n)) * a * pow(t0, n) AS rho0
         FROM (SELECT *, (ln(m1) - ln(m2)) / (ln(t1) - ln(t2)) AS n FROM cone_parts)""",
     "polar": f"""
-        SELECT event_id, atan2(x * 1200 / 3937 - {geo.FALSE_EASTING_M}, rho0 - y * 1200 / 3937) / n AS dl,
-               pi() / 2 - 2 * atan(pow(sqrt(pow(x * 1200 / 3937 - {geo.FALSE_EASTING_M}, 2) + pow(rho0 - y * 1200 / 3937, 2)) / af, 1 / n)) AS c,
+        SELECT event_id, atan2(x * 1200 / 3937 - {_GRID['FALSE_EASTING_M']}, rho0 - y * 1200 / 3937) / n AS dl,
+               pi() / 2 - 2 * atan(pow(sqrt(pow(x * 1200 / 3937 - {_GRID['FALSE_EASTING_M']}, 2) + pow(rho0 - y * 1200 / 3937, 2)) / af, 1 / n)) AS c,
                e
         FROM b_traffic, cone WHERE x IS NOT NULL""",
     "places": f"""
-        SELECT event_id, {geo.LONGITUDE_ORIGIN} + degrees(dl) AS longitude,
+        SELECT event_id, {_GRID['LONGITUDE_ORIGIN']} + degrees(dl) AS longitude,
                degrees(c + (pow(e, 2) / 2 + 5 * pow(e, 4) / 24 + pow(e, 6) / 12 + 13 * pow(e, 8) / 360) * sin(2 * c)
                  + (7 * pow(e, 4) / 48 + 29 * pow(e, 6) / 240 + 811 * pow(e, 8) / 11520) * sin(4 * c)
                  + (7 * pow(e, 6) / 120 + 81 * pow(e, 8) / 1120) * sin(6 * c)
@@ -195,7 +206,7 @@ _CTE: dict[str, str] = {
         SELECT CASE s_suppkey % 2 WHEN 0 THEN 'Yankee Stadium' ELSE 'Citi Field' END AS venue,
                ((TIMESTAMP '2024-01-01 18:05:00' + to_hours(CAST(s_suppkey * 7 % 87600 AS INTEGER)))
                    AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS start_time_ny,
-               CASE WHEN s_suppkey % 5 <> 0 AND s_suppkey % 7 <> 0 THEN 150 + s_suppkey % 60 END AS minutes
+               CASE WHEN s_suppkey % 5 <> 0 AND s_suppkey % 7 <> 0 THEN 150 + s_suppkey % 60 END AS minutes, s_suppkey
         FROM supplier""",
     "games_timed": "SELECT venue, start_time_ny, start_time_ny + to_minutes(minutes) AS end_time_ny FROM games",
     "week_games": "SELECT * FROM games_timed WHERE day(start_time_ny) BETWEEN 1 AND 7",
@@ -239,6 +250,13 @@ _CTE: dict[str, str] = {
     "kde_grid": """
         SELECT *, lo - 3 * bw + i * (hi - lo + 6 * bw) / 199 AS x
         FROM kde_stats, (SELECT unnest(range(200)) AS i)""",
+    "kde_binned_at": """
+        SELECT has_event, floor((pct - lo) * 1024 / (hi - lo)) AS edge, (pct - lo) * 1024 / (hi - lo) AS place, n
+        FROM kde_rows JOIN kde_stats USING (has_event) WHERE hi > lo""",
+    "kde_bins": """
+        SELECT has_event, edge, sum(w) AS w FROM (
+          SELECT has_event, edge, n * (1 - (place - edge)) AS w FROM kde_binned_at
+          UNION ALL SELECT has_event, edge + 1, n * (place - edge) FROM kde_binned_at) GROUP BY ALL""",
     # Space
     "mapped": "SELECT t.*, l.LocationID, l.Borough FROM titled t LEFT JOIN lookup l ON l.LocationID = t.pulocationid",
     "traffic_share": """
@@ -393,6 +411,43 @@ _SELECT: dict[str, str] = {
         SELECT has_event, {_r('any_value(x)', 'x')},
                {_r('sum(n * exp(-pow((x - pct) / bw, 2) / 2)) / any_value(n_all * bw * sqrt(2 * pi()))', 'density')}
         FROM kde_grid JOIN kde_rows USING (has_event) GROUP BY has_event, i""",
+    "kde_binned": f"""
+        SELECT has_event, {_r('any_value(x)', 'x')},
+               {_r('sum(w * exp(-pow((x - lo - edge * (hi - lo) / 1024) / bw, 2) / 2)) / any_value(n_all * bw * sqrt(2 * pi()))', 'density')},
+               {_r('any_value(pow((hi - lo) / 1024, 2) / 8 / sqrt(2 * pi()) / pow(bw, 3))', 'error_bound')}
+        FROM kde_grid JOIN kde_bins USING (has_event) GROUP BY has_event, i""",
+    "event_hours_at_counts": """
+        SELECT e.* FROM evh e SEMI JOIN features f ON f.timestamp = e.timestamp AND f.Boro = e.Boro""",
+    "traffic_event_spread": f"SELECT {_MATCHED} FROM te",
+    "flatten_mlb_documents": """
+        SELECT venue, start_time_ny, CASE WHEN s_suppkey % 11 <> 3 THEN start_time_ny + to_minutes(minutes) END AS end_time_ny
+        FROM games WHERE s_suppkey % 11 NOT IN (7, 9)""",
+    "sql_expand_events": "SELECT * FROM evh",
+    "sql_traffic_features": f"""
+        SELECT SegmentID, Vol, Boro, street, 'West End' AS fromSt, HH AS hora_entera, {_PART_OF_DAY},
+               {_SEGMENT.format(h='HH')} AS segmento,
+               {_r('sin(2 * pi() * HH / 24)', 'hour_sin')}, {_r('cos(2 * pi() * HH / 24)', 'hour_cos')}
+        FROM b_traffic""",
+    "key_types": """
+        SELECT 'fhv' AS source, 'pulocationid' AS "column", 'string' AS type, count(*) AS n_rows,
+               count(*) FILTER (WHERE pulocationid IS NULL) AS n_null, CAST(0 AS BIGINT) AS n_unreadable, true AS differs FROM b_fhv
+        UNION ALL SELECT 'ylc', 'pulocationid', 'int', count(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT), false FROM b_ylc
+        UNION ALL SELECT 'lookup', 'LocationID', 'int', count(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT), false FROM lookup""",
+    "profile_merged": _per_column(
+        f"""SELECT '{{c}}' AS "column", count({{c}}) AS count, count(*) - count({{c}}) AS n_null, {_r('avg({c})', 'mean')},
+            {_r('stddev_samp({c})', 'std')}, {_r('min({c})', 'min')}, {_r('max({c})', 'max')} FROM b_ylc""",
+        _NUMERIC,
+    ),
+    "profile_merged_codes": _per_column(
+        """SELECT '{c}' AS "column", count({c}) AS count, count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS DOUBLE) AS min,
+           CAST(max({c}) AS DOUBLE) AS max FROM b_ylc""",
+        ["vendorid", "pulocationid", "dolocationid", "payment_type"],
+    ),
+    "sink_days": f"SELECT {_HOURLY} FROM hourly",
+    "sink_runs": "SELECT pickup AS pickup_datetime, pulocationid FROM services",
+    "stream_zone_demand": """
+        SELECT date_trunc('hour', pickup) AS datetime_hour, CAST(CAST(pulocationid AS BIGINT) AS VARCHAR) AS pulocationid, count(*) AS FHV
+        FROM b_fhv WHERE pickup IS NOT NULL GROUP BY ALL""",
     "demand_by_hour_service": "SELECT hora_entera, tipo_servicio, count(*) AS viajes FROM titled GROUP BY ALL",
     "demand_with_borough": "SELECT * FROM mapped",
     "city_rhythm": f"""

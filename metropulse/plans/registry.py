@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from metropulse.functions import labels
 from metropulse.functions.values import moment, number, round_even
 from metropulse.operators import events as ev
-from metropulse.operators import impact, quality, spatial, traffic, trips, weather
-from metropulse.operators.staging import shared_folder
+from metropulse.operators import impact, quality, sketches, spatial, traffic, trips, weather
+from metropulse.operators.staging import salted_join, settle, shared_folder
 from metropulse.plans.bridge import YEAR, Feeds
+from metropulse.plans.sqlfunctions import register_functions
 from metropulse.session import pin
 from metropulse.sources import readers, schemas, writers
 from metropulse.streaming import trips as streams
@@ -246,6 +247,61 @@ def distinct_event_types(f: Feeds) -> DataFrame:
     return ev.distinct_event_types(f.matches("event_type"), "n")
 
 
+@registered
+def event_hours_at_counts(f: Feeds) -> DataFrame:
+    """Event hours that meet a count, found by interval instead of by making every hour."""
+    return ev.event_hours_at(f.features, f.events)
+
+
+@registered
+def traffic_event_spread(f: Feeds) -> DataFrame:
+    """The match beyond the broadcast limit: hours and boroughs with many counts are spread, others shuffled as they are."""
+    hours = settle(ev.event_hours_at(f.saved_features, f.events), "hours")
+    met = salted_join(f.baseline, hours, ["timestamp", "Boro"], "left", hot_rows=64)
+    return ev.with_change(met).select(*_TRAFFIC_KEYS, "baseline_vol", *ev.EVENT_FIELDS, impact.CHANGE)
+
+
+@registered
+def flatten_mlb_documents(f: Feeds) -> DataFrame:
+    """Schedules whose cells drift: durations in words or as text, venues as text, documents without games."""
+    drifting = f.schedule.select(F.to_json(F.struct("dates")).alias("value"), "s_suppkey")
+    value, key = F.col("value"), F.col("s_suppkey")
+    lasts = r'"gameDurationMinutes":(\d+)'
+    drift = (
+        F.when(key % 11 == 3, F.regexp_replace(value, lasts, '"gameDurationMinutes":"about 3 hours"'))
+        .when(key % 11 == 5, F.regexp_replace(value, lasts, '"gameDurationMinutes":"$1"'))
+        .when(key % 11 == 7, F.regexp_replace(value, r'"venue":\{"name":"([^"]*)"\}', '"venue":"$1"'))
+        .when(key % 11 == 9, F.lit('{"dates":"none"}'))
+        .otherwise(value)
+    )
+    landing = shared_folder(f.spark, "drifting")
+    writers.write_json_lines(drifting.select(drift.alias("value")), landing)
+    return ev.flatten_mlb_documents(f.spark.read.text(landing))
+
+
+@registered
+def sql_expand_events(f: Feeds) -> DataFrame:
+    """The hourly expansion in SQL alone."""
+    register_functions(f.spark)
+    return f.spark.sql(
+        "SELECT h.timestamp, e.event_borough AS Boro, e.event_type, e.event_id, e.event_name "
+        "FROM {events} e, LATERAL event_hours(e.start_time, e.end_time) h",
+        events=f.events,
+    )
+
+
+@registered
+def sql_traffic_features(f: Feeds) -> DataFrame:
+    """The row rules of the traffic features in SQL alone."""
+    register_functions(f.spark)
+    return f.spark.sql(
+        "SELECT SegmentID, Vol, title_text(Boro) AS Boro, title_text(street) AS street, title_text(fromSt) AS fromSt, "
+        "HH AS hora_entera, part_of_day(HH) AS momento_dia, map_segment(HH) AS segmento, "
+        "cyclic_sin(HH) AS hour_sin, cyclic_cos(HH) AS hour_cos FROM {counts}",
+        counts=f.traffic_raw,
+    )
+
+
 # Impact reports: same figures as over the matched rows, from weighted cells ---------------------------------
 
 
@@ -298,6 +354,11 @@ def kde_event_vs_none(f: Feeds) -> DataFrame:
     return impact.kde_event_vs_none(f.matches("event_type"), "n")
 
 
+@registered
+def kde_binned(f: Feeds) -> DataFrame:
+    return impact.kde_binned(f.matches("event_type"), "n", bins=1024)
+
+
 # Space -------------------------------------------------------------------------------------------------------
 
 
@@ -364,6 +425,34 @@ def audit_zone_join(f: Feeds) -> DataFrame:
     return quality.audit_zone_join(f.fhv, f.ylc, f.lookup)
 
 
+@registered
+def key_types(f: Feeds) -> DataFrame:
+    """The zone key as each source has it."""
+    sources = {"fhv": (f.fhv_raw, "PULocationID"), "ylc": (f.ylc_raw, "PULocationID"), "lookup": (f.lookup, "locationid")}
+    return quality.key_types(sources)
+
+
+def _kept_profile(f: Feeds, columns: list[str]) -> DataFrame:
+    """Sketches kept by day, the days landed in two runs, one of them twice."""
+    target = shared_folder(f.spark, "profile")
+    day = F.to_date("tpep_dropoff_datetime")
+    odd = F.dayofmonth("tpep_dropoff_datetime") % 2 == 1
+    for landed in (f.ylc_raw.where(odd), f.ylc_raw.where(~odd), f.ylc_raw.where(odd)):
+        sketches.update_profile(landed, columns, day, target)
+    return sketches.read_profile(f.spark, target)
+
+
+@registered
+def profile_merged(f: Feeds) -> DataFrame:
+    return _kept_profile(f, trips.YLC_NUMBERS).select("column", "count", "n_null", "mean", "std", "min", "max")
+
+
+@registered
+def profile_merged_codes(f: Feeds) -> DataFrame:
+    """Distinct codes, few enough for an exact sketch."""
+    return _kept_profile(f, trips.YLC_CODES).select("column", "count", "n_distinct", "min", "max")
+
+
 # Sources and sinks: each goes through files in the shared folder ---------------------------------------------
 
 
@@ -436,6 +525,29 @@ def sink_parquet(f: Feeds) -> DataFrame:
     return readers.read_parquet(f.spark, target, f.hourly.columns)
 
 
+@registered
+def sink_days(f: Feeds) -> DataFrame:
+    """The hourly table landed by day in two halves, the second one twice; no row is there twice and no day is lost."""
+    target = shared_folder(f.spark, "days")
+    hourly = settle(f.hourly.withColumn("dia", F.to_date("datetime_hour")), "hourly").df
+    late = F.dayofmonth("dia") > 15
+    for part in (hourly.where(~late), hourly.where(late), hourly.where(late)):
+        writers.write_days(part, target, ["dia"])
+    return readers.read_parquet(f.spark, target, f.hourly.columns)
+
+
+@registered
+def sink_runs(f: Feeds) -> DataFrame:
+    """Both services as runs of one CSV dataset, the first run repeated."""
+    target = shared_folder(f.spark, "runs")
+    columns = ["pickup_datetime", "pulocationid"]
+    taxis = f.ylc.select(F.col("tpep_pickup_datetime").alias("pickup_datetime"), "pulocationid")
+    for run, rows in (("fhv 1/2", f.fhv.select(*columns)), ("ylc", taxis), ("fhv 1/2", f.fhv.select(*columns))):
+        writers.append_run(rows, target, run)
+    back = readers.read_csv(f.spark, target, "pickup_datetime TIMESTAMP_NTZ, pulocationid DOUBLE")
+    return back.withColumn("pulocationid", F.col("pulocationid").cast("bigint"))
+
+
 @registered
 def features_json(f: Feeds) -> DataFrame:
     """Map features written as JSON lines and read back."""
@@ -467,3 +579,13 @@ def stream_clean_fhv(f: Feeds) -> DataFrame:
 @registered
 def stream_hourly_demand(f: Feeds) -> DataFrame:
     return streams.stream_hourly_demand(_landed_fhv(f), shared_folder(f.spark, "demand"), shared_folder(f.spark, "progress"))
+
+
+@registered
+def stream_zone_demand(f: Feeds) -> DataFrame:
+    """Hourly demand by zone in small batches, summed up every third; the files come in an order that is not that of their hours."""
+    landing = shared_folder(f.spark, "landing")
+    f.fhv_raw.repartition(7, "dolocationid").write.parquet(landing)
+    raw = streams.stream_fhv(f.spark, landing, f.fhv_raw.schema, files_per_batch=1)
+    target, progress = shared_folder(f.spark, "zone-demand"), shared_folder(f.spark, "progress")
+    return streams.stream_hourly_demand(raw, target, progress, ["pulocationid"], fold_every=3)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
     gathered.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def write_days(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Parquet directory by partition; the partitions that ``df`` holds are replaced, the others stay. A job that is run again,
+    for the same days or corrected ones, leaves every row once."""
+    gathered = df.hint("rebalance", *partition_by)
+    gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def append_run(df: DataFrame, path: str, run: str) -> None:
+    """Add ``df`` to a CSV dataset as the part named ``run``. The same run again replaces its part, so repeating it after a
+    failure adds nothing twice."""
+    write_csv(df, f"{path.rstrip('/')}/run={quote(run, safe='')}")
+
+
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write the text column ``value``, one document per line."""
     df.select("value").write.mode(mode).text(path)

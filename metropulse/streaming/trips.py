@@ -6,6 +6,8 @@ checkpoint next time.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -27,30 +29,100 @@ def stream_fhv(
     return reader.load(folder)
 
 
-def _append(df: DataFrame, target: str, checkpoint: str) -> None:
+def _append(df: DataFrame, target: str, checkpoint: str) -> list[tuple[int, int, int]]:
+    """Rows read and written by batch, as (batch, in, out)."""
+    counted = df.observe("written", F.count(F.lit(1)).alias("rows"))
     query = (
-        df.writeStream.format("parquet")
+        counted.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(target)
     )
     query.awaitTermination()
+    done = [p for p in query.recentProgress if p["observedMetrics"].get("written") is not None]
+    return [(p["batchId"], p["numInputRows"], p["observedMetrics"]["written"].rows) for p in done]
 
 
-def stream_clean_fhv(raw: DataFrame, target: str, checkpoint: str) -> DataFrame:
-    """Append the cleaned form of newly landed trips to ``target``; the rules are those of the batch job."""
-    _append(clean_fhv(raw), target, checkpoint)
+def stream_clean_fhv(
+    raw: DataFrame, target: str, checkpoint: str, counts: list[tuple[int, int, int]] | None = None
+) -> DataFrame:
+    """Append the cleaned form of newly landed trips to ``target``; the rules are those of the batch job. ``counts`` receives the rows
+    of each batch before and after, as (batch, in, out)."""
+    told = _append(clean_fhv(raw), target, checkpoint)
+    if counts is not None:
+        counts += told
     return raw.sparkSession.read.parquet(target)
 
 
-def stream_hourly_demand(raw: DataFrame, target: str, checkpoint: str) -> DataFrame:
-    """Trips per hour over everything landed so far, equal to the batch job however late or out of order trips arrive.
+#: Batches between two sums of everything so far.
+FOLD_EVERY = 100
+
+
+def _counted(target: str, spark: SparkSession, keys: Sequence[str], kinds: dict[str, str]) -> DataFrame:
+    """All partial counts in ``target`` with the first and last batch that each holds."""
+    columns = ["datetime_hour timestamp_ntz", *[f"`{k}` {kinds[k]}" for k in keys], "n bigint", "first bigint", "last bigint"]
+    return spark.read.schema(", ".join(columns)).parquet(target)
+
+
+def _spans(parts: DataFrame) -> list[tuple[int, int]]:
+    """The spans of batches that no longer span holds: one row per batch since the last sum, and the sum."""
+    found = {(r.first, r.last) for r in parts.select("first", "last").distinct().collect()}
+    return [s for s in found if not any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in found)]
+
+
+def _of_spans(parts: DataFrame, spans: list[tuple[int, int]]) -> DataFrame:
+    held = F.lit(False)
+    for first, last in spans:
+        held = held | ((F.col("first") == first) & (F.col("last") == last))
+    return parts.where(held)
+
+
+def land_counts(
+    batch: DataFrame, batch_id: int, target: str, keys: Sequence[str] = (), fold_every: int = FOLD_EVERY
+) -> None:
+    """Write the counts of one batch (datetime_hour and ``keys``) as the partition of its number.
+
+    The partition is overwritten, so a batch that is run again after a failure leaves what it left before. Every ``fold_every``
+    batches the counts so far are summed into one partition, which from then on stands for all of them.
+    """
+    spark, groups = batch.sparkSession, ["datetime_hour", *keys]
+    counts = batch.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
+    counts.write.mode("overwrite").parquet(f"{target}/first={batch_id}/last={batch_id}")
+    if (batch_id + 1) % fold_every == 0:
+        parts = _counted(target, spark, keys, dict(batch.dtypes))
+        # A sum of an earlier run of this batch is left out, and made again.
+        own = parts.where((F.col("last") < batch_id) | (F.col("first") == batch_id) & (F.col("last") == batch_id))
+        total = _of_spans(own, _spans(own)).groupBy(*groups).agg(F.sum("n").alias("n"))
+        total.write.mode("overwrite").parquet(f"{target}/first=0/last={batch_id}")
+
+
+def hourly_demand(spark: SparkSession, target: str, keys: Sequence[str] = (), kinds: dict[str, str] | None = None) -> DataFrame:
+    """Trips per hour (and ``keys``, of the types ``kinds``) over the batches landed so far."""
+    parts = _counted(target, spark, keys, kinds or {})
+    return _of_spans(parts, _spans(parts)).groupBy("datetime_hour", *keys).agg(F.sum("n").alias("FHV"))
+
+
+def stream_hourly_demand(
+    raw: DataFrame, target: str, checkpoint: str, keys: Sequence[str] = (), fold_every: int = FOLD_EVERY
+) -> DataFrame:
+    """Trips per hour (and ``keys``) over everything landed so far, equal to the batch job however late or out of order trips
+    arrive.
 
-    The stream appends each trip's hour exactly once and keeps no state; hours are counted when the result is read. A column
-    of few distinct hours takes next to no space in Parquet.
+    Each batch is counted as it comes and adds a row per hour it holds, so the target has at most hours x batches rows; no trip
+    is stored and none is dropped as late. Batches are told apart by number: one that is run again replaces its counts.
     """
-    hours = raw.select(floor_hour(moment("pickup_datetime")).alias("datetime_hour")).where("datetime_hour is not null")
-    _append(hours, target, checkpoint)
-    landed = raw.sparkSession.read.schema("datetime_hour timestamp_ntz").parquet(target)
-    return landed.groupBy("datetime_hour").agg(F.count(F.lit(1)).alias("FHV"))
+    spark = raw.sparkSession
+    hours = raw.select(floor_hour(moment("pickup_datetime")).alias("datetime_hour"), *keys).where("datetime_hour is not null")
+    kinds = dict(hours.dtypes)
+    # Something to read even when no batch comes.
+    none = spark.createDataFrame([], hours.schema).withColumn("n", F.lit(0).cast("bigint"))
+    none.write.mode("overwrite").parquet(f"{target}/first=-1/last=-1")
+    query = (
+        hours.writeStream.foreachBatch(lambda batch, batch_id: land_counts(batch, batch_id, target, keys, fold_every))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return hourly_demand(spark, target, keys, kinds)

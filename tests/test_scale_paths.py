@@ -73,14 +73,33 @@ def test_salted_join(spark, how, hot_rows):
         staging.salted_join(left, staging.settle(right, "full"), ["k"], "full")
 
 
-def test_salts_follow_the_copied_size(spark):
-    assert staging.salts_for(spark, 10**15) == staging.MIN_SALTS
-    spark.conf.set("spark.sql.shuffle.partitions", "4000")
-    try:
-        assert staging.salts_for(spark, 64 * 1024**2) == 1024
-        assert staging.salts_for(spark, 0) == 4000
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+def test_only_hot_keys_are_copied(spark):
+    """1,000 equal rows of one key spread over its salts; side rows of any other key are there once."""
+    left = staging.settle(spark.createDataFrame([(1, "same")] * 1000 + [(k, "x") for k in range(2, 50)], "k int, a string"), "left")
+    side = staging.settle(spark.createDataFrame([(k, f"s{k}") for k in range(40)] + [(39, f"t{i}") for i in range(400)], "k int, b string"), "side")
+    hot = staging.hot_keys(left, side, ["k"], 100)
+    assert {tuple(r) for r in hot.df.collect()} == {(1, 10, 1), (39, 1, 5)}
+    ours, theirs = staging.spread(left, side, ["k"], hot.df)
+    salts = [r["count"] for r in ours.where("k = 1").groupBy("_salt").count().collect()]
+    assert len(salts) == 10 and sum(salts) == 1000 and max(salts) < 160
+    copies = {r.k: r["count"] for r in theirs.groupBy("k").count().collect()}
+    assert copies == {1: 10, 39: 401}
+    joined = staging.salted_join(left, side, ["k"], "left", 100)
+    assert joined.count() == 1000 + 401 + 47
+
+
+def test_without_a_shared_folder_only_local_sessions_work(spark):
+    assert staging.shared_folder(spark, "a").split("/metropulse/")[0] == staging.shared_folder(spark, "b").split("/metropulse/")[0]
+
+    class Elsewhere:
+        conf = spark.conf
+
+        class sparkContext:
+            applicationId, master = "app-elsewhere", "local-cluster[2,1,1024]"
+
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            staging.shared_folder(Elsewhere, "a")
 
 
 def test_settled_sizes(spark):
