@@ -77,6 +77,11 @@ def borough_share_total(traffic: DataFrame, trips: DataFrame, lookup: DataFrame)
     return _known_boroughs(_traffic_share(traffic, TRAFFIC_TITLE_TOTAL).unionByName(demand))
 
 
+# The columns kept of a zone table, as far as it has them.
+PLACE_NAMES = ["zone", "borough", "service_zone"]
+ZONE_COLUMNS = [*PLACE_NAMES, "geometry"]
+
+
 def with_location_id(zones: DataFrame) -> DataFrame:
     """Zones with their id column spelled ``LocationID``, whatever its case in the source."""
     found = next((c for c in zones.columns if c.lower() == "locationid"), None)
@@ -91,10 +96,10 @@ def features_zone_hour(by_zone_hour: DataFrame, zones: DataFrame, metric: str =
     if metric not in measures:
         raise ValueError(f"metric must be one of {measures}")
     places = with_location_id(zones)
-    for name in ("zone", "geometry"):  # in any case, like the id
+    for name in ZONE_COLUMNS:  # in any case, like the id
         found = next((c for c in places.columns if c.lower() == name), name)
         places = places.withColumnRenamed(found, name)
-    extra = [c for c in ("zone", "geometry") if c in places.columns]
+    extra = [c for c in ZONE_COLUMNS if c in places.columns]
     slots = places.select("LocationID", *extra, F.explode(F.sequence(F.lit(0), F.lit(23))).alias("pickup_hour"))
     filled = slots.join(by_zone_hour.select("LocationID", "pickup_hour", *measures), ["LocationID", "pickup_hour"], "left")
     filled = filled.fillna(0, measures)
@@ -109,7 +114,7 @@ def features_zone_hour(by_zone_hour: DataFrame, zones: DataFrame, metric: str =
 def feature_json(features: DataFrame) -> DataFrame:
     """One GeoJSON-style feature per row as text in column ``value``, ready for a text sink."""
     style = F.struct(*[F.lit(v).alias(k) for k, v in STYLE.items()], F.col("fill_opacity").alias("fillOpacity"))
-    shown = [c for c in ("zone", "pickup_hour", "FHV", "YLC") if c in features.columns]
+    shown = [c for c in (*PLACE_NAMES, "pickup_hour", "FHV", "YLC") if c in features.columns]
     popup = F.struct(*shown, F.round("ratio", 2).alias("ratio"))
     geometry = F.col("geometry") if "geometry" in features.columns else F.lit(None).cast("string")
     shape = F.try_parse_json(geometry)  # any kind of geometry, as it came

@@ -46,7 +46,12 @@ class Feeds:
 
     @cached_property
     def ylc_raw(self) -> DataFrame:
+        return self.ylc_rows.drop("event_id")
+
+    @cached_property
+    def ylc_rows(self) -> DataFrame:
         return self.table("events").selectExpr(
+            "event_id",
             "cast(event_id % 2 + 1 as int) vendorid",
             "case when event_id % 199 = 0 then 'x' else cast(ts as string) end tpep_pickup_datetime",
             "ts + make_dt_interval(0, 0, cast(event_id % 50 as int) - 5) tpep_dropoff_datetime",
@@ -93,9 +98,36 @@ class Feeds:
         ring = "concat('{\"type\":\"Polygon\",\"coordinates\":[[[', n_nationkey, ',40],[-73,40],[-73,41],[', n_nationkey, ',40]]]}')"
         return self.table("nation").selectExpr("n_nationkey locationid", "n_name zone", f"{ring} geometry")
 
+    @cached_property
+    def zones_full(self) -> DataFrame:
+        """Zones with all their columns, in other cases, and every third one in two parts."""
+        place = "concat('[[[', n_nationkey, ',40],[-73,40],[-73,41],[', n_nationkey, ',40]]]')"
+        apart = "concat('[[[', n_nationkey, ',50],[-73,50],[-73,51],[', n_nationkey, ',50]]]')"
+        return self.table("nation").selectExpr(
+            "n_nationkey LOCATIONID",
+            "n_name Zone",
+            f"{borough('n_regionkey')} Borough",
+            "case when n_nationkey % 2 = 0 then 'Yellow Zone' else 'Boro Zone' end Service_Zone",
+            f"case when n_nationkey % 3 = 0 then concat('{{\"type\":\"MultiPolygon\",\"coordinates\":[', {place}, ',', {apart}, ']}}') "
+            f"else concat('{{\"type\":\"Polygon\",\"coordinates\":', {place}, '}}') end GEOMETRY",
+        )
+
+    @cached_property
+    def traffic_text(self) -> DataFrame:
+        """The counts as a text landing gives them: date parts are text, some of them unreadable."""
+        parts = {c: F.col(c).cast("string") for c in ("Yr", "M", "D", "HH", "MM")}
+        parts["HH"] = F.when(F.col("event_id") % 113 == 0, "n/a").otherwise(parts["HH"])
+        parts["D"] = F.when(F.col("event_id") % 127 == 0, "").when(F.col("event_id") % 131 == 0, "31.5").otherwise(parts["D"])
+        return self.traffic_rows.withColumns(parts).drop("event_id")
+
     @cached_property
     def traffic_raw(self) -> DataFrame:
+        return self.traffic_rows.drop("event_id")
+
+    @cached_property
+    def traffic_rows(self) -> DataFrame:
         return self.table("events").selectExpr(
+            "event_id",
             f"concat('  ', upper({borough('user_id % 5')}), ' ') Boro",
             f"case when event_id % 307 = 0 then {YEAR - 2} else year(ts) end Yr",
             "case when event_id % 509 = 0 then 13 else month(ts) end M",

@@ -348,6 +348,9 @@ _SELECT: dict[str, str] = {
         SELECT SegmentID, Vol, timestamp, CAST(hour(timestamp) AS INTEGER) AS hora_entera,
                strftime(timestamp, '%A') AS dia_semana, strftime(timestamp, '%B') AS mes_nombre
         FROM timed""",
+    "traffic_time_text": """
+        SELECT SegmentID, Vol, CASE WHEN event_id % 113 <> 0 AND event_id % 127 <> 0 AND event_id % 131 <> 0 THEN timestamp END AS timestamp
+        FROM timed""",
     "wkt_point": "SELECT SegmentID, WktGeom, x, y FROM b_traffic",
     "geo_to_latlon": f"""
         SELECT SegmentID, WktGeom, {_r('longitude', 'longitude')}, {_r('latitude', 'latitude')}
@@ -470,6 +473,12 @@ _SELECT: dict[str, str] = {
         FROM mapped WHERE Borough <> 'Unknown' GROUP BY Borough""",
     "features_zone_hour": f"""
         SELECT LocationID, zone, pickup_hour, time, FHV, YLC, ratio, {_r('fill_opacity', 'fill_opacity')} FROM slider""",
+    "zone_features_full": f"""
+        SELECT CASE WHEN LocationID % 3 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS shape,
+               CAST(CASE WHEN LocationID % 3 = 0 THEN 2 ELSE 1 END AS INTEGER) AS parts, LocationID, zone,
+               {_boro('n_regionkey')} AS borough, CASE WHEN LocationID % 2 = 0 THEN 'Yellow Zone' ELSE 'Boro Zone' END AS service_zone,
+               pickup_hour, FHV, YLC
+        FROM zone_slots JOIN nation ON n_nationkey = LocationID""",
     "profile_schema": """
         SELECT (SELECT count(*) FROM events) AS n_rows, CAST(14 AS INTEGER) AS n_columns, c[1] AS "column", c[2] AS type
         FROM (SELECT unnest([['vendorid', 'int'], ['tpep_pickup_datetime', 'string'], ['tpep_dropoff_datetime', 'timestamp_ntz'],
@@ -507,6 +516,9 @@ _SELECT: dict[str, str] = {
         SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN event_type END AS event_type, CAST(NULL AS VARCHAR) AS event_borough,
                ts AS start_time
         FROM events""",
+    "sample_pages": f"""
+        SELECT pickup AS tpep_pickup_datetime, vendorid, pulocationid, dolocationid, payment_type, {', '.join(_r(c, c) for c in _NUMERIC)}
+        FROM b_ylc WHERE year(pickup) = 2024 AND day(pickup) <= 7""",
     "sample_first_week": f"""
         SELECT event_id, ts, {_r('value', 'value')} FROM events WHERE year(ts) = 2024 AND day(ts) <= 7""",
     "compact_parquet": _CLEAN_FHV,

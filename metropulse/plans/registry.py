@@ -15,7 +15,7 @@ from metropulse.operators.staging import salted_join, settle, shared_folder
 from metropulse.plans.bridge import YEAR, Feeds
 from metropulse.plans.sqlfunctions import register_functions
 from metropulse.session import pin
-from metropulse.sources import readers, schemas, writers
+from metropulse.sources import pages, readers, schemas, writers
 from metropulse.streaming import trips as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,6 +135,11 @@ def traffic_time(f: Feeds) -> DataFrame:
     return timed.select("SegmentID", "Vol", "timestamp").withColumns(traffic.time_labels(F.col("timestamp")))
 
 
+@registered
+def traffic_time_text(f: Feeds) -> DataFrame:
+    return traffic.traffic_time(f.traffic_text).select("SegmentID", "Vol", "timestamp")
+
+
 @registered
 def wkt_point(f: Feeds) -> DataFrame:
     return traffic.wkt_point(f.traffic_raw).select("SegmentID", "WktGeom", "x", "y")
@@ -392,6 +397,18 @@ def features_zone_hour(f: Feeds) -> DataFrame:
     return spatial.features_zone_hour(f.zone_hour, f.zones).drop("geometry")
 
 
+@registered
+def zone_features_full(f: Feeds) -> DataFrame:
+    """All zone columns and geometries of one or several parts, through map features and back."""
+    target = shared_folder(f.spark, "zones")
+    writers.write_json_lines(spatial.feature_json(spatial.features_zone_hour(f.zone_hour, f.zones_full)), target)
+    popup = "zone: string, borough: string, service_zone: string, pickup_hour: int, FHV: bigint, YLC: bigint"
+    inner = f"LocationID: bigint, popup: struct<{popup}>"
+    read = f.spark.read.schema(f"geometry struct<type: string, coordinates: variant>, properties struct<{inner}>").json(target)
+    parts = F.size(F.variant_get("geometry.coordinates", "$", "array<variant>")).alias("parts")
+    return read.select(F.col("geometry.type").alias("shape"), parts, "properties.LocationID", "properties.popup.*")
+
+
 # Quality -----------------------------------------------------------------------------------------------------
 
 
@@ -494,6 +511,19 @@ def scan_json_pages(f: Feeds) -> DataFrame:
     )
 
 
+@registered
+def sample_pages(f: Feeds) -> DataFrame:
+    """First weeks from taxi pages: the index chooses the pages to open."""
+    landing, index = shared_folder(f.spark, "taxi-pages"), shared_folder(f.spark, "page-index")
+    rows = f.ylc_rows.select((F.col("event_id") / 5000).cast("int").alias("page"), F.struct(*f.ylc_raw.columns).alias("item"))
+    rows.groupBy("page").agg(F.to_json(F.collect_list("item")).alias("value")).write.partitionBy("page").text(landing)
+    pages.update_index(f.spark, landing, index, schemas.RAW_YLC, "tpep_pickup_datetime")
+    read = pages.read_pages(f.spark, index, schemas.RAW_YLC, "tpep_pickup_datetime", pages.first_weeks(YEAR))
+    numbers = [number(c).alias(c) for c in trips.YLC_NUMBERS]
+    codes = [F.col(c).try_cast("int").alias(c) for c in trips.YLC_CODES]
+    return read.select(moment("tpep_pickup_datetime").alias("tpep_pickup_datetime"), *codes, *numbers)
+
+
 @registered
 def sample_first_week(f: Feeds) -> DataFrame:
     return readers.sample_first_week(f.table("events").select("event_id", "ts", "value"), "ts", YEAR)
