@@ -1,24 +1,36 @@
 """Personal data: spans of fixed kinds, and terms that give a protected value away by how the corpus uses them.
 
-Built-in functions only. The base kinds are patterns with checks. Each distinct valid value is a protected entity. A term
-near an entity (within ``WINDOW`` words) is measured by pointwise mutual information over distinct texts,
-``PMI = log2(n_te * N / (n_t * n_e))``, against the entity's own information ``IC = log2(N / n_e)``. A term seen with the
-entity, next to at least ``SUPPORT`` different words on either side whose PMI reaches ``DISCLOSURE * IC`` discloses it: in texts that hold
-the entity the term is generalised to a tag, or removed when it occurs nowhere without the entity (PMI = IC).
-Texts are counted once and both neighbours must vary, so copies of a text, exact or near, are no evidence.
+Built-in functions only. The base kinds are patterns with checks. Each distinct valid value is a protected entity. A term is a word or a
+run of up to ``LONGEST_RUN`` words; it is measured over whole distinct texts by pointwise mutual information
+``PMI = log2(n_te * N / (n_t * n_e))`` against the entity's own information ``IC = log2(N / n_e)``: N texts, n_e with the entity, n_t with
+the term, n_te with both, wherever in the text. A term whose PMI reaches ``DISCLOSURE * IC`` discloses the entity: in texts that hold
+the entity it is generalised to a tag, or removed when it occurs nowhere without the entity (PMI = IC). A run counts only where
+neither its beginning nor its end already discloses the entity.
+
+Evidence must come from different texts. Copies, exact or near, share most of their five-word shingles, so texts are classed by their
+least shingle hash (in the best of a few orders), and the evidence of n texts is n over the largest class: a thousand near copies weigh little more than one text,
+a thousand letters a thousand. An entity and a pair need evidence of ``SUPPORT`` at least, and the pair's evidence times its PMI must
+beat chance over all pairs looked at (``log2(pairs) + MARGIN`` bits). Entities in fewer than ``SUPPORT`` different texts therefore keep
+their neighbours: nothing can be estimated for them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metropulse.operators.staging import join_sized, settle
 
-WINDOW = 8
-WINDOW_CHARS = 200
 SUPPORT = 3
 DISCLOSURE = 0.8
+LONGEST_RUN = 4
+MARGIN = 3.0
+SHINGLE = 5
+ORDERS = 3
+#: Elements whose running sums are made one from another; the sums of blocks come first.
+SUM_BLOCK = 64
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -63,26 +75,58 @@ HINTS = {
 }
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(values: Column, merge: Callable[[Column, Column], Column], none: int) -> Column:
+    """For each of an array of longs what ``merge`` makes of those before it: within its block, and of whole blocks before. No step
+    copies what the steps before it made, as gathering in an aggregate would."""
+    zero = F.lit(none).cast("bigint")
+
+    def fold(part: Column) -> Column:
+        return F.aggregate(part, zero, merge)
+
+    def upto(n: Column) -> Column:
+        return F.sequence(F.lit(0), n - 1)
+
+    def of(v: Column) -> Column:
+        blocks = F.ceil(F.size(v) / SUM_BLOCK).cast("int")
+        sums = F.transform(upto(blocks), lambda b: fold(F.slice(v, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK))))
+        before = _bound(sums, lambda x: F.transform(upto(blocks), lambda b: fold(F.slice(x, F.lit(1), b))))
+
+        def at(b: Column, i: Column) -> Column:
+            block = F.floor(i / SUM_BLOCK).cast("int")
+            return merge(F.get(b, block), fold(F.slice(v, block * SUM_BLOCK + 1, i - block * SUM_BLOCK)))
+
+        placed = _bound(before, lambda b: F.transform(upto(F.size(v)), lambda i: at(b, i)))
+        return F.when(F.size(v) > 0, placed).otherwise(F.array().cast("array<bigint>"))
+
+    return _bound(values, of)
+
+
 def _spans(text: Column, kind: str) -> Column:
     """Valid matches with code-point places: the pieces between matches and the matches take turns."""
     pattern, k = PATTERNS[kind], KINDS.index(kind)
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    steps = F.zip_with(
-        F.transform(F.slice(pieces, F.lit(1), F.size(hits)), F.length),
+    hits, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    turns = F.zip_with(
         hits,
-        lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")),
+        pieces,
+        lambda hit, gap: F.when(hit.isNotNull(), F.struct(F.length(gap).cast("bigint").alias("gap"), F.length(hit).cast("bigint").alias("long"), hit.alias("v"))),
     )
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["pos"] + x["gap"]
-        e = s + F.length(x["hit"])
-        span = F.struct(s.alias("s"), F.lit(k).alias("k"), e.alias("e"), x["hit"].alias("v"))
-        return F.struct(e.alias("pos"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def place(turn: Column, before: Column) -> Column:
+        s = (before + turn["gap"]).cast("int")
+        return F.struct(s.alias("s"), F.lit(k).alias("k"), (s + turn["long"]).cast("int").alias("e"), turn["v"].alias("v"))
 
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast(_SPAN).alias("out"))
-    found = F.aggregate(steps, start, step, lambda acc: acc["out"])
-    return F.when(HINTS[kind](text), F.filter(found, lambda x: CHECKS[kind](x["v"]))).otherwise(F.array().cast(_SPAN))
+    def placed(t: Column) -> Column:
+        sums = _running(F.transform(t, lambda x: x["gap"] + x["long"]), lambda a, b: a + b, 0)
+        return F.zip_with(t, sums, place)
+
+    found = _bound(F.filter(turns, lambda x: x.isNotNull()), placed)
+    none = F.array().cast(_SPAN)
+    return F.when(HINTS[kind](text), F.filter(found, lambda x: CHECKS[kind](x["v"])).cast(_SPAN)).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
@@ -91,88 +135,151 @@ def base_spans(text: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    """Terms: runs of letters, lower-cased, of three letters or more."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: F.length(w) > 2)
+    """The letter runs of a text, lower-cased."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
+
+
+def _terms(text: Column, longest: int) -> Column:
+    """The different words and runs of up to ``longest`` words of a text."""
+
+    def of(words: Column) -> Column:
+        runs = [words]
+        for n in range(1, longest):
+            later = F.slice(words, F.lit(n + 1), F.greatest(F.size(words) - n, F.lit(0)))
+            longer = F.zip_with(runs[-1], later, lambda a, b: F.concat(a, F.lit(" "), b))
+            runs.append(F.filter(longer, lambda x: x.isNotNull()))
+        return F.array_distinct(F.concat(*runs))
+
+    return _bound(_words(text), of)
+
 
+def _classes(text: Column) -> Column:
+    """The least hash of a text's five-word shingles (of all its words if they are fewer) in each of ``ORDERS`` orders."""
 
-def _nearby(text: Column, span: Column) -> tuple[Column, Column]:
-    """Terms of the whole words on either side of a span, nearest ``WINDOW`` each; words with digits or @ aside."""
-    begin = F.greatest(span["s"] - WINDOW_CHARS, F.lit(0))
-    before = F.substring(text, begin + 1, span["s"] - begin)
-    before = F.when(begin > 0, F.regexp_replace(before, r"^[^\x20\x09-\x0D]+", "")).otherwise(before)
-    after = F.substring(text, span["e"] + 1, F.lit(WINDOW_CHARS))
-    whole = F.length(after) < WINDOW_CHARS
-    after = F.when(whole, after).otherwise(F.regexp_replace(after, r"[^\x20\x09-\x0D]+$", ""))
-    odd = r"[^\x20\x09-\x0D]*[@0-9][^\x20\x09-\x0D]*"
-    left, right = (_words(F.regexp_replace(x, odd, " ")) for x in (before, after))
-    left = F.slice(left, F.greatest(F.size(left) - WINDOW + 1, F.lit(1)), F.lit(WINDOW))
-    return left, F.slice(right, 1, WINDOW)
+    def of(words: Column) -> Column:
+        n = F.greatest(F.size(words) - SHINGLE + 1, F.lit(1))
+        return F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.array_join(F.slice(words, i, F.lit(SHINGLE)), " ")))
+
+    def least(hashes: Column) -> Column:
+        return F.array(*[F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(seed)))) for seed in range(ORDERS)])
+
+    whole = F.filter(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return _bound(_bound(whole, of), least)
 
 
 def _key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
 
 
-def disclosing_terms(texts: DataFrame, found: DataFrame) -> DataFrame:
-    """(k, v, term, sure) for terms that disclose the entity (k, v).
+def _owned(found: DataFrame) -> DataFrame:
+    """(h1, h2, k, v): which text holds which entity."""
+    each = found.select("h1", "h2", F.explode("spans").alias("x"))
+    return each.select("h1", "h2", F.col("x.k").alias("k"), F.lower("x.v").alias("v")).distinct()
+
+
+def _evidence(rows: DataFrame, by: list[str], total: str) -> DataFrame:
+    """Texts (as ``total``) and their evidence by ``by``, of rows that are one per text, with its classes; enough of it only.
+    Texts with a line in common can fall in one class when its hash happens to be small; of several orders one will do."""
+    each = rows.select(*by, F.posexplode("classes").alias("order", "class"))
+    classes = each.groupBy(*by, "order", "class").agg(F.count("*").alias("n"))
+    orders = classes.groupBy(*by, "order").agg(F.sum("n").alias("n"), (F.sum("n") / F.max("n")).alias("evidence"))
+    sums = orders.groupBy(*by).agg(F.max("n").alias(total), F.max("evidence").alias("evidence"))
+    return sums.where(F.col("evidence") >= SUPPORT)
+
+
+def disclosing_terms(texts: DataFrame, found: DataFrame) -> DataFrame | None:
+    """(k, v, term, words, sure) for terms that disclose the entity (k, v); None where there is no evidence for any.
 
     ``texts`` has the column t, all texts; ``found`` has the texts with spans once each, as h1, h2, t, spans.
     """
-    seen = found.select("h1", "h2", "t", F.explode("spans").alias("x"))
-    left, right = _nearby(F.col("t"), F.col("x"))
-    seen = seen.select("h1", "h2", F.col("x.k").alias("k"), F.lower("x.v").alias("v"), left.alias("a"), right.alias("b"))
-    entity = seen.groupBy("k", "v").agg(F.countDistinct("h1", "h2").alias("n_e")).where(F.col("n_e") >= SUPPORT)
-    line = F.concat("a", "b")
-    pairs = seen.join(entity.select("k", "v"), ["k", "v"]).select("h1", "h2", "k", "v", line.alias("line"), F.posexplode(line).alias("i", "term"))
-    before = F.coalesce(F.try_element_at("line", F.nullif("i", F.lit(0))), F.lit(""))
-    after = F.coalesce(F.try_element_at("line", F.col("i") + 2), F.lit(""))
-    # Copies with a few changed words keep most neighbours, so both sides must vary.
-    pairs = pairs.groupBy("k", "v", "term").agg(
-        F.least(F.countDistinct(before), F.countDistinct(after)).alias("contexts"),
-        F.countDistinct("h1", "h2").alias("n_te"),
-    )
-    pairs = settle(pairs.where(F.col("contexts") >= SUPPORT).join(entity, ["k", "v"]), "pii-terms")
-    if not pairs.rows:  # nothing left to measure against the corpus
-        return pairs.df.select("k", "v", "term", F.lit(False).alias("sure"))
+    classed = found.select("h1", "h2", _classes(F.col("t")).alias("classes"))
+    owned = settle(_owned(found).join(classed, ["h1", "h2"]), "pii-owned").df
+    entity = settle(_evidence(owned, ["k", "v"], "n_e").drop("evidence"), "pii-entities")
+    if not entity.rows:
+        return None
+    total = float(texts.select(*_key(F.col("t"))).distinct().count())
+    owned = join_sized(owned, entity, ["k", "v"], "inner", "pii-held")
+    held = settle(owned.select("h1", "h2").distinct(), "pii-texts")
+    said = join_sized(found.select("h1", "h2", "t"), held, ["h1", "h2"], "inner")
+    said = settle(said.select("h1", "h2", F.explode(_terms(F.col("t"), LONGEST_RUN)).alias("term")), "pii-said").df
+    pairs = _evidence(owned.join(said, ["h1", "h2"]), ["k", "v", "term"], "n_te")
+    # A term is in at least as many texts as among those at hand, which leaves out most terms before the corpus is asked.
+    least = said.groupBy("term").agg(F.count("*").alias("n_f"))
+    ic = F.log2(F.lit(total) / F.col("n_e"))
+    rated = pairs.join(entity.df, ["k", "v"]).join(least, "term").withColumn("ic", ic)
+    pairs = settle(rated.where((F.col("ic") > 0) & (_pmi("n_f", total) >= DISCLOSURE * F.col("ic"))), "pii-terms")
+    if not pairs.rows:
+        return None
     wanted = settle(pairs.df.select("term").distinct(), "pii-wanted")
-    said = texts.select(*_key(F.col("t")), F.explode(_words(F.col("t"))).alias("term"))
-    times = join_sized(said, wanted, ["term"], "inner").groupBy("term").agg(F.countDistinct("h1", "h2").alias("n_t"))
-    total = texts.select(*_key(F.col("t"))).distinct().count()
-    measured = pairs.df.join(times, "term")
-    pmi = F.log2(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
-    ic = F.log2(F.lit(float(total)) / F.col("n_e"))
-    return measured.where((pmi >= DISCLOSURE * ic) & (ic > 0)).select(
-        "k", "v", "term", (F.col("n_te") >= F.col("n_t")).alias("sure")
-    )
+    longest = pairs.df.agg(F.max(_length("term"))).first()[0]
+    every = texts.select(*_key(F.col("t")), F.explode(_terms(F.col("t"), longest)).alias("term"))
+    times = join_sized(every, wanted, ["term"], "inner").groupBy("term").agg(F.countDistinct("h1", "h2").alias("n_t"))
+    measured = pairs.df.join(times, "term").withColumn("pmi", _pmi("n_t", total))
+    chance = F.log2(F.lit(float(pairs.rows))) + MARGIN
+    measured = measured.where((F.col("pmi") >= DISCLOSURE * F.col("ic")) & (F.col("evidence") * F.col("pmi") >= chance))
+    kept = measured.select("k", "v", "term", _length("term").alias("words"), (F.col("n_te") >= F.col("n_t")).alias("sure"))
+    told = settle(kept, "pii-disclosing")
+    if not told.rows:
+        return None
+    shorter = told.df.select("k", "v", F.col("term").alias("part"))
+    out = told.df  # runs whose beginning or end discloses by itself add nothing
+    for part in (F.regexp_replace("term", " [^ ]+$", ""), F.regexp_replace("term", "^[^ ]+ ", "")):
+        inner = F.when(F.col("words") > 1, part)
+        out = out.withColumn("part", inner).join(shorter, ["k", "v", "part"], "left_anti").drop("part")
+    return settle(out, "pii-shortest").df
+
+
+def _length(term: str) -> Column:
+    return F.size(F.split(term, " "))
+
+
+def _pmi(n: str, total: float) -> Column:
+    return F.log2(F.col("n_te") * F.lit(total) / (F.col(n) * F.col("n_e")))
 
 
 def _term_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """(h1, h2, more): places of disclosing terms in the texts that hold their entity, none inside a base span."""
-    owned = found.select("h1", "h2", F.explode("spans").alias("x"))
-    owned = owned.select("h1", "h2", F.col("x.k").alias("k"), F.lower("x.v").alias("v")).distinct()
-    marked = owned.join(terms, ["k", "v"]).groupBy("h1", "h2").agg(
-        F.collect_set("term").alias("terms"), F.collect_set(F.when(F.col("sure"), F.col("term"))).alias("sure")
-    )
-    word = r"\p{L}+"
-    text = F.col("t")
+    """(h1, h2, more): places of disclosing terms in the texts that hold their entity, none that meets a base span.
+
+    Words are rows and places running sums over a text's words; base spans and term spans are told apart in order of place, so
+    no row carries a text's other words or spans.
+    """
+    key = ["h1", "h2"]
+    wanted = _owned(found).join(terms, ["k", "v"]).groupBy(*key, "term").agg(F.max("sure").alias("sure"))
+    wanted = settle(wanted, "pii-marked").df
+    longest = terms.agg(F.max("words")).first()[0]
+    word, text = r"\p{L}+", F.col("t")
     gaps = F.transform(F.split(text, word, -1), F.length).alias("gap")
     turns = F.arrays_zip(gaps, F.regexp_extract_all(text, F.lit(word), F.lit(0)).alias("w"))
-    words = found.join(marked, ["h1", "h2"]).select("h1", "h2", "spans", "terms", "sure", F.posexplode(turns).alias("i", "x"))
-    upto = Window.partitionBy("h1", "h2").orderBy("i")
-    words = words.withColumn("e", F.sum(F.col("x.gap") + F.coalesce(F.length("x.w"), F.lit(0))).over(upto).cast("int"))
-    words = words.withColumn("term", F.lower("x.w")).where(F.array_contains("terms", F.col("term")))
-    words = words.withColumn("s", F.col("e") - F.length("x.w"))
-    clear = ~F.exists("spans", lambda y: (y["s"] < F.col("e")) & (y["e"] > F.col("s")))
-    kind = F.when(F.array_contains("sure", F.col("term")), len(KINDS) + 1).otherwise(len(KINDS))
-    span = F.struct("s", kind.cast("int").alias("k"), F.col("e").cast("int").alias("e"), F.col("term").alias("v"))
-    return words.where(clear).groupBy("h1", "h2").agg(F.array_sort(F.collect_list(span)).cast(_SPAN).alias("more"))
+    marked = found.join(wanted.select(*key).distinct(), key)
+    words = marked.select(*key, F.posexplode(turns).alias("i", "x")).where("x.w is not null")
+    order = Window.partitionBy(*key).orderBy("i")
+    words = words.withColumn("e", F.sum(F.col("x.gap") + F.length("x.w")).over(order))
+    words = words.select(*key, "i", F.lower("x.w").alias("w"), (F.col("e") - F.length("x.w")).alias("s"), "e")
+    runs = []
+    for n in range(longest):
+        ends = [F.lead("w", j).over(order) if j else F.col("w") for j in range(n + 1)]
+        term = F.concat(*[x for w in ends for x in (F.lit(" "), w)][1:])  # null where the text ends before the run
+        runs.append(F.struct(term.alias("term"), (F.lead("e", n).over(order) if n else F.col("e")).alias("e")))
+    each = words.select(*key, "s", F.array(*runs).alias("runs")).select(*key, "s", F.inline("runs")).where("term is not null")
+    hits = each.join(wanted, [*key, "term"])
+    kind = F.when(F.col("sure"), len(KINDS) + 1).otherwise(len(KINDS))
+    hits = hits.select(*key, "s", "e", kind.alias("k"), F.col("term").alias("v"), (F.col("e") - 1).alias("at"), F.lit(None).cast("bigint").alias("base_end"))
+    base = marked.select(*key, F.explode("spans").alias("x")).select(*key, "x.s", "x.e", F.lit(None).cast("int").alias("k"), F.lit(None).cast("string").alias("v"), "x.s", "x.e")
+    base = base.toDF(*key, "s", "e", "k", "v", "at", "base_end")
+    # A base span meets a term if it begins before the term's end and ends after the term's beginning.
+    before = Window.partitionBy(*key).orderBy("at", F.col("base_end").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = hits.unionByName(base).withColumn("reach", F.max("base_end").over(before)).where("base_end is null")
+    clear = both.where(F.coalesce(F.col("reach") <= F.col("s"), F.lit(True)))
+    span = F.struct(F.col("s").cast("int").alias("s"), F.col("k").cast("int").alias("k"), F.col("e").cast("int").alias("e"), "v")
+    return clear.groupBy(*key).agg(F.array_sort(F.collect_list(span)).cast(_SPAN).alias("more"))
 
 
 def find_personal(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` as the struct column row, its text as t (null: empty), base spans and all spans, as arrays of
     (s, k, e, v) by start and kind: code points, end exclusive. k counts ``KINDS``, then generalised and removed terms.
 
-    Every row comes back once, repeated rows too; an empty table gives an empty result; other columns stay in row.
+    Every row comes back once, repeated rows too; an empty table gives an empty result; other columns stay in row, whatever their
+    names. A text is one row's work, in time that grows little faster than its spans (``_running``).
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("t"))
@@ -182,8 +289,9 @@ def find_personal(docs: DataFrame, text_col: str = "text") -> DataFrame:
     found = found.select(*_key(F.col("t")), "t", "spans")
     # One row per text: copies hold the same spans.
     found = settle(found.groupBy("h1", "h2").agg(F.first("t").alias("t"), F.first("spans").alias("spans")), "pii-found").df
-    more = settle(_term_spans(found, disclosing_terms(rows.select("t"), found)), "pii-more")
-    if not more.rows:
+    terms = disclosing_terms(rows.select("t"), found)
+    more = settle(_term_spans(found, terms), "pii-more") if terms is not None else None
+    if more is None or not more.rows:
         return marked.withColumn("spans", F.col("base"))
     keyed = marked.withColumns({c: F.when(has, h) for c, h in zip(("h1", "h2"), _key(F.col("t")), strict=True)})
     joined = join_sized(keyed, more, ["h1", "h2"])
@@ -206,15 +314,15 @@ def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     found = find_personal(docs, text_col)
     tags = F.array(*[F.lit(f"<{n.upper()}>") for n in NAMES[:-1]], F.lit(""))
 
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substring(F.col("t"), acc["pos"] + 1, x["s"] - acc["pos"])
-        fresh = F.struct(x["e"].alias("pos"), F.concat(acc["out"], F.array(gap, tags[x["k"]])).alias("out"))
-        longer = F.struct(F.greatest(acc["pos"], x["e"]).alias("pos"), acc["out"].alias("out"))
-        return F.when(x["s"] >= acc["pos"], fresh).otherwise(longer)
+    # What begins before the furthest end so far is already replaced.
+    ends = _running(F.transform("spans", lambda x: x["e"].cast("bigint")), lambda a, b: F.greatest(a, b), 0)
+
+    def piece(x: Column, done: Column) -> Column:
+        gap = F.substring(F.col("t"), (done + 1).cast("int"), (x["s"] - done).cast("int"))
+        return F.when(x["s"] >= done, F.concat(gap, tags[x["k"]])).otherwise("")
 
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate("spans", start, step)
-    clean = F.concat(F.array_join(done["out"], ""), F.substring(F.col("t"), done["pos"] + 1, F.length("t")))
+    last = F.coalesce(F.array_max(F.transform("spans", lambda x: x["e"])), F.lit(0))
+    clean = F.concat(F.array_join(F.zip_with("spans", ends, piece), ""), F.substring(F.col("t"), last + 1, F.length("t")))
     kept = F.col(f"row.`{text_col}`")
     fresh = F.when(F.size("spans") > 0, clean).otherwise(kept)
     return found.select(*[(fresh.alias(c) if c == text_col else F.col(f"row.`{c}`")) for c in docs.columns])

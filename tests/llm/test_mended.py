@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from metropulse.llm import language, nn_descent, registry, token_counts
+from metropulse.llm import language, nn_descent, registry, sanitise, token_counts
+from metropulse.operators.staging import settle
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_tokens long"
 VECTORS = "vec_id long, label int, embedding array<double>"
@@ -116,3 +117,99 @@ def test_encoded_lengths_once_and_of_any_table(spark):
     assert "MapInArrow" not in str(histogram._jdf.queryExecution().optimizedPlan())
     counts = {r.n_tokens: (r.n_docs, r.total_tokens) for r in histogram.collect()}
     assert counts == {n: (list(got.values()).count(n), sum(got.values())) for n in set(got.values())}
+
+
+# --- personal data -------------------------------------------------------------------------------------------------------
+
+
+def letters(rng, n, names):
+    return " ".join(rng.choice(names) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    rng = random.Random(11)
+    return ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(4, 8))) for _ in range(400)]
+
+
+def brute_disclosing(texts, pattern):
+    """The method on whole texts, in plain Python: (entity, term) by PMI, classes of least shingle hashes replaced by the shingle sets'
+    own overlap being none here."""
+    import math
+    import re
+
+    distinct = sorted(set(texts))
+    words = {t: re.findall(r"[^\W\d_]+", t.lower()) for t in distinct}
+    terms = {t: {" ".join(w[i : i + n]) for n in range(1, 5) for i in range(len(w) - n + 1)} for t, w in words.items()}
+    held = {t: set(re.findall(pattern, t)) for t in distinct}
+    out = {}
+    for entity in set().union(*held.values()):
+        mine = [t for t in distinct if entity in held[t]]
+        if len(mine) < 3:
+            continue
+        ic = math.log2(len(distinct) / len(mine))
+        for term in set().union(*(terms[t] for t in mine)):
+            n_te, n_t = sum(term in terms[t] for t in mine), sum(term in terms[t] for t in distinct)
+            pmi = math.log2(n_te * len(distinct) / (n_t * len(mine)))
+            if n_te >= 3 and pmi >= 0.8 * ic:
+                out[entity, term] = n_te == n_t
+    return out
+
+
+def test_disclosing_terms_equal_brute_force(spark, vocabulary):
+    rng = random.Random(12)
+    texts = [letters(rng, 30, vocabulary) for _ in range(300)]
+    for i in range(24):
+        texts.append(f"{letters(rng, 9, vocabulary)} Rosalind {letters(rng, 12, vocabulary)} Mary Ann {letters(rng, 4, vocabulary)} ann@ex.org {letters(rng, 9, vocabulary)}")
+        texts.append(f"{letters(rng, 15, vocabulary)} Mary {letters(rng, 9, vocabulary)} Ann {letters(rng, 9, vocabulary)}" + " +1 234 567 8901" * (i % 3 == 0))
+    docs = spark.createDataFrame([(t,) for t in texts], "t string")
+    keyed = docs.select(*sanitise._key(F.col("t")), "t", sanitise.base_spans(F.col("t")).alias("spans")).where("size(spans) > 0")
+    terms = sanitise.disclosing_terms(docs, settle(keyed, "found").df)
+    got = {(r.v, r.term): r.sure for r in terms.collect()}
+    want = brute_disclosing(texts, r"\S+@\S+|\+[0-9 ]+[0-9]")
+    short = {k: v for k, v in want.items() if " " not in k[1]}
+    covered = {k for k in want if any((k[0], p) in want for p in (k[1].rsplit(" ", 1)[0], k[1].split(" ", 1)[-1]) if p != k[1])}
+    assert got == short | {k: v for k, v in want.items() if " " in k[1] and k not in covered}
+    assert got["ann@ex.org", "rosalind"] and got["ann@ex.org", "mary ann"] and ("ann@ex.org", "mary") not in got
+
+
+@pytest.mark.parametrize("line", ["Rosalind {e}", "Rosalind Franklin {e}", "Rosalind Franklin {w} {e}"])
+def test_names_go_wherever_they_stand(spark, vocabulary, line):
+    rng = random.Random(13)
+    noise = [(i, letters(rng, 25, vocabulary)) for i in range(60)]
+    told = []
+    for i in range(20):
+        body = line.format(e="ann@ex.org", w=letters(rng, 13, vocabulary))
+        told.append((100 + i, f"{letters(rng, 8, vocabulary)} {body} {letters(rng, 8, vocabulary)}"))
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, 1) for i, t in noise + told], DOCS)
+    got = {r.doc_id: r.text for r in sanitise.sanitise(docs).collect()}
+    assert not any("Rosalind" in got[i] or "Franklin" in got[i] or "ann@" in got[i] for i, _ in told)
+    assert all(got[i] == t for i, t in noise)
+    for i, t in told:  # nothing else is taken
+        lost = [w for w in t.split() if w not in got[i].split() and w not in ("Rosalind", "Franklin", "ann@ex.org")]
+        assert lost == []
+
+
+def test_many_spans_in_one_text_take_seconds(spark):
+    import re
+    import time
+
+    text = " ".join(f"user{i}@mail{i % 7}.example.org," for i in range(16_000))
+    docs = spark.createDataFrame([(1, text, "en", "s", 1, 1), (2, None, "en", "s", 1, 1)], DOCS)
+    begun = time.time()
+    found = sanitise.find_personal(docs).select("row.doc_id", "base").collect()
+    clean = {r.doc_id: r.text for r in sanitise.sanitise(docs).collect()}
+    assert time.time() - begun < 60
+    spans = [(x.s, x.e) for r in found if r.doc_id == 1 for x in r.base]
+    assert spans == [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    assert clean == {1: " ".join(["<EMAIL>,"] * 16_000), 2: None}
+    assert "Python" not in str(sanitise.sanitise(docs)._jdf.queryExecution().executedPlan())
+
+
+def test_running_sums(spark):
+    rng = random.Random(14)
+    rows = [[rng.randrange(100) for _ in range(n)] for n in (0, 1, 63, 64, 65, 128, 1000)]
+    df = spark.createDataFrame([(r,) for r in rows], "a array<bigint>")
+    sums = df.select("a", sanitise._running(F.col("a"), lambda a, b: a + b, 0).alias("s"), sanitise._running(F.col("a"), lambda a, b: F.greatest(a, b), 0).alias("m"))
+    for r in sums.collect():
+        assert r.s == [sum(r.a[:i]) for i in range(len(r.a))] and r.m == [max([0, *r.a[:i]]) for i in range(len(r.a))]
