@@ -28,7 +28,7 @@ from metropulse.operators.staging import settle
 
 NEIGHBOURS = 12
 #: Saturated lists are doubled up to this; nodes saturated even then are compared in blocks.
-LONGEST = 96
+LONGEST = 48
 LEAF = 64
 TREES = 2
 BITS = 24
@@ -124,6 +124,10 @@ def _best(edges: DataFrame, k: int) -> DataFrame:
 def _round(vectors: DataFrame, lists: DataFrame, k: int, only: DataFrame | None = None) -> DataFrame:
     """Compare the members of each node's list and reverse list (of a hub, ``k`` chosen by hash: its others reach it by
     their own lists) and keep what beats a member's worst neighbour. With ``only`` (node) nothing is kept for other members."""
+    if only is not None:  # other lists can bring their members nothing
+        wanted = only.select("node")
+        near = lists.join(wanted, lists["v"] == wanted["node"], "left_semi").select("u").union(wanted).distinct()
+        lists = lists.join(near, "u", "left_semi")
     reverse = lists.select(F.col("v").alias("u"), F.col("u").alias("v"))
     some = F.row_number().over(Window.partitionBy("u").orderBy(F.xxhash64("u", "v"), "v"))
     reverse = reverse.withColumn("r", some).where(F.col("r") <= k).drop("r")

@@ -139,18 +139,17 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
 
 
-def _terms(text: Column, longest: int) -> Column:
-    """The different words and runs of up to ``longest`` words of a text."""
+def _word_rows(texts: DataFrame, longest: int) -> DataFrame:
+    """(h1, h2, i, w0 ... ): every word of the texts (t) with those after it, ``longest`` in all; null past the end."""
+    words = texts.select(*_key(F.col("t")), _words(F.col("t")).alias("w"))
+    shifted = [F.col("w"), *[F.slice("w", F.lit(n + 1), F.greatest(F.size("w") - n, F.lit(0))) for n in range(1, longest)]]
+    rows = words.select("h1", "h2", F.posexplode(F.arrays_zip(*[x.alias(f"w{n}") for n, x in enumerate(shifted)])).alias("i", "x"))
+    return rows.select("h1", "h2", "i", *[F.col(f"x.w{n}").alias(f"w{n}") for n in range(longest)])
 
-    def of(words: Column) -> Column:
-        runs = [words]
-        for n in range(1, longest):
-            later = F.slice(words, F.lit(n + 1), F.greatest(F.size(words) - n, F.lit(0)))
-            longer = F.zip_with(runs[-1], later, lambda a, b: F.concat(a, F.lit(" "), b))
-            runs.append(F.filter(longer, lambda x: x.isNotNull()))
-        return F.array_distinct(F.concat(*runs))
 
-    return _bound(_words(text), of)
+def _run_of(words: list[Column]) -> Column:
+    """Words joined by a space; null if one is missing."""
+    return F.concat(*[x for w in words for x in (F.lit(" "), w)][1:])
 
 
 def _classes(text: Column) -> Column:
@@ -198,22 +197,39 @@ def disclosing_terms(texts: DataFrame, found: DataFrame) -> DataFrame | None:
     if not entity.rows:
         return None
     total = float(texts.select(*_key(F.col("t"))).distinct().count())
-    owned = join_sized(owned, entity, ["k", "v"], "inner", "pii-held")
+    owned = settle(join_sized(owned, entity, ["k", "v"], "inner", "pii-held"), "pii-holders").df
     held = settle(owned.select("h1", "h2").distinct(), "pii-texts")
-    said = join_sized(found.select("h1", "h2", "t"), held, ["h1", "h2"], "inner")
-    said = settle(said.select("h1", "h2", F.explode(_terms(F.col("t"), LONGEST_RUN)).alias("term")), "pii-said").df
-    pairs = _evidence(owned.join(said, ["h1", "h2"]), ["k", "v", "term"], "n_te")
-    # A term is in at least as many texts as among those at hand, which leaves out most terms before the corpus is asked.
-    least = said.groupBy("term").agg(F.count("*").alias("n_f"))
+    text_key = ["h1", "h2"]
+    said = settle(_word_rows(join_sized(found.select(*text_key, "t"), held, text_key, "inner").select("t"), 1), "pii-said").df
+    # A run can only be in SUPPORT texts with an entity if each of its words is, so the other words go first.
+    once = said.select(*text_key, "w0").distinct().join(owned.select(*text_key, "k", "v"), text_key)
+    often = settle(once.groupBy("k", "v", "w0").agg(F.count("*").alias("n")).where(F.col("n") >= SUPPORT).drop("n"), "pii-often")
+    words = join_sized(said.join(owned.select(*text_key, "k", "v"), text_key), often, ["k", "v", "w0"], "inner")
+    order = Window.partitionBy(*text_key, "k", "v").orderBy("i")
+    runs = []
+    for n in range(LONGEST_RUN):
+        whole = _run_of([F.lead("w0", j).over(order) if j else F.col("w0") for j in range(n + 1)])
+        runs.append(F.when(F.lead("i", n).over(order) == F.col("i") + n, whole) if n else F.col("w0"))
+    each = words.select(*text_key, "k", "v", F.array(*runs).alias("runs")).select(*text_key, "k", "v", F.explode("runs").alias("term"))
+    each = settle(each.where("term is not null").distinct(), "pii-runs").df
+    counts = each.groupBy("k", "v", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
+    # A term is in at least as many texts as among those at hand, which leaves out most before the corpus is asked.
+    least = each.select(*text_key, "term").distinct().groupBy("term").agg(F.count("*").alias("n_f"))
     ic = F.log2(F.lit(total) / F.col("n_e"))
-    rated = pairs.join(entity.df, ["k", "v"]).join(least, "term").withColumn("ic", ic)
-    pairs = settle(rated.where((F.col("ic") > 0) & (_pmi("n_f", total) >= DISCLOSURE * F.col("ic"))), "pii-terms")
+    rated = counts.join(entity.df, ["k", "v"]).join(least, "term").withColumn("ic", ic)
+    rated = settle(rated.where((F.col("ic") > 0) & (_pmi("n_f", total) >= DISCLOSURE * F.col("ic"))), "pii-rated")
+    classes = owned.select(*text_key, "k", "v", "classes")
+    backed = join_sized(each, rated, ["k", "v", "term"], "inner").select(*text_key, "k", "v", "term").join(classes, [*text_key, "k", "v"])
+    pairs = rated.df.join(_evidence(backed, ["k", "v", "term"], "n").drop("n"), ["k", "v", "term"])
+    pairs = settle(pairs, "pii-terms")
     if not pairs.rows:
         return None
-    wanted = settle(pairs.df.select("term").distinct(), "pii-wanted")
-    longest = pairs.df.agg(F.max(_length("term"))).first()[0]
-    every = texts.select(*_key(F.col("t")), F.explode(_terms(F.col("t"), longest)).alias("term"))
-    times = join_sized(every, wanted, ["term"], "inner").groupBy("term").agg(F.countDistinct("h1", "h2").alias("n_t"))
+    wanted = pairs.df.select("term").distinct().withColumn("w0", F.substring_index("term", " ", 1))
+    wanted = settle(wanted.withColumn("words", _length("term")), "pii-wanted")
+    longest = wanted.df.agg(F.max("words")).first()[0]
+    every = join_sized(_word_rows(texts.select("t"), longest), wanted, ["w0"], "inner")
+    whole = F.element_at(F.array(*[_run_of([F.col(f"w{j}") for j in range(n + 1)]) for n in range(longest)]), F.col("words"))
+    times = every.where(whole == F.col("term")).groupBy("term").agg(F.countDistinct(*text_key).alias("n_t"))
     measured = pairs.df.join(times, "term").withColumn("pmi", _pmi("n_t", total))
     chance = F.log2(F.lit(float(pairs.rows))) + MARGIN
     measured = measured.where((F.col("pmi") >= DISCLOSURE * F.col("ic")) & (F.col("evidence") * F.col("pmi") >= chance))
