@@ -8,7 +8,7 @@ the entity it is generalised to a tag, or removed when it occurs nowhere without
 neither its beginning nor its end already discloses the entity.
 
 Evidence must come from different texts. Copies, exact or near, share most of their five-word shingles, so texts are classed by their
-least shingle hash (in the best of a few orders), and the evidence of n texts is n over the largest class: a thousand near copies weigh little more than one text,
+least shingle hash, and the evidence of n texts is n over the largest class (the median of ``ORDERS`` hash orders): a thousand near copies weigh little more than one text,
 a thousand letters a thousand. An entity and a pair need evidence of ``SUPPORT`` at least, and the pair's evidence times its PMI must
 beat chance over all pairs looked at (``log2(pairs) + MARGIN`` bits). Entities in fewer than ``SUPPORT`` different texts therefore keep
 their neighbours: nothing can be estimated for them.
@@ -28,7 +28,7 @@ DISCLOSURE = 0.8
 LONGEST_RUN = 4
 MARGIN = 3.0
 SHINGLE = 5
-ORDERS = 3
+ORDERS = 15
 #: Elements whose running sums are made one from another; the sums of blocks come first.
 SUM_BLOCK = 64
 
@@ -178,11 +178,12 @@ def _owned(found: DataFrame) -> DataFrame:
 
 def _evidence(rows: DataFrame, by: list[str], total: str) -> DataFrame:
     """Texts (as ``total``) and their evidence by ``by``, of rows that are one per text, with its classes; enough of it only.
-    Texts with a line in common can fall in one class when its hash happens to be small; of several orders one will do."""
+    In one order a line that texts have in common can have the least hash and put them in one class, or near copies can differ in it;
+    over many orders the median follows the share of shingles in common."""
     each = rows.select(*by, F.posexplode("classes").alias("order", "class"))
     classes = each.groupBy(*by, "order", "class").agg(F.count("*").alias("n"))
     orders = classes.groupBy(*by, "order").agg(F.sum("n").alias("n"), (F.sum("n") / F.max("n")).alias("evidence"))
-    sums = orders.groupBy(*by).agg(F.max("n").alias(total), F.max("evidence").alias("evidence"))
+    sums = orders.groupBy(*by).agg(F.max("n").alias(total), F.median("evidence").alias("evidence"))
     return sums.where(F.col("evidence") >= SUPPORT)
 
 
@@ -224,10 +225,13 @@ def disclosing_terms(texts: DataFrame, found: DataFrame) -> DataFrame | None:
     pairs = settle(pairs, "pii-terms")
     if not pairs.rows:
         return None
-    wanted = pairs.df.select("term").distinct().withColumn("w0", F.substring_index("term", " ", 1))
+    wanted = pairs.df.select("term").distinct().withColumn("lead", F.substring_index("term", " ", 2))
     wanted = settle(wanted.withColumn("words", _length("term")), "pii-wanted")
     longest = wanted.df.agg(F.max("words")).first()[0]
-    every = join_sized(_word_rows(texts.select("t"), longest), wanted, ["w0"], "inner")
+    every = _word_rows(texts.select("t"), longest)
+    # Runs are looked up by their first two words: by the first alone, a common one would meet every run that it begins.
+    leads = [F.col("w0"), _run_of([F.col("w0"), F.col("w1")])] if longest > 1 else [F.col("w0")]
+    every = join_sized(every.withColumn("lead", F.explode(F.array(*leads))), wanted, ["lead"], "inner")
     whole = F.element_at(F.array(*[_run_of([F.col(f"w{j}") for j in range(n + 1)]) for n in range(longest)]), F.col("words"))
     times = every.where(whole == F.col("term")).groupBy("term").agg(F.countDistinct(*text_key).alias("n_t"))
     measured = pairs.df.join(times, "term").withColumn("pmi", _pmi("n_t", total))
