@@ -176,9 +176,75 @@ QUERIES = [
 ]
 
 
+def class_model_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op4_class_model`` that SQL can tell: counts and the base score."""
+    scored = op4_class_model(spark, sf_dir)
+    rounded = F.round("base_score", 4)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", rounded.alias("base_score"))
+
+
+def personal_data_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of ``op7_personal_data``; places are beyond the reach of SQL."""
+    return op7_personal_data(spark, sf_dir).select("doc_id", *[f"n_{k}" for k in sanitise.KINDS])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in QUERIES}
+    return {q.__name__: q for q in [*QUERIES, class_model_base, personal_data_counts]}
+
+
+# Words as the operators read them: runs of anything but space and 0x09-0x0D, A-Z lower-cased.
+_WORDS = r"""
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents"""
+
+# CRC-32 of a number as text, bit by bit.
+_CRC = """
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, len({s}) + 1), lambda i: CAST(ord({s}[i]) AS BIGINT))),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda j: CAST(0 AS BIGINT))),
+            lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+SQL = {
+    "op6_warc": """
+        WITH paid AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        sized AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, payload_digest FROM paid),
+        led AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS leader FROM sized)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> leader THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> leader THEN leader END AS refers_to
+        FROM led""",
+    "class_model_base": f"""
+        WITH worded AS ({_WORDS}),
+        folds AS (SELECT doc_id, words, {_CRC.format(s="CAST(doc_id AS VARCHAR)")} % 7 = 2 AS held_out FROM worded),
+        train AS (SELECT unnest(words) AS w FROM folds WHERE NOT held_out),
+        counts AS (SELECT w, count(*) AS c FROM train GROUP BY 1),
+        ends AS (SELECT count(*) AS c FROM folds WHERE NOT held_out),
+        totals AS (SELECT (SELECT sum(c) FROM counts) + ends.c AS n, (SELECT count(*) FROM counts) + 1 AS v, ends.c AS e FROM ends),
+        tokens AS (SELECT doc_id, unnest(words) AS w FROM folds),
+        sums AS (SELECT doc_id, count(*) AS k, count(c) AS known, sum(log10((coalesce(c, 0) + 1) / CAST(n + v + 1 AS DOUBLE))) AS s
+                 FROM tokens LEFT JOIN counts USING (w), totals GROUP BY 1)
+        SELECT doc_id, held_out, coalesce(k, 0) + 1 AS n_tokens, coalesce(known, 0) + CAST(e > 0 AS INTEGER) AS n_known,
+               CAST(n AS BIGINT) AS train_tokens,
+               round(coalesce(s, 0) + log10((e + 1) / CAST(n + v + 1 AS DOUBLE)), 4) AS base_score
+        FROM folds LEFT JOIN sums USING (doc_id), totals""",
+    "personal_data_counts": r"""
+        WITH hits AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS emails,
+                 regexp_extract_all(coalesce(text, ''), '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)') AS ips,
+                 list_transform(regexp_extract_all(coalesce(text, ''), '[0-9]([ -]?[0-9])+'),
+                                lambda x: regexp_replace(x, '[^0-9]', '', 'g')) AS cards,
+                 list_transform(regexp_extract_all(coalesce(text, ''), '\+[0-9][ ().0-9-]+[0-9]'),
+                                lambda x: regexp_replace(x, '[^0-9]', '', 'g')) AS phones
+          FROM documents)
+        SELECT doc_id, CAST(len(emails) AS BIGINT) AS n_email,
+               CAST(len(list_filter(ips, lambda x: len(list_filter(string_split(x, '.'), lambda p: len(ltrim(p, '0')) > 3
+                 OR CAST(CASE WHEN len(ltrim(p, '0')) BETWEEN 1 AND 3 THEN ltrim(p, '0') ELSE '0' END AS INTEGER) > 255)) = 0)) AS BIGINT) AS n_ip,
+               CAST(len(list_filter(cards, lambda x: len(x) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, len(x) + 1),
+                 lambda i: CASE WHEN i % 2 = 1 THEN CAST(x[len(x) - i + 1] AS INTEGER)
+                   ELSE (CAST(x[len(x) - i + 1] AS INTEGER) * 2) // 10 + (CAST(x[len(x) - i + 1] AS INTEGER) * 2) % 10 END)) % 10 = 0)) AS BIGINT) AS n_card,
+               CAST(len(list_filter(phones, lambda x: len(x) BETWEEN 10 AND 15)) AS BIGINT) AS n_phone
+        FROM hits""",
+}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

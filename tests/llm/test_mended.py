@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from metropulse.llm import language, nn_descent, registry, sanitise, token_counts
+from metropulse.llm import language, nn_descent, posting_lists, registry, sanitise, token_counts
 from metropulse.operators.staging import settle
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_tokens long"
@@ -213,3 +213,41 @@ def test_running_sums(spark):
     sums = df.select("a", sanitise._running(F.col("a"), lambda a, b: a + b, 0).alias("s"), sanitise._running(F.col("a"), lambda a, b: F.greatest(a, b), 0).alias("m"))
     for r in sums.collect():
         assert r.s == [sum(r.a[:i]) for i in range(len(r.a))] and r.m == [max([0, *r.a[:i]]) for i in range(len(r.a))]
+
+
+# --- nearest neighbours ------------------------------------------------------------------------------------------------------
+
+
+def brute_nearest(rows, k):
+    fit = [(i, np.array(x)) for i, x in rows]
+    out = {}
+    for q, x in fit:
+        if q % 20 == 0:
+            near = sorted((-float(x @ y), i) for i, y in fit if i != q and len(x) == len(y))[:k]
+            out[q] = [i for _, i in near]
+    return out
+
+
+def nearest(spark, rows, k=20):
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = posting_lists.nearest_by_product(table, F.col("vec_id") % 20 == 0, k).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    return got
+
+
+def test_each_vector_length_has_its_index(spark):
+    rng = np.random.default_rng(21)
+    rows = [(i, rng.standard_normal(6 if i % 3 else 9).tolist()) for i in range(200)] + [(1000, rng.standard_normal(4).tolist())]
+    got, want = nearest(spark, rows), brute_nearest(rows, 20)
+    assert got == {q: ids for q, ids in want.items() if ids}
+
+
+def test_recall_with_more_lists_than_probes(spark):
+    rng = np.random.default_rng(22)
+    centres = rng.standard_normal((120, 24))
+    rows = [(i, (centres[i % 120] + 0.3 * rng.standard_normal(24)).tolist()) for i in range(6000)]
+    got, want = nearest(spark, rows), brute_nearest(rows, 20)
+    recall = np.mean([len(set(got[q]) & set(ids)) / len(ids) for q, ids in want.items()])
+    assert set(got) == set(want) and recall >= 0.9
