@@ -7,7 +7,6 @@ scheduled and rerun on their own: ``spark-submit run_job.py zone_hour fhv=... yl
 from __future__ import annotations
 
 import inspect
-import zlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,21 +69,24 @@ def _by_day(df: DataFrame, stamp: str, out: str) -> None:
     write_days(watched(df, "out", out).withColumn("pickup_date", F.to_date(stamp)), out, ["pickup_date"])
 
 
-def _sample(spark: SparkSession, pages: str, schema: str, stamp: str, out: str, year: str) -> None:
-    """The sample of these pages and this year is one run of the dataset, replaced when the job is repeated."""
+def _sample(spark: SparkSession, pages: str, schema: str, stamp: str, out: str, year: str, run: str) -> None:
+    """Append the sample; as the named ``run`` it takes the place of what that run appended before."""
     landed = readers.read_json_pages(spark, pages, schema)  # not counted, so that the weeks reach the scan
     wanted = watched(readers.sample_first_week(landed, stamp, int(year)), "out", out)
-    append_run(wanted, out, f"{year}-{zlib.crc32(pages.encode()):08x}")
+    if run:
+        append_run(wanted, out, run)
+    else:
+        write_csv(wanted, out, "append")
 
 
 @job
-def sample_fhv(spark: SparkSession, pages: str, out: str, year: str = "2023") -> None:
+def sample_fhv(spark: SparkSession, pages: str, out: str, year: str = "2023", run: str = "") -> None:
     """First week of every month from landed for-hire pages, appended to a CSV dataset."""
-    _sample(spark, pages, schemas.RAW_FHV, "pickup_datetime", out, year)
+    _sample(spark, pages, schemas.RAW_FHV, "pickup_datetime", out, year, run)
 
 
 @job
-def sample_ylc(spark: SparkSession, pages: str, out: str, year: str = "2023") -> None:
+def sample_ylc(spark: SparkSession, pages: str, out: str, year: str = "2023", run: str = "") -> None:
     _sample(spark, pages, schemas.RAW_YLC, "tpep_pickup_datetime", out, year)
 
 

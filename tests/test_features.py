@@ -274,6 +274,15 @@ def test_repeated_writes_leave_every_row_once(spark):
     assert readers.read_csv(spark, runs, "n INT, day STRING").count() == 34
 
 
+def test_a_named_sample_can_be_repeated(spark, tmp_path):
+    pages, out = tmp_path / "pages", str(tmp_path / "out")
+    pages.mkdir()
+    (pages / "1.json").write_text('[{"pickup_datetime": "2023-02-07T23:59:00.000"}, {"pickup_datetime": "2023-02-08T00:00:00.000"}]')
+    for name in ("may", "june", "may"):
+        jobs.run(spark, "sample_fhv", [f"pages={pages}", f"out={out}", f"run={name}"])
+    assert readers.read_csv(spark, out, schemas.RAW_FHV).count() == 2
+
+
 def test_sql_functions_equal_the_column_rules(spark):
     register_functions(spark)
     texts = ["  o'brien 42nd-st\t", "WEST end", "", None, "école ñandú", "a1b c"]
