@@ -87,7 +87,7 @@ def sample_fhv(spark: SparkSession, pages: str, out: str, year: str = "2023", ru
 
 @job
 def sample_ylc(spark: SparkSession, pages: str, out: str, year: str = "2023", run: str = "") -> None:
-    _sample(spark, pages, schemas.RAW_YLC, "tpep_pickup_datetime", out, year)
+    _sample(spark, pages, schemas.RAW_YLC, "tpep_pickup_datetime", out, year, run)
 
 
 @job
