@@ -1,12 +1,18 @@
 """Class-based bigram language model with Brown's exchange clustering.
 
-Words are counted over all training texts. The commonest ``HEAD_WORDS`` words are units of their own; every other word,
-known or not, belongs to the unit of its ending (a hash of the last three bytes). Exchange clustering moves units between
-classes while that raises the likelihood of the class bigrams. A word's probability is
-``p(class | class before) * p(unit | class) * p(word | unit)``, smoothed at each step.
-
-The units bound what the driver sees: their bigram matrix. Word counts stay distributed: the ``COMMON`` commonest are sent to
-the tasks, all others meet their counts in a shuffle of packed arrays dealt by word.
+Words are counted over all training texts. The ``COMMON`` commonest words are units of their own, every other word belongs to
+the unit of its ending (a hash of the last three bytes). Bigrams of units are counted once and stay distributed, packed by
+unit. Exchange begins on the ``HEAD_WORDS`` commonest words, one move at a time over their small matrix; other units take the
+class of their ending. Then every unit of the whole table is visited in parallel sweeps: each task knows the class of every
+unit and the class bigrams, and proposes the class where the likelihood is highest. A sweep's moves are kept if together they
+raise the likelihood, else half of them are tried. Last, every rarer word that occurs ``CLASSED`` times or more takes the
+class that its own contexts make likeliest; only words seen less often, or never, keep to their ending's class.
+
+A word's probability is ``p(class | class before) * p(unit | class) * p(word | unit)``, smoothed at each step. The rarer words
+of a class are one more unit of it. As context, a rarer word stands for its ending's class.
+
+The units bound what the driver and the tasks hold: a class for each and the moves of a sweep. Rarer words and their counts
+meet in shuffles of packed arrays dealt by word.
 """
 
 from __future__ import annotations
@@ -29,6 +35,13 @@ ENDINGS = 512
 CLASSES = 48
 COMMON = 1 << 18
 SWEEPS = 12
+#: Sweeps over all units, and the share of units that still moves below which they end.
+WIDE_SWEEPS = 4
+SETTLED_SHARE = 0.001
+#: A rarer word with so many occurrences has a class of its own choice.
+CLASSED = 2
+#: Distinct (task, bigram) entries of one bucket of the bigram shuffle.
+BUCKET_PAIRS = 1 << 19
 #: Distinct (task, word) entries of one bucket of the counting shuffle.
 BUCKET_WORDS = 1 << 20
 END = np.uint64(0xE17D)  # the end's own hash; a word has it once in 2^64
@@ -136,12 +149,15 @@ class Vocabulary:
     buckets: int
     tokens: int
     distinct: int
-    words: np.ndarray
+    words: np.ndarray  # sorted, with the end
     counts: np.ndarray
-    heads: np.ndarray
+    common: np.ndarray  # sorted, without the end: unit 1 + place
+    endings: np.ndarray  # of the common words
+    heads: np.ndarray  # places of the first words among the common
+    bytes: int
 
 
-def count_vocabulary(texts: DataFrame) -> Vocabulary:
+def count_vocabulary(texts: DataFrame, common: int = COMMON) -> Vocabulary:
     """``texts`` has one column, the training texts."""
     size = texts.agg(F.coalesce(F.sum(F.octet_length(texts.columns[0])), F.lit(0))).first()[0]
     buckets = max(8, math.ceil(size / 64 / BUCKET_WORDS))
@@ -155,21 +171,24 @@ def count_vocabulary(texts: DataFrame) -> Vocabulary:
             yield pd.DataFrame({"n": [counts.sum()], "v": [len(counts)], "ends": [ends]})
 
     n, v, ends = table.mapInPandas(sums, "n long, v long, ends long").agg(F.sum("n"), F.sum("v"), F.sum("ends")).first()
-    # The least count that leaves at most COMMON words: the tally has few rows, for counts of many words are small.
-    upper = _tally(table).orderBy(F.desc("c")).limit(COMMON).collect()
+    # The least count that leaves at most ``common`` words: the tally has few rows, for counts of many words are small.
+    upper = _tally(table).orderBy(F.desc("c")).limit(common).collect()
     least, held = 1 << 62, 0
     for r in upper:
-        if held + r.k > COMMON:
+        if held + r.k > common:
             break
         least, held = r.c, held + r.k
-    common = _spread(table, least).toPandas().sort_values(["c", "w"], ascending=[False, True])
-    words, counts = common["w"].to_numpy(np.int64).view(np.uint64), common["c"].to_numpy(np.int64)
-    words, counts = words[words != END], counts[words != END]
-    heads = words[:HEAD_WORDS]
+    top = _spread(table, least).toPandas().sort_values(["c", "w"], ascending=[False, True])
+    words, counts, endings = top["w"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), top["e"].to_numpy(np.int64)
+    own = words != END
+    words, counts, endings = words[own], counts[own], endings[own]
+    order = np.argsort(words)
+    units, heads = words[order], np.sort(np.argsort(order)[:HEAD_WORDS])
+    endings = endings[order]
     if ends:  # the end is always at hand
         words, counts = np.append(words, END), np.append(counts, ends)
     order = np.argsort(words)
-    return Vocabulary(table, buckets, n or 0, v or 0, words[order], counts[order], np.sort(heads))
+    return Vocabulary(table, buckets, n or 0, v or 0, words[order], counts[order], units, endings, heads, size)
 
 
 def _find(sorted_: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,63 +198,224 @@ def _find(sorted_: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, sorted_[at] == x
 
 
-def units_of(words: np.ndarray, endings: np.ndarray, heads: np.ndarray) -> np.ndarray:
-    """Unit 0 is the end, then the head words, then the endings."""
-    at, hit = _find(heads, words)
-    return np.where(hit, 1 + at, 1 + len(heads) + endings)
+def units_of(words: np.ndarray, endings: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Unit 0 is the end, then the common words, then the endings."""
+    at, hit = _find(common, words)
+    return np.where(hit, 1 + at, 1 + len(common) + endings)
 
 
-def _unit_lines(column: pa.Array, heads: np.ndarray):
+def _unit_lines(column: pa.Array, common: np.ndarray):
     """Units of all tokens with an end after every text; the token before a text's first is the end. Also the words, an
     end's hash at each end, and the offsets of the texts."""
     words, at, endings = word_hashes(column, ENDINGS)
     rows = len(at) - 1
     place = np.arange(len(words)) + np.repeat(np.arange(rows), np.diff(at))
     units = np.zeros(len(words) + rows, dtype=np.int64)
-    units[place] = units_of(words, endings, heads)
+    units[place] = units_of(words, endings, common)
     line = np.full(len(units), END, dtype=np.uint64)
     line[place] = words
     before = np.append(0, units[:-1]) if len(units) else units
     return units, before, line, at + np.arange(rows + 1)
 
 
-def count_bigrams(texts: DataFrame, heads: np.ndarray) -> np.ndarray:
-    """Unit bigrams over all training texts: a matrix of fixed size. A task sends the cells it saw, and cells are summed in
-    row blocks before the driver reads them."""
-    units = 1 + len(heads) + ENDINGS
-    block = 64
+_FLAT = "side boolean, bucket int, a binary, b binary, n binary"
+_PAIRS = "bucket int, a binary, b binary, n binary, p binary, q binary, m binary"
+
+
+def _add_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Unit bigrams over all training texts. A bucket's row holds the bigrams (a, b, n) whose first unit is dealt to it and
+    those (p, q, m) whose second unit is. Tasks add up before the shuffle, which takes every bigram to both its buckets."""
+    span = 1 + len(vocabulary.common) + ENDINGS
+    buckets = max(8, math.ceil(vocabulary.bytes / 16 / BUCKET_PAIRS))
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary.common)
+
+    def dealt(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for side, unit in ((True, keys // span), (False, keys % span)):
+            to = _bucket(unit.astype(np.uint64), buckets)
+            order = np.argsort(to, kind="stable")
+            if not side:  # by second unit within the bucket, which packs better
+                order = order[np.argsort(to[order] * span + unit[order], kind="stable")]
+            cuts = np.searchsorted(to[order], np.arange(buckets + 1))
+            first, second, times = ((keys // span)[order].astype(np.int32), (keys % span)[order].astype(np.int32), n[order].astype(np.int32))
+            rows += [
+                (side, i, *(x[cuts[i] : cuts[i + 1]].tobytes() for x in (first, second, times)))
+                for i in np.flatnonzero(np.diff(cuts)).tolist()
+            ]
+        kinds = [pa.bool_(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        for at in range(0, len(rows), 1024):
+            part = rows[at : at + 1024]
+            arrays = [pa.array([r[j] for r in part], k) for j, k in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, ["side", "bucket", "a", "b", "n"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(units * units, dtype=np.int64)
+        common = shared.value
+        parts, size = [], 0
         for batch in batches:
             for a, b in slices(batch.column(0)):
-                now, before, _, _ = _unit_lines(batch.column(0).slice(a, b - a), heads)
-                cells += np.bincount(before * units + now, minlength=len(cells))
-        for first in range(0, units, block):
-            part = cells[first * units : (first + block) * units]
-            at = np.flatnonzero(part)
-            if len(at):
-                row = [[first // block], [at.astype(np.int32).tobytes()], [part[at].tobytes()]]
-                yield pa.RecordBatch.from_arrays([pa.array(row[0], pa.int32()), *(pa.array(x, pa.binary()) for x in row[1:])], ["block", "at", "n"])
-
-    def add(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
+                now, before, _, _ = _unit_lines(batch.column(0).slice(a, b - a), common)
+                parts.append(np.unique(before * span + now, return_counts=True))
+                size += len(parts[-1][0])
+                if size > 2 * FLUSH:
+                    held = _add_up(parts)
+                    parts, size = [held], len(held[0])
+                    if size > FLUSH:
+                        yield from dealt(*held)
+                        parts, size = [], 0
+        if parts:
+            yield from dealt(*_add_up(parts))
+
+    def whole(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        row = [int(key[0])]
+        for side in (True, False):
+            part = group[group["side"] == side]
+            a, b, n = (_joined(part[c], np.int32).astype(np.int64) for c in ("a", "b", "n"))
+            keys, n = _add_up([(a * span + b if side else b * span + a, n)])
+            first, second = (keys // span).astype(np.int32), (keys % span).astype(np.int32)
+            row += [x.tobytes() for x in ((first, second) if side else (second, first))] + [n.tobytes()]
+        return pd.DataFrame([row], columns=[f.split()[0] for f in _PAIRS.split(", ")])
+
+    return settle(texts.mapInArrow(gather, _FLAT).groupBy("bucket").applyInPandas(whole, _PAIRS), "brown-pairs").df
+
+
+def _firsts(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.frombuffer(row.a, np.int32), np.frombuffer(row.b, np.int32), np.frombuffer(row.n, np.int64)
+
+
+def _seconds(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.frombuffer(row.p, np.int32), np.frombuffer(row.q, np.int32), np.frombuffer(row.m, np.int64)
+
+
+def _cells(rows: DataFrame, size: int) -> np.ndarray:
+    """The sums of a column ``n`` by ``cell``: at most ``size`` rows reach the driver, after partial sums."""
+    out = np.zeros(size, dtype=np.int64)
+    for r in rows.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        out[r.cell] = r.n
+    return out
+
+
+def _grouped(pairs: DataFrame, group: np.ndarray, groups: int) -> np.ndarray:
+    """Bigrams of groups of units, ``group`` naming each unit's: a groups x groups matrix."""
+    shared = pairs.sparkSession.sparkContext.broadcast(group)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group = shared.value
+        sums = np.zeros(groups * groups, dtype=np.int64)
         for part in parts:
-            for r in part.itertuples(index=False):
-                total = sums.setdefault(int(r.block), np.zeros(block * units, dtype=np.int64))
-                total[np.frombuffer(r.at, np.int32)] += np.frombuffer(r.n, np.int64)
-        for b, total in sums.items():
-            at = np.flatnonzero(total)
-            yield pd.DataFrame([(b, at.astype(np.int32).tobytes(), total[at].tobytes())], columns=["block", "at", "n"])
-
-    schema = "block int, at binary, n binary"
-    # Added up row by row as a block's rows stream through, in two steps, so no task holds all tasks' rows.
-    some = texts.mapInArrow(gather, schema).repartition(64, "block", F.pmod(F.xxhash64("n"), F.lit(8))).mapInPandas(add, schema)
-    summed = some.repartition(8, "block").mapInPandas(add, schema).collect()
-    matrix = np.zeros((-(-units // block) * block) * units, dtype=np.int64)
-    for r in summed:
-        np.add.at(matrix, r.block * block * units + np.frombuffer(r.at, np.int32), np.frombuffer(r.n, np.int64))
-    return matrix[: units * units].reshape(units, units)
+            for row in part.itertuples(index=False):
+                a, b, n = _firsts(row)
+                # As doubles the sums are exact up to 2^53.
+                sums += np.bincount(group[a] * groups + group[b], n, len(sums)).astype(np.int64)
+        at = np.flatnonzero(sums)
+        yield pd.DataFrame({"cell": at, "n": sums[at]})
+
+    return _cells(pairs.select("a", "b", "n").mapInPandas(run, "cell long, n long"), groups * groups).reshape(groups, groups)
+
+
+def _xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
+
+
+def likelihood(table: np.ndarray) -> float:
+    """The part of the log-likelihood that depends on the classes."""
+    t = table.astype(np.float64)
+    return float(_xlogx(t).sum() - _xlogx(t.sum(axis=0)).sum() - _xlogx(t.sum(axis=1)).sum())
+
+
+def move_scores(right: np.ndarray, left: np.ndarray, own: np.ndarray, table: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """For each unit and class, the likelihood with the unit in that class, less the likelihood without the unit.
+
+    ``right`` and ``left`` are the unit's bigrams with each class after and before it, ``own`` those with itself, ``table`` the
+    class bigrams with the unit still in its class ``of``. The end's class 0 takes no other unit.
+    """
+    i, k = np.arange(len(of)), np.arange(len(table))
+    r, l = right.copy(), left.copy()
+    r[i, of] -= own
+    l[i, of] -= own
+    t = np.repeat(table[None].astype(np.float64), len(of), axis=0)
+    t[i, of, :] -= r
+    t[i, :, of] -= l
+    t[i, of, of] -= own
+    base = _xlogx(t)
+    score = (_xlogx(t + r[:, None, :]) - base).sum(axis=2) + (_xlogx(t + l[:, :, None]) - base).sum(axis=1)
+    cross, s = t[:, k, k], own[:, None]
+    score += _xlogx(cross + r + l + s) - _xlogx(cross + r) - _xlogx(cross + l) + _xlogx(cross)
+    # Wherever the unit goes, the classes before it keep those bigrams in their rows, and the classes after it in their columns.
+    rows, cols = t.sum(axis=2) + l, t.sum(axis=1) + r
+    score -= _xlogx(rows + r.sum(axis=1, keepdims=True) + s) - _xlogx(rows)
+    score -= _xlogx(cols + l.sum(axis=1, keepdims=True) + s) - _xlogx(cols)
+    score[:, 0] = -np.inf
+    return score
+
+
+def _proposals(pairs: DataFrame, of: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Units that would do better in another class, and that class. At most one move per unit reaches the driver."""
+    shared = pairs.sparkSession.sparkContext.broadcast((of, table))
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, table = shared.value
+        k = len(table)
+        for part in parts:
+            for row in part.itertuples(index=False):
+                a, b, n = _firsts(row)
+                p, q, m = _seconds(row)
+                mine = np.union1d(a, q)
+                mine = mine[mine != 0]
+                moved, to = [], []
+                for at in range(0, len(mine), 256):
+                    some = mine[at : at + 256]
+                    # Both lists are in the order of the bucket's units.
+                    x, y = (slice(*np.searchsorted(c, (some[0], some[-1] + 1))) for c in (a, q))
+                    size = len(some) * k
+                    right = np.bincount(np.searchsorted(some, a[x]) * k + of[b[x]], n[x], size).reshape(-1, k)
+                    left = np.bincount(np.searchsorted(some, q[y]) * k + of[p[y]], m[y], size).reshape(-1, k)
+                    twice = a[x] == b[x]
+                    own = np.bincount(np.searchsorted(some, a[x][twice]), n[x][twice], len(some))
+                    old = of[some]
+                    score = move_scores(right, left, own, table, old)
+                    best = np.argmax(score, axis=1)
+                    rows = np.arange(len(some))
+                    go = score[rows, best] > score[rows, old] + 1e-6
+                    moved.append(some[go])
+                    to.append(best[go])
+                if moved:
+                    yield pd.DataFrame(
+                        [(np.concatenate(moved).astype(np.int32).tobytes(), np.concatenate(to).astype(np.int16).tobytes())],
+                        columns=["u", "c"],
+                    )
+
+    found = pairs.mapInPandas(run, "u binary, c binary").toPandas()
+    return _joined(found["u"], np.int32), _joined(found["c"], np.int16).astype(np.int64)
+
+
+def sweep(pairs: DataFrame, of: np.ndarray, classes: int = CLASSES, sweeps: int = WIDE_SWEEPS) -> tuple[np.ndarray, np.ndarray]:
+    """Exchange over all units in parallel: their classes and the class bigrams. The likelihood never falls."""
+    table = _grouped(pairs, of, classes)
+    for _ in range(sweeps):
+        units, to = _proposals(pairs, of, table)
+        # Units that move together change each other's contexts; where that costs more than it brings, half of them move.
+        turn = mix(units.astype(np.uint64) + np.uint64(1))
+        share = 0
+        while len(units) > SETTLED_SHARE * len(of) or (share == 0 and len(units)):
+            trial = of.copy()
+            trial[units] = to
+            after = _grouped(pairs, trial, classes)
+            if likelihood(after) > likelihood(table):
+                of, table = trial, after
+                break
+            keep = (turn >> np.uint64(share)) & np.uint64(1) == 0
+            units, to, turn, share = units[keep], to[keep], turn[keep], share + 1
+        else:
+            break
+    return of, table
 
 
 def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
@@ -268,7 +448,7 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
             table[old] -= r
             table[:, old] -= l
             table[old, old] -= self_
-            rows, cols = table.sum(axis=1), table.sum(axis=0)
+            rows, cols = table.sum(axis=1) + l, table.sum(axis=0) + r
             # What joining class k adds: its row and column, the crossing cell once, less the margins.
             row_gain = (gain(table + r) - gain(table)).sum(axis=1)
             col_gain = (gain(table + l[:, None]) - gain(table)).sum(axis=0)
@@ -299,44 +479,156 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
 @dataclass
 class BrownModel:
     vocabulary: Vocabulary
+    table: DataFrame  # the vocabulary's buckets with a class for each rarer word, -1 where it keeps to its ending
     classes: np.ndarray
     step: np.ndarray  # log10 p(class | class before)
     inside: np.ndarray  # log10 p(unit | class of the unit)
-    ending_tokens: np.ndarray  # tokens and distinct words of each ending's unit
-    ending_words: np.ndarray
+    ending_down: np.ndarray  # log10 of what an ending's counts are divided by
+    rarer: np.ndarray  # log10 p(rarer word | class) less log10 of its count
 
 
-def fit(texts: DataFrame) -> BrownModel:
-    """Learn from the one text column of ``texts``; an empty table gives a model of unknown words only."""
-    texts = texts.select(F.coalesce(F.col(texts.columns[0]).cast("string"), F.lit("")).alias("text"))
-    known = count_vocabulary(texts)
-    heads = known.heads
-    bigrams = count_bigrams(texts, heads)
-    of = exchange(bigrams)
-    member = np.zeros((len(of), CLASSES))
-    member[np.arange(len(of)), of] = 1
-    pairs = member.T @ bigrams @ member
+_CLASSED = f"{_COUNTS}, classes binary, cells binary"
+
+
+def _rare_contexts(texts: DataFrame, common: np.ndarray, of: np.ndarray, buckets: int) -> DataFrame:
+    """(bucket, words, before, times): the words that are no units, by the class before them, added up in slices."""
+    shared = texts.sparkSession.sparkContext.broadcast((common, of))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, of = shared.value
+        for batch in batches:
+            for a, b in slices(batch.column(0)):
+                units, before, line, _ = _unit_lines(batch.column(0).slice(a, b - a), common)
+                rare = units > len(common)
+                words, classes, times = _distinct(line[rare], of[before[rare]])
+                to = _bucket(words, buckets)
+                order = np.argsort(to, kind="stable")
+                cuts = np.searchsorted(to[order], np.arange(buckets + 1))
+                at = np.flatnonzero(np.diff(cuts)).tolist()
+                dealt = [
+                    pa.array([x[order[cuts[i] : cuts[i + 1]]].tobytes() for i in at], pa.binary())
+                    for x in (words, classes.astype(np.int16), times.astype(np.int32))
+                ]
+                if at:
+                    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *dealt], ["bucket", "words", "before", "times"])
+
+    return texts.mapInArrow(run, "bucket int, words binary, before binary, times binary")
+
+
+def _distinct(words: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((classes, words))
+    words, classes = words[order], classes[order]
+    new = np.append(True, (words[1:] != words[:-1]) | (classes[1:] != classes[:-1])) if len(words) else np.zeros(0, bool)
+    first = np.flatnonzero(new)
+    return words[first], classes[first], np.diff(np.append(first, len(words)))
+
+
+def class_rare_words(
+    texts: DataFrame, vocabulary: Vocabulary, of: np.ndarray, given: np.ndarray, after: np.ndarray
+) -> tuple[DataFrame, np.ndarray]:
+    """A class for each word that is no unit and occurs ``CLASSED`` times or more: the one that makes its occurrences after the
+    classes before them likeliest. Also the change of the class bigrams from its ending's class to its own."""
+    common, k = vocabulary.common, len(given)
+    ending_class = of[1 + len(common) :]
+    with np.errstate(divide="ignore"):
+        worth = np.log(given) - np.log(np.maximum(after, 1))
+    worth[:, 0] = -np.inf
+
+    def choose(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        known, counts, endings = _unpack(right)
+        classes, cells = np.full(len(known), -1, np.int16), np.zeros(k * k, np.int64)
+        words, before, times = _joined(left["words"], np.uint64), _joined(left["before"], np.int16), _joined(left["times"], np.int32)
+        at, _ = _find(known, words)
+        order = np.argsort(at, kind="stable")
+        at, before, times = at[order], before[order], times[order]
+        for start in range(0, len(known), 1 << 15):  # so many words' contexts at once
+            x = slice(*np.searchsorted(at, (start, start + (1 << 15))))
+            size = min(1 << 15, len(known) - start)
+            contexts = np.bincount((at[x] - start) * k + before[x], times[x], size * k).reshape(size, k)
+            mine = np.flatnonzero((counts[start : start + size] >= CLASSED) & (contexts.sum(axis=1) > 0))
+            if len(mine):
+                own = contexts[mine]
+                score = own @ np.where(np.isfinite(worth), worth, 0.0)
+                score[:, 0] = -np.inf
+                best = np.argmax(score, axis=1)
+                classes[start + mine] = best
+                old = ending_class[endings[start + mine]]
+                rows = np.arange(k)[None] * k
+                cells += np.bincount((rows + best[:, None]).ravel(), own.ravel(), k * k).astype(np.int64)
+                cells -= np.bincount((rows + old[:, None]).ravel(), own.ravel(), k * k).astype(np.int64)
+        row = (int(key[0]), known.tobytes(), counts.tobytes(), endings.tobytes(), classes.tobytes(), cells.tobytes())
+        return pd.DataFrame([row], columns=[f.split()[0] for f in _CLASSED.split(", ")])
+
+    found = _rare_contexts(texts, common, of, vocabulary.buckets).groupBy("bucket")
+    table = settle(found.cogroup(vocabulary.table.groupBy("bucket")).applyInPandas(choose, _CLASSED), "brown-classed").df
+
+    def changes(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros(k * k, np.int64)
+        for part in parts:
+            for cells in part["cells"]:
+                sums += np.frombuffer(cells, np.int64)
+        yield pd.DataFrame({"cell": np.arange(k * k), "n": sums})
+
+    moved = _cells(table.select("cells").mapInPandas(changes, "cell long, n long"), k * k)
+    return table.drop("cells"), moved.reshape(k, k)
+
+
+def _steps(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smoothed p(class | class before), and how often each class came."""
     after = pairs.sum(axis=0)
-    alone = (after + 1) / (after.sum() + CLASSES)
+    alone = (after + 1) / (after.sum() + len(pairs))
     given = (pairs + 0.1 * alone) / (pairs.sum(axis=1, keepdims=True) + 0.1)
-    times = bigrams.sum(axis=0).astype(np.float64)
-    inside = np.log10((times + 1) / (member.T @ (times + 1))[of])
+    return LAMBDA * given + (1 - LAMBDA) * alone, after
+
+
+def fit(texts: DataFrame, common: int = COMMON) -> BrownModel:
+    """Learn from the one text column of ``texts``; an empty table gives a model of unknown words only. ``common`` bounds the
+    words that are units, and with them what the driver holds; all others are classed where they are counted."""
+    texts = texts.select(F.coalesce(F.col(texts.columns[0]).cast("string"), F.lit("")).alias("text"))
+    known = count_vocabulary(texts, common)
+    units, heads = 1 + len(known.common) + ENDINGS, known.heads
+    pairs = count_pairs(texts, known)
+    # The first classes: heads one by one, the others by their endings.
+    first = np.append(0, np.append(1 + len(heads) + known.endings, 1 + len(heads) + np.arange(ENDINGS)))
+    first[1 + heads] = 1 + np.arange(len(heads))
+    of = exchange(_grouped(pairs, first, 1 + len(heads) + ENDINGS))[first]
+    of, bigrams = sweep(pairs, of)
+    steps, after = _steps(bigrams)
+    table, moved = class_rare_words(texts, known, of, steps, after)
+    steps, after = _steps(bigrams + moved)
+
+    # Tokens of each ending's words that have no class, their number, and tokens of each class's rarer words.
+    spark = texts.sparkSession
+    shared = spark.sparkContext.broadcast(known.common)
 
     def sums(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        common = shared.value
+        n = np.zeros(2 * ENDINGS + CLASSES, np.int64)
         for part in parts:
             words, counts, endings = _unpack(part)
-            rest = ~_find(heads, words)[1] & (words != END)
-            n = np.bincount(endings[rest], counts[rest], ENDINGS).astype(np.int64)
-            yield pd.DataFrame({"e": np.arange(ENDINGS), "n": n, "v": np.bincount(endings[rest], minlength=ENDINGS)})
-
-    by = known.table.mapInPandas(sums, "e int, n long, v long").groupBy("e").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
-    tokens, distinct = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    for r in by.collect():
-        tokens[r.e], distinct[r.e] = r.n, r.v
-    return BrownModel(known, of, np.log10(LAMBDA * given + (1 - LAMBDA) * alone), inside, tokens, distinct)
-
-
-_PARTS = "part int, key long, held_out boolean, h long, rows long, n_tokens long, known long, base double, score double, words binary, times binary, who binary, spread binary"
+            classes = _joined(part["classes"], np.int16)
+            rest = ~_find(common, words)[1] & (words != END)
+            free, own = rest & (classes < 0), rest & (classes >= 0)
+            n[:ENDINGS] += np.bincount(endings[free], counts[free], ENDINGS).astype(np.int64)
+            n[ENDINGS : 2 * ENDINGS] += np.bincount(endings[free], minlength=ENDINGS)
+            n[2 * ENDINGS :] += np.bincount(classes[own], counts[own], CLASSES).astype(np.int64)
+        yield pd.DataFrame({"cell": np.arange(len(n)), "n": n})
+
+    found = _cells(table.mapInPandas(sums, "cell long, n long"), 2 * ENDINGS + CLASSES).astype(np.float64)
+    tokens, distinct, rarer = found[:ENDINGS], found[ENDINGS : 2 * ENDINGS], found[2 * ENDINGS :]
+    times = np.zeros(units)
+    place, _ = _find(known.words, known.common)
+    times[1 : 1 + len(known.common)] = known.counts[place] if len(known.common) else 0
+    end, has_end = _find(known.words, np.array([END]))
+    times[0] = known.counts[end[0]] if has_end[0] else 0
+    times[1 + len(known.common) :] = tokens
+    within = np.bincount(of, times + 1, CLASSES) + rarer
+    inside = np.log10((times + 1) / within[of])
+    # p(word | class) of a rarer word is its count over the tokens of the class.
+    return BrownModel(known, table, of, np.log10(steps), inside, np.log10(tokens + distinct + 1), -np.log10(np.maximum(within, 1)))
+
+
+_PARTS = "part int, key long, held_out boolean, h long, rows long, n_tokens long, known long, base double, score double, words binary, times binary, who binary, spread binary, before binary"
 
 
 def score_texts(docs: DataFrame, model: BrownModel, id_col: str, text_col: str, held_out: Column) -> DataFrame:
@@ -347,39 +639,37 @@ def score_texts(docs: DataFrame, model: BrownModel, id_col: str, text_col: str,
     """
     vocabulary = model.vocabulary
     spark = docs.sparkSession
-    heads, buckets = vocabulary.heads, vocabulary.buckets
+    common, buckets = vocabulary.common, vocabulary.buckets
     words_known, counts_known = vocabulary.words, vocabulary.counts
     tokens, distinct = vocabulary.tokens, vocabulary.distinct
     down = math.log10(tokens + distinct + 1)
-    of, step, inside = model.classes, model.step, model.inside
-    unit_down = np.log10(model.ending_tokens + model.ending_words + 1)
-    shared = spark.sparkContext.broadcast((heads, words_known, counts_known, of, step, inside, unit_down))
+    of, step, inside, unit_down = model.classes, model.step, model.inside, model.ending_down
+    shared = spark.sparkContext.broadcast((common, words_known, counts_known, of, step, inside, unit_down))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads, words_known, counts_known, of, step, inside, unit_down = shared.value
+        common, words_known, counts_known, of, step, inside, unit_down = shared.value
         for batch in batches:
             for a, b in slices(batch.column(2)):
                 part = batch.slice(a, b - a)
-                units, before, line, at = _unit_lines(part.column(2), heads)
+                units, before, line, at = _unit_lines(part.column(2), common)
                 row = np.repeat(np.arange(len(part)), np.diff(at))
                 place, hit = _find(words_known, line)
                 count = np.where(hit, counts_known[place] if len(counts_known) else 0, 0)
-                ending = units - 1 - len(heads)
+                ending = units - 1 - len(common)
                 tail = ending >= 0
+                # A word that is no unit counts as never seen until its bucket says more.
                 part_score = step[of[before], of[units]] + inside[units]
                 part_score[tail] -= unit_down[ending[tail]]
-                part_score[tail & hit] += np.log10(count[tail & hit] + 1.0)
                 base = np.where(hit, np.log10(count + 1.0), 0.0) - down
                 sums = [np.add.reduceat(x, at[:-1]) for x in (hit.astype(np.int64), base, part_score)]
-                rare = np.flatnonzero(~hit)  # never a head or the end, unless training is empty
-                rare = rare[line[rare] != END]
-                key, who, times = line[rare], row[rare], None
-                order = np.lexsort((key, who))
-                key, who = key[order], who[order]
-                new = np.append(True, (key[1:] != key[:-1]) | (who[1:] != who[:-1])) if len(key) else np.zeros(0, bool)
-                first = np.flatnonzero(new)
+                rare = np.flatnonzero(tail)
+                key, who, ahead = line[rare], row[rare], of[before[rare]]
+                order = np.lexsort((ahead, key, who))
+                key, who, ahead = key[order], who[order], ahead[order]
+                new = (key[1:] != key[:-1]) | (who[1:] != who[:-1]) | (ahead[1:] != ahead[:-1])
+                first = np.flatnonzero(np.append(True, new)) if len(key) else np.zeros(0, np.int64)
                 times = np.diff(np.append(first, len(key)))
-                key, who = key[first], who[first]
+                key, who, ahead = key[first], who[first], ahead[first]
                 to = _bucket(key, buckets)
                 ids, h = part.column(0), np.asarray(part.column(1))
                 order = np.argsort(to, kind="stable")
@@ -395,10 +685,7 @@ def score_texts(docs: DataFrame, model: BrownModel, id_col: str, text_col: str,
                         pa.array(np.ones(n, np.int64)),
                         pa.array(np.diff(at)),
                         *(pa.array(x) for x in sums),
-                        none,
-                        none,
-                        none,
-                        none,
+                        *[none] * 5,
                     ],
                     [f.split()[0] for f in _PARTS.split(", ")],
                 )
@@ -411,42 +698,54 @@ def score_texts(docs: DataFrame, model: BrownModel, id_col: str, text_col: str,
                         continue
                     used, small = np.unique(who[o], return_inverse=True)
                     keys = np.stack([filled[used], h[used], nulls[used].astype(np.int64)])
-                    out.append((i, key[o].tobytes(), times[o].astype(np.int32).tobytes(), small.astype(np.int32).tobytes(), keys.tobytes()))
+                    out.append((i, key[o].tobytes(), times[o].astype(np.int32).tobytes(), small.astype(np.int32).tobytes(), keys.tobytes(), ahead[o].astype(np.int16).tobytes()))
                 if out:
                     m = len(out)
                     blank = [pa.nulls(m, t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                    columns = [pa.array([x[j] for x in out], pa.binary()) for j in range(1, 5)]
+                    columns = [pa.array([x[j] for x in out], pa.binary()) for j in range(1, 6)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([x[0] for x in out], pa.int32()), *blank, *columns], [f.split()[0] for f in _PARTS.split(", ")]
                     )
 
+    rarer = model.rarer
+    ending_class, ending_inside = of[1 + len(common) :], inside[1 + len(common) :]
+
     def rare_words(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Counts of a bucket's rare words, summed per document; one slice's rows at a time."""
-        known, counts, _ = _unpack(right)
+        """What a bucket's rarer words add per document; one slice's rows at a time."""
+        known, counts, endings = _unpack(right)
+        classes = _joined(right["classes"], np.int16)
         out = []
         for r in left.itertuples(index=False):
-            words, times = np.frombuffer(r.words, np.uint64), np.frombuffer(r.times, np.int32)
+            words, times, ahead = np.frombuffer(r.words, np.uint64), np.frombuffer(r.times, np.int32), np.frombuffer(r.before, np.int16)
             who, docs_ = np.frombuffer(r.who, np.int32), np.frombuffer(r.spread, np.int64).reshape(3, -1)
             at, hit = _find(known, words)
-            logs = np.where(hit, np.log10((counts[at] if len(counts) else 0) + 1.0), 0.0) * times
+            words, times, ahead, who, at = (x[hit] for x in (words, times, ahead, who, at))
             n = docs_.shape[1]
-            found = np.bincount(who, np.where(hit, times, 0), n).astype(np.int64)
+            found = np.bincount(who, times, n).astype(np.int64)
             some = np.flatnonzero(found)
+            if not len(some):
+                continue
+            count, e, c = counts[at], endings[at], classes[at]
+            more = np.log10(count + 1.0)
+            own = step[ahead, c] + rarer[c] + np.log10(count)
+            unseen = step[ahead, ending_class[e]] + ending_inside[e] - unit_down[e]
+            score = np.where(c >= 0, own - unseen, more)
             ids = pd.array(docs_[0][some], dtype="Int64")
             ids[docs_[2][some] > 0] = pd.NA
-            out.append(pd.DataFrame({"key": ids, "h": docs_[1][some], "known": found[some], "log": np.bincount(who, logs, n)[some]}))
-        return pd.concat(out) if out else pd.DataFrame({"key": [], "h": [], "known": [], "log": []})
+            sums = {name: np.bincount(who, x * times, n)[some] for name, x in (("log", more), ("own", score))}
+            out.append(pd.DataFrame({"key": ids, "h": docs_[1][some], "known": found[some], **sums}))
+        return pd.concat(out) if out else pd.DataFrame({"key": [], "h": [], "known": [], "log": [], "own": []})
 
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     source = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("key"), F.xxhash64(text).alias("h"), text.alias("text"), held_out.alias("held_out")
     )
     parts = settle(source.mapInArrow(local, _PARTS), "brown-parts").df
-    rare = parts.where("part >= 0").select("part", "words", "times", "who", "spread").groupBy("part")
-    rare = rare.cogroup(vocabulary.table.groupBy("bucket")).applyInPandas(rare_words, "key long, h long, known long, log double")
+    rare = parts.where("part >= 0").select("part", "words", "times", "who", "spread", "before").groupBy("part")
+    rare = rare.cogroup(model.table.groupBy("bucket")).applyInPandas(rare_words, "key long, h long, known long, log double, own double")
     mine = parts.where("part < 0").select("key", "h", "held_out", "rows", "n_tokens", "known", "base", "score")
     zero = F.lit(0).cast("long")
-    late = rare.select("key", "h", F.lit(None).cast("boolean").alias("held_out"), zero.alias("rows"), zero.alias("n_tokens"), "known", F.col("log").alias("base"), F.col("log").alias("score"))
+    late = rare.select("key", "h", F.lit(None).cast("boolean").alias("held_out"), zero.alias("rows"), zero.alias("n_tokens"), "known", F.col("log").alias("base"), F.col("own").alias("score"))
     summed = mine.union(late).groupBy("key", "h").agg(
         F.max("held_out").alias("held_out"), *[F.sum(c).alias(c) for c in ("rows", "n_tokens", "known", "base", "score")]
     )
