@@ -47,6 +47,7 @@ BUCKET_WORDS = 1 << 20
 END = np.uint64(0xE17D)  # the end's own hash; a word has it once in 2^64
 LAMBDA = 0.95
 FLUSH = 1 << 21
+PAIRS_FLUSH = 1 << 21
 
 _COUNTS = "bucket int, words binary, counts binary, endings binary"
 
@@ -264,10 +265,10 @@ def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 now, before, _, _ = _unit_lines(batch.column(0).slice(a, b - a), common)
                 parts.append(np.unique(before * span + now, return_counts=True))
                 size += len(parts[-1][0])
-                if size > 2 * FLUSH:
+                if size > PAIRS_FLUSH:
                     held = _add_up(parts)
                     parts, size = [held], len(held[0])
-                    if size > FLUSH:
+                    if size > PAIRS_FLUSH // 2:
                         yield from dealt(*held)
                         parts, size = [], 0
         if parts:
@@ -305,6 +306,11 @@ def _cells(rows: DataFrame, size: int) -> np.ndarray:
 def _grouped(pairs: DataFrame, group: np.ndarray, groups: int) -> np.ndarray:
     """Bigrams of groups of units, ``group`` naming each unit's: a groups x groups matrix."""
     shared = pairs.sparkSession.sparkContext.broadcast(group)
+    width = 64 * groups  # cells of a block of rows
+
+    def packed(block: int, sums: np.ndarray) -> list:
+        at = np.flatnonzero(sums)
+        return [block, at.astype(np.int32).tobytes(), sums[at].tobytes()]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group = shared.value
@@ -312,12 +318,28 @@ def _grouped(pairs: DataFrame, group: np.ndarray, groups: int) -> np.ndarray:
         for part in parts:
             for row in part.itertuples(index=False):
                 a, b, n = _firsts(row)
-                # As doubles the sums are exact up to 2^53.
-                sums += np.bincount(group[a] * groups + group[b], n, len(sums)).astype(np.int64)
-        at = np.flatnonzero(sums)
-        yield pd.DataFrame({"cell": at, "n": sums[at]})
+                np.add.at(sums, group[a] * groups + group[b], n)
+        for start in range(0, len(sums), width):
+            if sums[start : start + width].any():
+                yield pd.DataFrame([packed(start // width, sums[start : start + width])], columns=["block", "at", "n"])
 
-    return _cells(pairs.select("a", "b", "n").mapInPandas(run, "cell long, n long"), groups * groups).reshape(groups, groups)
+    def add(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals: dict[int, np.ndarray] = {}
+        for part in parts:
+            for r in part.itertuples(index=False):
+                total = totals.setdefault(int(r.block), np.zeros(width, dtype=np.int64))
+                total[np.frombuffer(r.at, np.int32)] += np.frombuffer(r.n, np.int64)
+        for block, total in totals.items():
+            yield pd.DataFrame([packed(block, total)], columns=["block", "at", "n"])
+
+    schema = "block int, at binary, n binary"
+    # Added up as rows stream through, in two steps, so no task holds all tasks' rows.
+    some = pairs.select("a", "b", "n").mapInPandas(run, schema)
+    some = some.repartition(16, "block", F.pmod(F.xxhash64("n"), F.lit(8))).mapInPandas(add, schema)
+    matrix = np.zeros(groups * groups, dtype=np.int64)
+    for r in some.repartition(4, "block").mapInPandas(add, schema).collect():
+        matrix[r.block * width + np.frombuffer(r.at, np.int32)] += np.frombuffer(r.n, np.int64)
+    return matrix.reshape(groups, groups)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
