@@ -220,7 +220,9 @@ def _unit_lines(column: pa.Array, common: np.ndarray):
 
 
 _FLAT = "side boolean, bucket int, a binary, b binary, n binary"
-_PAIRS = "bucket int, a binary, b binary, n binary, p binary, q binary, m binary"
+_PAIRS = "bucket int, a binary, a_runs binary, b binary, n binary, q binary, q_runs binary, p binary, m binary"
+#: Bigrams of a row of the bucket table, unless one unit has more.
+ROW_PAIRS = 1 << 17
 
 
 def _add_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -275,24 +277,55 @@ def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             yield from dealt(*_add_up(parts))
 
     def whole(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        row = [int(key[0])]
+        sides = []
         for side in (True, False):
             part = group[group["side"] == side]
             a, b, n = (_joined(part[c], np.int32).astype(np.int64) for c in ("a", "b", "n"))
             keys, n = _add_up([(a * span + b if side else b * span + a, n)])
-            first, second = (keys // span).astype(np.int32), (keys % span).astype(np.int32)
-            row += [x.tobytes() for x in ((first, second) if side else (second, first))] + [n.tobytes()]
-        return pd.DataFrame([row], columns=[f.split()[0] for f in _PAIRS.split(", ")])
+            sides.append((keys // span, keys % span, n))
+        units, entries = np.unique(np.concatenate([side[0] for side in sides]), return_counts=True)
+        cuts = np.append(np.flatnonzero(np.diff(np.cumsum(entries) // ROW_PAIRS, prepend=-1)), len(units))
+        rows = []
+        for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            row = [int(key[0])]
+            for unit, other, n in sides:
+                at = slice(*np.searchsorted(unit, (units[x], units[y - 1] + 1)))
+                own, runs = np.unique(unit[at], return_counts=True)
+                row += [own.astype(np.int32).tobytes(), runs.astype(np.int32).tobytes(), other[at].astype(np.int32).tobytes(), _narrow(n[at])]
+            rows.append(row)
+        return pd.DataFrame(rows, columns=[f.split()[0] for f in _PAIRS.split(", ")])
 
     return settle(texts.mapInArrow(gather, _FLAT).groupBy("bucket").applyInPandas(whole, _PAIRS), "brown-pairs").df
 
 
+def _narrow(n: np.ndarray) -> bytes:
+    """Counts in the narrowest numbers that hold them all."""
+    return n.astype(np.min_scalar_type(int(n.max(initial=0)))).tobytes()
+
+
+def _entries(units, runs, others, times) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    others = np.frombuffer(others, np.int32)
+    kind = f"u{max(len(times) // max(len(others), 1), 1)}"
+    unit = np.repeat(np.frombuffer(units, np.int32), np.frombuffer(runs, np.int32))
+    return unit, others, np.frombuffer(times, kind).astype(np.int64)
+
+
 def _firsts(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(row.a, np.int32), np.frombuffer(row.b, np.int32), np.frombuffer(row.n, np.int64)
+    """(a, b, n) of a row, by a."""
+    return _entries(row["a"], row["a_runs"], row["b"], row["n"])
 
 
 def _seconds(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(row.p, np.int32), np.frombuffer(row.q, np.int32), np.frombuffer(row.m, np.int64)
+    """(p, q, m) of a row, by q."""
+    q, p, m = _entries(row["q"], row["q_runs"], row["p"], row["m"])
+    return p, q, m
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows of binary columns as buffers, without a copy."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: memoryview(batch.column(name)[i].as_buffer()) for name in batch.schema.names}
 
 
 def _cells(rows: DataFrame, size: int) -> np.ndarray:
@@ -312,16 +345,17 @@ def _grouped(pairs: DataFrame, group: np.ndarray, groups: int) -> np.ndarray:
         at = np.flatnonzero(sums)
         return [block, at.astype(np.int32).tobytes(), sums[at].tobytes()]
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = shared.value
         sums = np.zeros(groups * groups, dtype=np.int64)
-        for part in parts:
-            for row in part.itertuples(index=False):
-                a, b, n = _firsts(row)
-                np.add.at(sums, group[a] * groups + group[b], n)
+        for row in _rows(batches):
+            a, b, n = _firsts(row)
+            np.add.at(sums, group[a] * groups + group[b], n)
         for start in range(0, len(sums), width):
             if sums[start : start + width].any():
-                yield pd.DataFrame([packed(start // width, sums[start : start + width])], columns=["block", "at", "n"])
+                row = pd.DataFrame([packed(start // width, sums[start : start + width])], columns=["block", "at", "n"])
+                kinds = pa.schema([("block", pa.int32()), ("at", pa.binary()), ("n", pa.binary())])
+                yield pa.RecordBatch.from_pandas(row, kinds, preserve_index=False)
 
     def add(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[int, np.ndarray] = {}
@@ -334,7 +368,7 @@ def _grouped(pairs: DataFrame, group: np.ndarray, groups: int) -> np.ndarray:
 
     schema = "block int, at binary, n binary"
     # Added up as rows stream through, in two steps, so no task holds all tasks' rows.
-    some = pairs.select("a", "b", "n").mapInPandas(run, schema)
+    some = pairs.select("a", "a_runs", "b", "n").mapInArrow(run, schema)
     some = some.repartition(16, "block", F.pmod(F.xxhash64("n"), F.lit(8))).mapInPandas(add, schema)
     matrix = np.zeros(groups * groups, dtype=np.int64)
     for r in some.repartition(4, "block").mapInPandas(add, schema).collect():
@@ -382,39 +416,36 @@ def _proposals(pairs: DataFrame, of: np.ndarray, table: np.ndarray) -> tuple[np.
     """Units that would do better in another class, and that class. At most one move per unit reaches the driver."""
     shared = pairs.sparkSession.sparkContext.broadcast((of, table))
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, table = shared.value
         k = len(table)
-        for part in parts:
-            for row in part.itertuples(index=False):
-                a, b, n = _firsts(row)
-                p, q, m = _seconds(row)
-                mine = np.union1d(a, q)
-                mine = mine[mine != 0]
-                moved, to = [], []
-                for at in range(0, len(mine), 256):
-                    some = mine[at : at + 256]
-                    # Both lists are in the order of the bucket's units.
-                    x, y = (slice(*np.searchsorted(c, (some[0], some[-1] + 1))) for c in (a, q))
-                    size = len(some) * k
-                    right = np.bincount(np.searchsorted(some, a[x]) * k + of[b[x]], n[x], size).reshape(-1, k)
-                    left = np.bincount(np.searchsorted(some, q[y]) * k + of[p[y]], m[y], size).reshape(-1, k)
-                    twice = a[x] == b[x]
-                    own = np.bincount(np.searchsorted(some, a[x][twice]), n[x][twice], len(some))
-                    old = of[some]
-                    score = move_scores(right, left, own, table, old)
-                    best = np.argmax(score, axis=1)
-                    rows = np.arange(len(some))
-                    go = score[rows, best] > score[rows, old] + 1e-6
-                    moved.append(some[go])
-                    to.append(best[go])
-                if moved:
-                    yield pd.DataFrame(
-                        [(np.concatenate(moved).astype(np.int32).tobytes(), np.concatenate(to).astype(np.int16).tobytes())],
-                        columns=["u", "c"],
-                    )
-
-    found = pairs.mapInPandas(run, "u binary, c binary").toPandas()
+        for row in _rows(batches):
+            a, b, n = _firsts(row)
+            p, q, m = _seconds(row)
+            mine = np.union1d(a, q)
+            mine = mine[mine != 0]
+            moved, to = [], []
+            for at in range(0, len(mine), 256):
+                some = mine[at : at + 256]
+                # Both lists are in the order of the row's units.
+                x, y = (slice(*np.searchsorted(c, (some[0], some[-1] + 1))) for c in (a, q))
+                size = len(some) * k
+                right = np.bincount(np.searchsorted(some, a[x]) * k + of[b[x]], n[x], size).reshape(-1, k)
+                left = np.bincount(np.searchsorted(some, q[y]) * k + of[p[y]], m[y], size).reshape(-1, k)
+                twice = a[x] == b[x]
+                own = np.bincount(np.searchsorted(some, a[x][twice]), n[x][twice], len(some))
+                old = of[some]
+                score = move_scores(right, left, own, table, old)
+                best = np.argmax(score, axis=1)
+                each = np.arange(len(some))
+                go = score[each, best] > score[each, old] + 1e-6
+                moved.append(some[go])
+                to.append(best[go])
+            if moved:
+                out = [np.concatenate(moved).astype(np.int32).tobytes(), np.concatenate(to).astype(np.int16).tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in out], ["u", "c"])
+
+    found = pairs.drop("bucket").mapInArrow(run, "u binary, c binary").toPandas()
     return _joined(found["u"], np.int32), _joined(found["c"], np.int16).astype(np.int64)
 
 

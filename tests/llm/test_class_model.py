@@ -49,7 +49,9 @@ def test_move_scores_are_differences_of_the_likelihood():
         assert score[row, 1:] - score[row, 1] == pytest.approx(np.array(whole) - whole[0], abs=1e-6)
 
 
-def test_pairs_and_sweeps_by_brute_force(spark):
+@pytest.mark.parametrize("in_a_row", [64, brown.ROW_PAIRS])
+def test_pairs_and_sweeps_by_brute_force(spark, monkeypatch, in_a_row):
+    monkeypatch.setattr(brown, "ROW_PAIRS", in_a_row)
     texts = texts_of(1)
     df = frame(spark, texts).select(F.coalesce("text", F.lit("")).alias("text"))
     known = brown.count_vocabulary(df, 60)
@@ -67,8 +69,8 @@ def test_pairs_and_sweeps_by_brute_force(spark):
     pairs = brown.count_pairs(df, known)
     got, other = np.zeros_like(want), np.zeros_like(want)
     for r in pairs.collect():
-        a, b, n = brown._firsts(r)
-        p, q, m = brown._seconds(r)
+        a, b, n = brown._firsts(r.asDict())
+        p, q, m = brown._seconds(r.asDict())
         got[a, b] += n
         other[p, q] += m
         assert (np.diff(a) >= 0).all() and (np.diff(q) >= 0).all()
