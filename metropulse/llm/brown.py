@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metropulse.llm.words import mix, slices, word_hashes
+from metropulse.llm.words import SLICE_BYTES, mix, slices, word_hashes
 from metropulse.operators.staging import settle
 
 HEAD_WORDS = 1024
@@ -47,7 +47,7 @@ BUCKET_WORDS = 1 << 20
 END = np.uint64(0xE17D)  # the end's own hash; a word has it once in 2^64
 LAMBDA = 0.95
 FLUSH = 1 << 21
-PAIRS_FLUSH = 1 << 21
+PAIRS_FLUSH = 1 << 20
 
 _COUNTS = "bucket int, words binary, counts binary, endings binary"
 
@@ -241,29 +241,24 @@ def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(vocabulary.common)
 
     def dealt(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for side, unit in ((True, keys // span), (False, keys % span)):
+        first, second, times = (keys // span).astype(np.int32), (keys % span).astype(np.int32), n.astype(np.int32)
+        for side, unit in ((True, first), (False, second)):
             to = _bucket(unit.astype(np.uint64), buckets)
-            order = np.argsort(to, kind="stable")
-            if not side:  # by second unit within the bucket, which packs better
-                order = order[np.argsort(to[order] * span + unit[order], kind="stable")]
+            # By the bucket's own unit, which packs better.
+            order = np.lexsort((unit, to))
             cuts = np.searchsorted(to[order], np.arange(buckets + 1))
-            first, second, times = ((keys // span)[order].astype(np.int32), (keys % span)[order].astype(np.int32), n[order].astype(np.int32))
-            rows += [
-                (side, i, *(x[cuts[i] : cuts[i + 1]].tobytes() for x in (first, second, times)))
-                for i in np.flatnonzero(np.diff(cuts)).tolist()
-            ]
-        kinds = [pa.bool_(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-        for at in range(0, len(rows), 1024):
-            part = rows[at : at + 1024]
-            arrays = [pa.array([r[j] for r in part], k) for j, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, ["side", "bucket", "a", "b", "n"])
+            filled = np.flatnonzero(np.diff(cuts))
+            for at in range(0, len(filled), 256):
+                some = filled[at : at + 256].tolist()
+                packed = [pa.array([x[order[cuts[i] : cuts[i + 1]]].tobytes() for i in some], pa.binary()) for x in (first, second, times)]
+                arrays = [pa.array([side] * len(some)), pa.array(some, pa.int32()), *packed]
+                yield pa.RecordBatch.from_arrays(arrays, ["side", "bucket", "a", "b", "n"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = shared.value
         parts, size = [], 0
         for batch in batches:
-            for a, b in slices(batch.column(0)):
+            for a, b in slices(batch.column(0), SLICE_BYTES // 2):
                 now, before, _, _ = _unit_lines(batch.column(0).slice(a, b - a), common)
                 parts.append(np.unique(before * span + now, return_counts=True))
                 size += len(parts[-1][0])
