@@ -64,8 +64,8 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     folder = shared_folder(spark, "warc")
     written = warc.write_archives(warc.plan_records(pages), folder, warc.train_dictionary(pages))
-    manifest = settle(written, "warc-manifest").df
-    read = warc.read_archives(manifest, payloads=False)
+    manifest = settle(written, "warc-manifest")
+    read = warc.read_archives(manifest.df, manifest.rows, payloads=False)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import hashlib
 import io
+import re
 import struct
 import uuid
 from base64 import b32encode
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 import zstandard
@@ -92,7 +94,7 @@ def record_bytes(page_id, url, payload: bytes, record_type: str, refers_to) -> b
         ("WARC-Type", record_type),
         ("WARC-Record-ID", f"<urn:uuid:{named}>"),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
-        ("WARC-Target-URI", "".join((url or "").split())),
+        ("WARC-Target-URI", re.sub(r"\s", lambda space: quote(space.group()), url or "")),
         ("WARC-Page-ID", _page_uri(page_id)),
         ("WARC-Payload-Digest", _sha1(payload)),
         ("WARC-Block-Digest", _sha1(block)),
@@ -113,7 +115,12 @@ def _store(path: str):
 
 
 def write_archives(records: DataFrame, folder: str, dictionary: bytes) -> DataFrame:
-    """Write ``records`` below ``folder`` (a shared store that executors reach) and return the manifest of finished files."""
+    """Write ``records`` below ``folder`` (a shared store that executors reach) and return the manifest of finished files.
+
+    An empty table gives no files. A null id or URL is written as an empty one, white space in a URL in percent codes, so that
+    no header is broken. A payload of any size is one record and one frame, held by its task alone; a file ends after
+    ``ARCHIVE_BYTES``. Names are new on every attempt, so a task that runs again leaves files that no manifest names.
+    """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = _store(folder)
@@ -230,9 +237,10 @@ def _page(uri: str | None) -> int | None:
     return int(number) if number else None
 
 
-def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
-    """One row per record of the archives in ``manifest``; without ``payloads`` they are checked and left out. A revisit has
-    no payload; its digest and length are those of the response it refers to, from its own headers."""
+def read_archives(manifest: DataFrame, files: int, payloads: bool = True) -> DataFrame:
+    """One row per record of the archives in a manifest of ``files`` rows; without ``payloads`` they are checked and left out. A
+    revisit has no payload; its digest and length are those of the response it refers to, from its own headers. Ids that were null
+    come back null, URLs as written. Files are spread over tasks, and a task holds one record and a batch of 8 MB or one payload."""
     import pyarrow as pa
     from base64 import b32decode
 
@@ -262,4 +270,6 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     def _batch(rows, kinds, names):
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return manifest.select("path").mapInArrow(run, _READ)
+    # The manifest is a small table that Spark would read in few tasks; its files are the work.
+    parallel = 4 * int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return manifest.select("path").repartition(max(1, min(files, parallel))).mapInArrow(run, _READ)

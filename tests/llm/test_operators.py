@@ -261,8 +261,8 @@ def test_archives_round_trip(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     folder = shared_folder(spark, "warc-test")
     records = warc.plan_records(pages)
-    manifest = settle(warc.write_archives(records, folder, warc.train_dictionary(pages)), "m").df
-    got = {r.page_id: r for r in warc.read_archives(manifest).collect()}
+    manifest = settle(warc.write_archives(records, folder, warc.train_dictionary(pages)), "m")
+    got = {r.page_id: r for r in warc.read_archives(manifest.df, manifest.rows).collect()}
     for i, _, html in rows:
         data = (html or "").encode()
         r = got[i]
@@ -272,6 +272,27 @@ def test_archives_round_trip(spark):
         assert r.payload is None if r.record_type == "revisit" else bytes(r.payload) == data
 
 
+def test_archives_of_odd_pages(spark, monkeypatch):
+    schema = "page_id long, url string, html string, payload string, leader long"
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)  # many files, read in many tasks
+    long = "long " * 1_000_000
+    rows = [(i, f"http://a/{i} b\tc", f"{i} <p>" * (300 + i), "x", 1) for i in range(40)]
+    rows += [(90, None, long, None, None), (None, "n", None, None, None), (91, "n", "", None, 4), (91, "n", "", None, 4)]
+    pages = spark.createDataFrame(rows, schema)
+    for table, n in ((pages, len(rows)), (pages.limit(0), 0)):
+        folder = shared_folder(spark, "warc-odd")
+        manifest = settle(warc.write_archives(warc.plan_records(table), folder, warc.train_dictionary(table)), "m")
+        read = warc.read_archives(manifest.df, manifest.rows)
+        got = read.collect()
+        assert len(got) == n
+        if n:
+            assert manifest.rows > 3 and read.rdd.getNumPartitions() >= min(manifest.rows, 8)
+            url = next(f for f in read.columns if "ur" in f)
+            assert {r[url] for r in got if r.page_id == 7} == {"http://a/7%20b%09c"}
+            assert bytes(next(r.payload for r in got if r.page_id == 90)) == long.encode()
+            assert [r.payload_bytes for r in got if r.page_id in (None, 91)] == [0, 0, 0]
+
+
 def test_archive_dictionary_and_damage():
     import io
 
