@@ -40,8 +40,9 @@ WIDE_SWEEPS = 4
 SETTLED_SHARE = 0.001
 #: A rarer word with so many occurrences has a class of its own choice.
 CLASSED = 2
-#: Distinct (task, bigram) entries of one bucket of the bigram shuffle.
+#: Distinct (task, bigram) entries of one bucket of the bigram shuffle, in at most so many buckets.
 BUCKET_PAIRS = 1 << 19
+MOST_BUCKETS = 4096
 #: Distinct (task, word) entries of one bucket of the counting shuffle.
 BUCKET_WORDS = 1 << 20
 END = np.uint64(0xE17D)  # the end's own hash; a word has it once in 2^64
@@ -235,9 +236,11 @@ def _add_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Unit bigrams over all training texts. A bucket's row holds the bigrams (a, b, n) whose first unit is dealt to it and
-    those (p, q, m) whose second unit is. Tasks add up before the shuffle, which takes every bigram to both its buckets."""
+    those (p, q, m) whose second unit is. Tasks add up before the shuffle, which takes every bigram to both its buckets. There a
+    bucket's entries are added up as they stream in, so that a task holds different bigrams of one bucket's units only, however
+    often they came."""
     span = 1 + len(vocabulary.common) + ENDINGS
-    buckets = max(8, math.ceil(vocabulary.bytes / 16 / BUCKET_PAIRS))
+    buckets = min(max(8, math.ceil(vocabulary.bytes / 16 / BUCKET_PAIRS)), MOST_BUCKETS)
     shared = texts.sparkSession.sparkContext.broadcast(vocabulary.common)
 
     def dealt(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -271,26 +274,43 @@ def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         if parts:
             yield from dealt(*_add_up(parts))
 
-    def whole(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    def written(bucket: int, held: dict[bool, list]) -> Iterator[pa.RecordBatch]:
         sides = []
         for side in (True, False):
-            part = group[group["side"] == side]
-            a, b, n = (_joined(part[c], np.int32).astype(np.int64) for c in ("a", "b", "n"))
-            keys, n = _add_up([(a * span + b if side else b * span + a, n)])
+            keys, n = _add_up(held[side]) if held[side] else (np.zeros(0, np.int64), np.zeros(0, np.int64))
             sides.append((keys // span, keys % span, n))
         units, entries = np.unique(np.concatenate([side[0] for side in sides]), return_counts=True)
         cuts = np.append(np.flatnonzero(np.diff(np.cumsum(entries) // ROW_PAIRS, prepend=-1)), len(units))
-        rows = []
         for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            row = [int(key[0])]
+            row = []
             for unit, other, n in sides:
                 at = slice(*np.searchsorted(unit, (units[x], units[y - 1] + 1)))
                 own, runs = np.unique(unit[at], return_counts=True)
                 row += [own.astype(np.int32).tobytes(), runs.astype(np.int32).tobytes(), other[at].astype(np.int32).tobytes(), _narrow(n[at])]
-            rows.append(row)
-        return pd.DataFrame(rows, columns=[f.split()[0] for f in _PAIRS.split(", ")])
+            arrays = [pa.array([bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in row)]
+            yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in _PAIRS.split(", ")])
 
-    return settle(texts.mapInArrow(gather, _FLAT).groupBy("bucket").applyInPandas(whole, _PAIRS), "brown-pairs").df
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, size = None, {True: [], False: []}, 0
+        for batch in batches:
+            columns = [batch.column(name) for name in ("a", "b", "n")]
+            for i, (side, bucket) in enumerate(zip(batch.column("side").to_pylist(), batch.column("bucket").to_pylist(), strict=True)):
+                if bucket != now:
+                    if now is not None:
+                        yield from written(now, held)
+                    now, held, size = bucket, {True: [], False: []}, 0
+                a, b, n = (np.frombuffer(c[i].as_buffer(), np.int32).astype(np.int64) for c in columns)
+                held[side].append((a * span + b if side else b * span + a, n))
+                size += len(a)
+                if size > PAIRS_FLUSH:
+                    held = {k: [_add_up(parts)] if parts else [] for k, parts in held.items()}
+                    # The next time after as many more as are held.
+                    size = -sum(len(parts[0][0]) for parts in held.values() if parts)
+        if now is not None:
+            yield from written(now, held)
+
+    dealt_out = texts.mapInArrow(gather, _FLAT).repartition("bucket").sortWithinPartitions("bucket")
+    return settle(dealt_out.mapInArrow(whole, _PAIRS), "brown-pairs").df
 
 
 def _narrow(n: np.ndarray) -> bytes:

@@ -52,6 +52,7 @@ def test_move_scores_are_differences_of_the_likelihood():
 @pytest.mark.parametrize("in_a_row", [64, brown.ROW_PAIRS])
 def test_pairs_and_sweeps_by_brute_force(spark, monkeypatch, in_a_row):
     monkeypatch.setattr(brown, "ROW_PAIRS", in_a_row)
+    monkeypatch.setattr(brown, "PAIRS_FLUSH", 4 * in_a_row)
     texts = texts_of(1)
     df = frame(spark, texts).select(F.coalesce("text", F.lit("")).alias("text"))
     known = brown.count_vocabulary(df, 60)
