@@ -17,6 +17,8 @@ from metropulse.sources import schemas
 
 # Lookup cells with one of these texts are missing.
 MISSING_TEXTS = ["", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null", "#N/A", "#NA", "<NA>"]
+# Fixed value: no JSON text holds it, in any Unicode encoding, for control characters are escaped.
+NEVER_IN_JSON = "\0\0\0\0"
 
 
 def read_csv(
@@ -59,8 +61,12 @@ def read_parquet(spark: SparkSession, path: str | list[str], columns: Sequence[s
 
 
 def read_json_pages(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """Landed API pages, each file one array of objects; absent keys are null. One page is one task's work."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """Landed API pages, each file one array of objects; absent keys are null. One page is one task's work.
+
+    A page is a single record up to a separator that never comes, so it is parsed from memory. With ``multiLine`` every number that
+    a text column takes would be fetched from the file once more, with a block of checksummed bytes around it.
+    """
+    return spark.read.schema(schema).option("lineSep", NEVER_IN_JSON).json(path)
 
 
 def read_schedule(spark: SparkSession, path: str | list[str], one_per_line: bool = False) -> DataFrame:

@@ -60,3 +60,27 @@ def test_first_weeks_end_with_their_month():
     spans = pages.first_weeks(2023, 40)
     assert spans[1] == (dt.datetime(2023, 2, 1), dt.datetime(2023, 3, 1)) and len(spans) == 12
     assert pages.first_weeks(2024)[0] == (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 8))
+
+
+def test_numbers_read_as_text_are_not_fetched_again(spark, tmp_path):
+    """A page is read once, however many numbers its text columns take, and every text is as it was written."""
+    numbers = ["7", "1.50", "12345678901234567890.125", "1E5", "-0.0"]
+    cells = ",\n".join(f'{{"a": {n}, "b": {i}, "c": "é"}}' for i, n in enumerate(numbers * 400))
+    (tmp_path / "many.json").write_text(f"[{cells}]\n")
+    (tmp_path / "single.json").write_text('\ufeff{\n"a": "lone",\n"c": 5}', encoding="utf-8")
+    (tmp_path / "broken.json").write_text('[{"a": 1}, {"a": 2')
+    (tmp_path / "dirty.json").write_text('[{"a": {"k": 1.0}, "b": "x"}, {"a": [1, 2.50], "b": 3}]')
+    (tmp_path / "void.json").write_text("")
+    (tmp_path / "blank.json").write_text(" \n\n")
+    (tmp_path / "none.json").write_text("[]")
+    size = sum(f.stat().st_size for f in tmp_path.glob("*.json"))
+
+    def bytes_read():
+        return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+    before = bytes_read()
+    got = readers.read_json_pages(spark, str(tmp_path), "a STRING, b BIGINT, c STRING").collect()
+    assert bytes_read() - before < 4 * size
+    want = [(n, i, "é") for i, n in enumerate(numbers * 400)]
+    want += [("lone", None, "5"), (None, None, None), ('{"k": 1.0}', None, None), ("[1, 2.50]", 3, None)]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
