@@ -70,7 +70,7 @@ def _count_words(buckets: int):
     def packed(held):
         words, counts, endings = held
         to = _bucket(words, buckets)
-        order = np.argsort(to, kind="stable")
+        order = _stable_order(to)
         cuts = np.searchsorted(to[order], np.arange(buckets + 1))
         rows = [
             (i, words[o].tobytes(), counts[o].tobytes(), endings[o].astype(np.int16).tobytes())
@@ -201,9 +201,21 @@ def _find(sorted_: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def units_of(words: np.ndarray, endings: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """Unit 0 is the end, then the common words, then the endings."""
-    at, hit = _find(common, words)
-    return np.where(hit, 1 + at, 1 + len(common) + endings)
+    """Unit 0 is the end, then the common words, then the endings. Different words are looked up once, in order."""
+    different, which = np.unique(words, return_inverse=True)
+    at, hit = _find(common, different)
+    return np.where(hit[which], 1 + at[which], 1 + len(common) + endings)
+
+
+def _stable_order(*keys: np.ndarray) -> np.ndarray:
+    """The order by the last key, ties by the keys before it, then by place; keys are from 0 to 2^31. Short numbers are sorted by
+    their digits, without comparisons."""
+    order = np.arange(len(keys[0]))
+    for key in keys:
+        for shift in range(0, max(int(key.max(initial=0)).bit_length(), 1), 16):
+            digit = (key >> shift).astype(np.uint16)
+            order = order[np.argsort(digit[order], kind="stable")]
+    return order
 
 
 def _unit_lines(column: pa.Array, common: np.ndarray):
@@ -248,7 +260,7 @@ def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         for side, unit in ((True, first), (False, second)):
             to = _bucket(unit.astype(np.uint64), buckets)
             # By the bucket's own unit, which packs better.
-            order = np.lexsort((unit, to))
+            order = _stable_order(unit, to)
             cuts = np.searchsorted(to[order], np.arange(buckets + 1))
             filled = np.flatnonzero(np.diff(cuts))
             for at in range(0, len(filled), 256):
@@ -570,7 +582,7 @@ def _rare_contexts(texts: DataFrame, common: np.ndarray, of: np.ndarray, buckets
                 rare = units > len(common)
                 words, classes, times = _distinct(line[rare], of[before[rare]])
                 to = _bucket(words, buckets)
-                order = np.argsort(to, kind="stable")
+                order = _stable_order(to)
                 cuts = np.searchsorted(to[order], np.arange(buckets + 1))
                 at = np.flatnonzero(np.diff(cuts)).tolist()
                 dealt = [
@@ -708,28 +720,29 @@ def score_texts(docs: DataFrame, model: BrownModel, id_col: str, text_col: str,
     vocabulary = model.vocabulary
     spark = docs.sparkSession
     common, buckets = vocabulary.common, vocabulary.buckets
-    words_known, counts_known = vocabulary.words, vocabulary.counts
     tokens, distinct = vocabulary.tokens, vocabulary.distinct
     down = math.log10(tokens + distinct + 1)
     of, step, inside, unit_down = model.classes, model.step, model.inside, model.ending_down
-    shared = spark.sparkContext.broadcast((common, words_known, counts_known, of, step, inside, unit_down))
+    # By unit, the end's first: whether its word was learned from and what the base score has for it. An ending tells nothing of a word.
+    at_hand = _find(vocabulary.words, np.append(END, common))
+    learned = np.append(at_hand[1], np.zeros(ENDINGS, bool))
+    counts = vocabulary.counts[at_hand[0]] if len(vocabulary.counts) else np.zeros(1 + len(common))
+    logs = np.where(learned, np.log10(np.append(counts, np.zeros(ENDINGS)) + 1.0), 0.0) - down
+    shared = spark.sparkContext.broadcast((common, learned, logs, of, step, inside, unit_down))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, words_known, counts_known, of, step, inside, unit_down = shared.value
+        common, learned, logs, of, step, inside, unit_down = shared.value
         for batch in batches:
             for a, b in slices(batch.column(2)):
                 part = batch.slice(a, b - a)
                 units, before, line, at = _unit_lines(part.column(2), common)
                 row = np.repeat(np.arange(len(part)), np.diff(at))
-                place, hit = _find(words_known, line)
-                count = np.where(hit, counts_known[place] if len(counts_known) else 0, 0)
                 ending = units - 1 - len(common)
                 tail = ending >= 0
                 # A word that is no unit counts as never seen until its bucket says more.
                 part_score = step[of[before], of[units]] + inside[units]
                 part_score[tail] -= unit_down[ending[tail]]
-                base = np.where(hit, np.log10(count + 1.0), 0.0) - down
-                sums = [np.add.reduceat(x, at[:-1]) for x in (hit.astype(np.int64), base, part_score)]
+                sums = [np.add.reduceat(x, at[:-1]) for x in (learned[units].astype(np.int64), logs[units], part_score)]
                 rare = np.flatnonzero(tail)
                 key, who, ahead = line[rare], row[rare], of[before[rare]]
                 order = np.lexsort((ahead, key, who))
@@ -740,7 +753,7 @@ def score_texts(docs: DataFrame, model: BrownModel, id_col: str, text_col: str,
                 key, who, ahead = key[first], who[first], ahead[first]
                 to = _bucket(key, buckets)
                 ids, h = part.column(0), np.asarray(part.column(1))
-                order = np.argsort(to, kind="stable")
+                order = _stable_order(to)
                 cuts = np.searchsorted(to[order], np.arange(buckets + 1))
                 n = len(part)
                 none = pa.nulls(n, pa.binary())

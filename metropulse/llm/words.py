@@ -93,17 +93,20 @@ def word_hashes(column: pa.Array, endings: int = 0) -> tuple[np.ndarray, np.ndar
     for start, end in _pieces(raw, 2 * SLICE_BYTES):
         part = raw[start:end]
         gap = SEPARATOR[part]
-        opens = ~gap
+        word = ~gap
+        opens = word.copy()
         opens[1:] &= gap[:-1]
         inner = at[np.searchsorted(at, start) : np.searchsorted(at, end)] - start
-        opens[inner] = ~gap[inner]  # a text's first word is cut off from the text before it
+        opens[inner] = word[inner]  # a text's first word is cut off from the text before it
         begin = np.flatnonzero(opens)
         if not len(begin):
             continue
-        place = np.arange(len(part))
-        place -= np.maximum.accumulate(np.where(opens, place, 0))
-        sums = np.add.reduceat(_BYTE[part] * _power(int(place.max()) + 1)[place], begin)
-        size = np.add.reduceat((~gap).astype(np.int32), begin)
+        closes = word
+        closes[:-1] &= gap[1:] | opens[1:]
+        size = np.flatnonzero(closes) - begin + 1
+        first = begin[0]
+        place = np.arange(first, len(part)) - np.repeat(begin, np.diff(begin, append=len(part)))
+        sums = np.add.reduceat(_BYTE[part[first:]] * _power(int(place.max()) + 1)[place], begin - first)
         hashes.append(mix(sums + size.astype(np.uint64)))
         begins.append(begin + start)
         if endings:

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -9,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from metropulse.llm import brown
-from metropulse.llm.words import word_hashes
+from metropulse.llm import words as words_module
+from metropulse.llm.words import mix, word_hashes
 
 
 def texts_of(seed, n=300):
@@ -185,3 +187,39 @@ def test_empty_table(spark):
     only = frame(spark, ["new words", None])
     rows = brown.score_texts(only, model, "doc_id", "text", F.lit(True)).collect()
     assert len(rows) == 2 and all(math.isfinite(r.score) and r.n_known == 0 for r in rows)
+
+
+def test_units_are_looked_up_once_per_different_word(monkeypatch):
+    """Frequent words cost no search of their own at every place."""
+    rng = np.random.default_rng(3)
+    words = mix(rng.integers(0, 50, 20_000).astype(np.uint64))
+    common, endings = np.unique(words)[::2], rng.integers(0, brown.ENDINGS, len(words))
+    searched, find = [], brown._find
+    monkeypatch.setattr(brown, "_find", lambda sorted_, x: searched.append(len(x)) or find(sorted_, x))
+    units = brown.units_of(words, endings, common)
+    place = {int(w): 1 + i for i, w in enumerate(common)}
+    assert units.tolist() == [place.get(int(w), 1 + len(common) + e) for w, e in zip(words, endings, strict=True)]
+    assert sum(searched) <= 50
+    assert brown.units_of(words[:0], endings[:0], common).tolist() == []
+
+
+def test_orders_by_digits_are_stable():
+    rng = np.random.default_rng(4)
+    for top in (1, 7, 1 << 16, 70_000, 1 << 30):
+        unit, to = rng.integers(0, top, 5000).astype(np.int32), rng.integers(0, 9, 5000)
+        assert (brown._stable_order(unit, to) == np.lexsort((unit, to))).all()
+        assert (brown._stable_order(to) == np.argsort(to, kind="stable")).all()
+    assert len(brown._stable_order(to[:0])) == 0
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 64])
+def test_words_of_odd_texts(monkeypatch, piece):
+    """Words, their numbers and endings where texts begin and end in words or in gaps, whatever the piece."""
+    monkeypatch.setattr(words_module, "SLICE_BYTES", piece // 2)
+    texts = ["ab", "cd", None, "", "   ", "x", " lead", "trail \t", "é" * 9, "a" * 300, "A\x0bB\x0cC\r\nd", "\u00a0one", "ab cd" + " " * 200 + "e"]
+    hashes, at, endings = word_hashes(pa.array(texts * 3), brown.ENDINGS)
+    want = [re.findall("[^ \t-\r]+", t or "") for t in texts * 3]
+    assert np.diff(at).tolist() == [len(w) for w in want]
+    flat = [hashed(w) for ws in want for w in ws]
+    assert list(zip(hashes.tolist(), endings.tolist(), strict=True)) == flat
+    assert len(set(hashes.tolist())) == len({w.lower() for ws in want for w in ws})
