@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metropulse.llm.words import SLICE_BYTES, mix, slices, word_hashes
+from metropulse.llm.words import SLICE_BYTES, mix, slices, text_bytes, word_hashes
 from metropulse.operators.staging import settle
 
 HEAD_WORDS = 1024
@@ -41,8 +41,12 @@ SETTLED_SHARE = 0.001
 #: A rarer word with so many occurrences has a class of its own choice.
 CLASSED = 2
 #: Distinct (task, bigram) entries of one bucket of the bigram shuffle, in at most so many buckets.
-BUCKET_PAIRS = 1 << 19
+BUCKET_PAIRS = 1 << 18
 MOST_BUCKETS = 4096
+#: Entries of a row of the bigram shuffle. Spark hands a task up to 10,000 rows at once and keeps them twice outside its heap.
+SHUFFLE_PAIRS = 128
+#: Such rows that leave a task, or are taken up by one, in a step.
+SHUFFLE_ROWS = 2048
 #: Distinct (task, word) entries of one bucket of the counting shuffle.
 BUCKET_WORDS = 1 << 20
 END = np.uint64(0xE17D)  # the end's own hash; a word has it once in 2^64
@@ -246,6 +250,28 @@ def _add_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
+def _dealt(keys: np.ndarray, n: np.ndarray, span: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Entries for the shuffle, once by the bucket of their first unit and once by that of their second, ``SHUFFLE_PAIRS`` to a row."""
+    first, second, times = (keys // span).astype(np.int32), (keys % span).astype(np.int32), n.astype(np.int32)
+    for side, unit in ((True, first), (False, second)):
+        to = _bucket(unit.astype(np.uint64), buckets)
+        # By the bucket's own unit, which packs better.
+        order = _stable_order(unit, to)
+        cuts = np.searchsorted(to[order], np.arange(buckets + 1))
+        rows = -(-np.diff(cuts) // SHUFFLE_PAIRS)
+        bucket = np.repeat(np.arange(buckets, dtype=np.int32), rows)
+        place = np.arange(len(bucket)) - np.repeat(np.cumsum(rows) - rows, rows)
+        begins = np.append(cuts[bucket] + place * SHUFFLE_PAIRS, len(order))
+        for x in range(0, len(bucket), SHUFFLE_ROWS):
+            some = bucket[x : x + SHUFFLE_ROWS]
+            at = begins[x : x + len(some) + 1]
+            ends = pa.py_buffer(((at - at[0]) * 4).astype(np.int32))
+            here = order[at[0] : at[-1]]
+            packed = [pa.Array.from_buffers(pa.binary(), len(some), [None, ends, pa.py_buffer(v[here])]) for v in (first, second, times)]
+            arrays = [pa.array(np.full(len(some), side)), pa.array(some), *packed]
+            yield pa.RecordBatch.from_arrays(arrays, ["side", "bucket", "a", "b", "n"])
+
+
 def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Unit bigrams over all training texts. A bucket's row holds the bigrams (a, b, n) whose first unit is dealt to it and
     those (p, q, m) whose second unit is. Tasks add up before the shuffle, which takes every bigram to both its buckets. There a
@@ -255,20 +281,6 @@ def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     buckets = min(max(8, math.ceil(vocabulary.bytes / 16 / BUCKET_PAIRS)), MOST_BUCKETS)
     shared = texts.sparkSession.sparkContext.broadcast(vocabulary.common)
 
-    def dealt(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        first, second, times = (keys // span).astype(np.int32), (keys % span).astype(np.int32), n.astype(np.int32)
-        for side, unit in ((True, first), (False, second)):
-            to = _bucket(unit.astype(np.uint64), buckets)
-            # By the bucket's own unit, which packs better.
-            order = _stable_order(unit, to)
-            cuts = np.searchsorted(to[order], np.arange(buckets + 1))
-            filled = np.flatnonzero(np.diff(cuts))
-            for at in range(0, len(filled), 256):
-                some = filled[at : at + 256].tolist()
-                packed = [pa.array([x[order[cuts[i] : cuts[i + 1]]].tobytes() for i in some], pa.binary()) for x in (first, second, times)]
-                arrays = [pa.array([side] * len(some)), pa.array(some, pa.int32()), *packed]
-                yield pa.RecordBatch.from_arrays(arrays, ["side", "bucket", "a", "b", "n"])
-
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = shared.value
         parts, size = [], 0
@@ -281,10 +293,10 @@ def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                     held = _add_up(parts)
                     parts, size = [held], len(held[0])
                     if size > PAIRS_FLUSH // 2:
-                        yield from dealt(*held)
+                        yield from _dealt(*held, span, buckets)
                         parts, size = [], 0
         if parts:
-            yield from dealt(*_add_up(parts))
+            yield from _dealt(*_add_up(parts), span, buckets)
 
     def written(bucket: int, held: dict[bool, list]) -> Iterator[pa.RecordBatch]:
         sides = []
@@ -305,14 +317,17 @@ def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, size = None, {True: [], False: []}, 0
         for batch in batches:
-            columns = [batch.column(name) for name in ("a", "b", "n")]
-            for i, (side, bucket) in enumerate(zip(batch.column("side").to_pylist(), batch.column("bucket").to_pylist(), strict=True)):
-                if bucket != now:
+            sides, to = batch.column("side").to_numpy(zero_copy_only=False), batch.column("bucket").to_numpy()
+            new = np.flatnonzero((to[1:] != to[:-1]) | (sides[1:] != sides[:-1])) + 1
+            # Rows of one side of one bucket, a step's at most; their numbers lie one after the other.
+            cuts = np.union1d(np.append(new, len(to)), np.arange(0, len(to), SHUFFLE_ROWS))
+            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if to[x] != now:
                     if now is not None:
                         yield from written(now, held)
-                    now, held, size = bucket, {True: [], False: []}, 0
-                a, b, n = (np.frombuffer(c[i].as_buffer(), np.int32).astype(np.int64) for c in columns)
-                held[side].append((a * span + b if side else b * span + a, n))
+                    now, held, size = int(to[x]), {True: [], False: []}, 0
+                a, b, n = (text_bytes(batch.column(c).slice(x, y - x))[0].view(np.int32).astype(np.int64) for c in ("a", "b", "n"))
+                held[bool(sides[x])].append((a * span + b if sides[x] else b * span + a, n))
                 size += len(a)
                 if size > PAIRS_FLUSH:
                     held = {k: [_add_up(parts)] if parts else [] for k, parts in held.items()}
@@ -321,7 +336,7 @@ def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         if now is not None:
             yield from written(now, held)
 
-    dealt_out = texts.mapInArrow(gather, _FLAT).repartition("bucket").sortWithinPartitions("bucket")
+    dealt_out = texts.mapInArrow(gather, _FLAT).repartition("bucket").sortWithinPartitions("bucket", "side")
     return settle(dealt_out.mapInArrow(whole, _PAIRS), "brown-pairs").df
 
 

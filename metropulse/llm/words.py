@@ -90,7 +90,7 @@ def word_hashes(column: pa.Array, endings: int = 0) -> tuple[np.ndarray, np.ndar
     each word's last three bytes."""
     raw, at = text_bytes(column)
     hashes, begins, codes = [], [], []
-    for start, end in _pieces(raw, 2 * SLICE_BYTES):
+    for start, end in _pieces(raw, SLICE_BYTES // 4):  # some twelve numbers are held for each byte of a piece
         part = raw[start:end]
         gap = SEPARATOR[part]
         word = ~gap

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -223,3 +224,39 @@ def test_words_of_odd_texts(monkeypatch, piece):
     flat = [hashed(w) for ws in want for w in ws]
     assert list(zip(hashes.tolist(), endings.tolist(), strict=True)) == flat
     assert len(set(hashes.tolist())) == len({w.lower() for ws in want for w in ws})
+
+
+def traced(run):
+    """What ``run`` returns, and the most bytes held meanwhile."""
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_rows_of_the_bigram_shuffle_are_small():
+    """Spark hands a task 10,000 rows at once: few buckets with many bigrams each must not make large rows."""
+    rng = np.random.default_rng(8)
+    span, buckets = 5000, 3
+    keys = np.unique(rng.integers(0, span * span, 300_000))
+    n = rng.integers(1, 9, len(keys))
+    got = {True: [], False: []}
+    for batch in brown._dealt(keys, n, span, buckets):
+        assert batch.num_rows <= brown.SHUFFLE_ROWS
+        for r in batch.to_pylist():
+            a, b, times = (np.frombuffer(r[c], np.int32) for c in "abn")
+            assert 10_000 * 3 * a.nbytes <= 16 << 20 and 0 < len(a) == len(b) == len(times)
+            assert (brown._bucket((a if r["side"] else b).astype(np.uint64), buckets) == r["bucket"]).all()
+            got[r["side"]].append((a.astype(np.int64) * span + b, times.astype(np.int64)))
+    for side in got.values():
+        found, times = brown._add_up(side)
+        assert (found == keys).all() and (times == n).all()
+    assert list(brown._dealt(keys[:0], n[:0], span, buckets)) == []
+
+
+def test_hashing_words_holds_little():
+    texts = pa.array(["some words of a text that is long enough " * 50] * 1024)  # 2 MB, a slice
+    (hashes, at, _), most = traced(lambda: word_hashes(texts, brown.ENDINGS))
+    assert len(hashes) == at[-1] == 9 * 50 * 1024
+    assert most <= 40 << 20
